@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from loanlens.schemas import NULL_TOKENS
 
 
+# Every character that counts as white space.
+WHITE_SPACE = [chr(code) for code in (
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)]
+
+
 def stripped(text: Column) -> Column:
-    """Without leading or trailing white space of any kind, no-break spaces included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without leading or trailing white space of any kind, no-break spaces included.
+
+    Most values are not padded, which a look at the two ends tells for less than a trim.
+    """
+    padded = F.left(text, F.lit(1)).isin(WHITE_SPACE) | F.right(text, F.lit(1)).isin(WHITE_SPACE)
+    return F.when(padded, F.btrim(text, F.lit("".join(WHITE_SPACE)))).otherwise(text)
 
 
 def null_if_token(text: Column, tokens: list[str] | None = None) -> Column:
@@ -32,6 +42,7 @@ def instant(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
+    """Measure as a double; the cast itself passes over blanks around the digits."""
     return text.try_cast("double")
 
 

@@ -9,16 +9,28 @@ A round hands at most (columns x ranks) bucket rows to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIRST_STEPS = 1 << 10
 LATER_STEPS = 1 << 22
+ROUNDS = 3
 
 
-def _magnitude_bucket(value: Column) -> Column:
+@dataclass(frozen=True)
+class Bucket:
+    """A value range of one column that holds wanted ranks."""
+
+    name: str
+    low: float
+    high: float
+
+
+def magnitude_bucket(value: Column) -> Column:
     """A whole number that never decreases with the value: binary exponent, then steps
     of the mantissa.  At most a few million distinct results exist."""
     size = F.abs(value)
@@ -28,78 +40,80 @@ def _magnitude_bucket(value: Column) -> Column:
     return F.when(size == 0, F.lit(0)).otherwise(F.signum(value) * steps).cast("bigint")
 
 
-def _linear_bucket(value: Column, low: Column, high: Column) -> Column:
-    return F.least(
-        F.floor((value - low) / (high - low) * F.lit(float(LATER_STEPS))), F.lit(LATER_STEPS - 1)
-    ).cast("bigint")
+def linear_bucket(value: Column, low: Column, high: Column) -> Column:
+    step = F.floor((value - low) / (high - low) * F.lit(float(LATER_STEPS)))
+    return F.least(step, F.lit(LATER_STEPS - 1)).cast("bigint")
 
 
-def _hits(rows: DataFrame, parts: list[str], bucket: Column, ranks: Column) -> DataFrame:
-    """Buckets that hold a wanted rank: value range and ranks within the bucket.
+def _hits(rows: DataFrame, part: str, bucket: Column, ranks: Column) -> DataFrame:
+    """Buckets that hold a wanted rank: value range and rank within the bucket.
 
-    The running count goes over buckets, whose number is bounded, never over rows.
+    ``ranks`` may refer to ``total``, the rows of the part.  The running count goes over
+    buckets, whose number is bounded, never over rows.
     """
-    counted = rows.groupBy(*parts, bucket.alias("bucket")).agg(
+    counted = rows.groupBy(part, bucket.alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    whole = Window.partitionBy(*parts)
+    whole = Window.partitionBy(part)
     before = F.sum("n").over(whole.orderBy("bucket")) - F.col("n")
     return (
-        counted.withColumn("before", before)
+        counted.withColumns({"before": before, "total": F.sum("n").over(whole)})
         .withColumn("rank", F.explode(F.array_distinct(ranks)))
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select(*parts, "rank", (F.col("rank") - F.col("before")).alias("within"), "low", "high")
+        .select(part, "total", "rank", (F.col("rank") - F.col("before")).alias("within"), "low", "high")
     )
 
 
-def exact_quantiles(rows: DataFrame, probs: Sequence[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(rows: DataFrame, probs: Sequence[float]) -> dict[str, list[float]]:
     """Quantiles of ``rows`` (name, value) per name, with linear interpolation.
 
-    Nulls and NaN are left out.  The result is one short list per name.
+    Nulls and NaN are left out; a name without values is absent from the result.
     """
     spark = rows.sparkSession
     clean = rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    sizes = {r["name"]: r["n"] for r in clean.groupBy("name").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
-    wanted = {name: sorted({int(p * (n - 1)) for p in probs} | {min(int(p * (n - 1)) + 1, n - 1) for p in probs})
-              for name, n in sizes.items()}
-    if not wanted:
-        return {}
-
     found: dict[tuple[str, int], float] = {}
-    open_ranks = [(name, rank, rank, None, None) for name, ranks in wanted.items() for rank in ranks]
-    for round_no in range(3):
-        targets: dict[tuple, list[tuple[int, int]]] = {}
-        for name, rank, within, low, high in open_ranks:
-            targets.setdefault((name, low, high), []).append((rank, within))
-        if not targets:
+    total: dict[str, int] = {}
+    # Ranks that still share a bucket with other values: (rank, rank within the bucket).
+    unsettled: dict[Bucket, list[tuple[int, int]]] = {}
+
+    def settle(name: str, rank: int, hit) -> None:
+        if hit["low"] == hit["high"]:
+            found[name, rank] = hit["low"]
+        else:
+            unsettled.setdefault(Bucket(name, hit["low"], hit["high"]), []).append((rank, hit["within"]))
+
+    places = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+    ranks = F.array(*[f(place).cast("bigint") for place in places for f in (F.floor, F.ceil)])
+    for hit in _hits(clean, "name", magnitude_bucket(F.col("value")), ranks).collect():
+        total[hit["name"]] = hit["total"]
+        settle(hit["name"], hit["rank"], hit)
+
+    for _ in range(ROUNDS - 1):
+        if not unsettled:
             break
-        # Bounded by names x ranks: the driver holds the buckets still to be cut.
+        cut, unsettled = list(unsettled.items()), {}
+        # Bounded by columns x ranks, so it is always small enough to broadcast.
         cuts = spark.createDataFrame(
-            [(i, name, low, high, sorted({w for _, w in ranks})) for i, ((name, low, high), ranks) in enumerate(targets.items())],
-            "cut int, name string, floor double, ceiling double, ranks array<bigint>",
+            [(i, b.name, b.low, b.high) for i, (b, _) in enumerate(cut)], "cut int, name string, low double, high double"
         )
-        inside = clean.join(F.broadcast(cuts), "name")
-        if round_no == 0:
-            bucket = _magnitude_bucket(F.col("value"))
-        else:
-            inside = inside.filter(F.col("value").between(F.col("floor"), F.col("ceiling")))
-            bucket = _linear_bucket(F.col("value"), F.col("floor"), F.col("ceiling"))
-        hits = _hits(inside, ["cut", "ranks"], bucket, F.col("ranks")).collect()
-        placed = {(h["cut"], h["rank"]): h for h in hits}
-        open_ranks = []
-        for i, ((name, _, _), ranks) in enumerate(targets.items()):
-            for rank, within in ranks:
-                hit = placed[(i, within)]
-                if hit["low"] == hit["high"]:
-                    found[(name, rank)] = hit["low"]
-                else:
-                    open_ranks.append((name, rank, hit["within"], hit["low"], hit["high"]))
-    assert not open_ranks, "three rounds separate all doubles"
+        inside = clean.join(F.broadcast(cuts), "name").filter(F.col("value").between(F.col("low"), F.col("high")))
+        narrowed = inside.select(
+            "cut", "value", linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("step")
+        )
+        wanted = F.create_map(*[
+            item for i, (_, places_in) in enumerate(cut)
+            for item in (F.lit(i), F.array(*[F.lit(within).cast("bigint") for _, within in places_in]))
+        ])[F.col("cut")]
+        hits = {(h["cut"], h["rank"]): h for h in _hits(narrowed, "cut", F.col("step"), wanted).collect()}
+        for i, (bucket, places_in) in enumerate(cut):
+            for rank, within in places_in:
+                settle(bucket.name, rank, hits[i, within])
+    if unsettled:
+        raise AssertionError("three rounds separate all doubles")
 
     def at(name: str, p: float) -> float:
-        place = p * (sizes[name] - 1)
-        low = int(place)
-        left, right = found[(name, low)], found[(name, min(low + 1, sizes[name] - 1))]
-        return left + (right - left) * (place - low)
+        place = p * (total[name] - 1)
+        left, right = found[name, math.floor(place)], found[name, math.ceil(place)]
+        return left + (right - left) * (place - math.floor(place))
 
-    return {name: [at(name, p) for p in probs] for name in sizes}
+    return {name: [at(name, p) for p in probs] for name in total}

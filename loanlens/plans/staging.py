@@ -20,7 +20,7 @@ from loanlens.schemas import (
 )
 from loanlens.sources.headers import lower_headers, pick_header, snake_headers, strip_headers
 
-PARSERS = {"text": lambda c: c, "date": us_date, "double": number, "long": whole_number}
+PARSERS = {"text": stripped, "date": lambda c: us_date(stripped(c)), "double": number, "long": whole_number}
 SQL_TYPES = {"text": "string", "date": "date", "double": "double", "long": "bigint"}
 
 
@@ -35,7 +35,7 @@ def stage_credit_columns(raw: DataFrame) -> DataFrame:
     def value(header: str, kind: str) -> Column:
         if header not in raw.columns:
             return F.lit(None).cast(SQL_TYPES[kind])
-        return PARSERS[kind](stripped(null_if_token(col(header).cast("string"))))
+        return PARSERS[kind](null_if_token(col(header).cast("string")))
 
     known = {header for header, _, _ in CREDIT_COLUMNS} | {"snapshot_date"}
     columns = [value(header, kind).alias(name) for header, name, kind in CREDIT_COLUMNS]

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.operators import quality
+from loanlens.plans.staging import clean_credit_snapshot
 from loanlens.registry import adapters as a
 from loanlens.registry.adapters import AS_OF, sql_day, sql_round, using
 from loanlens.registry.core import query, table
 from loanlens.schemas import NULL_TOLERANCES
-from loanlens.session import shared_dir
+from loanlens.session import materialised, shared_dir
 from loanlens.sources.tables import append_log, write_partitions
 
 LS_COLUMNS = ["loan_id", "line_no", "snapshot_date", "reporting_date", "next_invoice_date", "balance", "arrears",
@@ -79,8 +80,6 @@ FROM clean GROUP BY snapshot_date {f'HAVING {share} > {limit}' if known else ''}
 @query("dq_null_thresholds", using("clean") + " UNION ALL ".join(
     _null_sql(c, limit, c != "sale_date") for c, limit in NULL_TOLERANCES.items()))
 def dq_null_thresholds(spark, sf):
-    from loanlens.plans.staging import clean_credit_snapshot
-
     return quality.null_breaches(clean_credit_snapshot(a.raw_credit(spark, sf)).drop("sale_date"))
 
 
@@ -159,7 +158,7 @@ def dq_routes(spark, sf):
 SELECT name, CAST(2 AS BIGINT) AS runs, CAST(2 * n_failed AS BIGINT) AS n_failed FROM results""")
 def dq_log_append(spark, sf):
     log = shared_dir(spark, "dq-log")
-    results = _suite(spark, sf)
+    results = materialised(_suite(spark, sf), "dq-results")
     for _ in range(2):
         append_log(results.withColumn("ts", F.current_timestamp()), log)
     return spark.read.parquet(log).groupBy("name").agg(

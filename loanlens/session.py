@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A projection over all raw columns can outgrow what HotSpot compiles; beyond this
+    # size Spark splits the work into small methods instead of one interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -49,7 +49,7 @@ def _has_blank(header: tuple[str, ...]) -> bool:
     return any(BLANK_HEADER.match(name) for name in header)
 
 
-def read_snapshot_files(spark: SparkSession, pattern: str) -> DataFrame:
+def read_snapshot_files(spark: SparkSession, pattern: str, drop_blank: bool = False) -> DataFrame:
     """Raw text columns of all matching files plus ``snapshot_date``.
 
     Columns come and go between snapshots and a CSV scan matches them by position, so
@@ -57,6 +57,9 @@ def read_snapshot_files(spark: SparkSession, pattern: str) -> DataFrame:
     parts of one export share a header, so one first line per export is looked at; the
     scan itself compares every file's header again and stops on a difference.  Blank
     headers get a made-up name that comparison cannot know, so there each file counts.
+
+    ``drop_blank`` drops such a column if it holds nothing, at the price of one more
+    pass over its files; kept, it is a text column of nulls that costs next to nothing.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
     for paths in _files_by_export(spark, pattern).values():
@@ -71,7 +74,7 @@ def read_snapshot_files(spark: SparkSession, pattern: str) -> DataFrame:
         schema = ", ".join(f"`{name}` string" for name in header)
         scan = _csv(spark).schema(schema).option("enforceSchema", _has_blank(header)).csv(paths)
         dated = scan.withColumn("snapshot_date", snapshot_date_of(F.col("_metadata.file_path")))
-        frames.append(strip_headers(drop_blank_headers(dated)))
+        frames.append(strip_headers(drop_blank_headers(dated) if drop_blank else dated))
     return union_by_name(frames)
 
 
