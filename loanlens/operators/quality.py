@@ -109,7 +109,7 @@ def null_shares(fct: DataFrame, tolerances: dict[str, float] | None = None) -> D
     limits = tolerances or NULL_TOLERANCES
     shares = fct.groupBy(F.col("snapshot_date")).agg(
         *[
-            (F.lit(1.0) - F.count(col(c)) / F.count(F.lit(1)) if c in fct.columns else F.lit(1.0)).alias(f"null_{c}")
+            (tally(col(c).isNull()) / F.count(F.lit(1)) if c in fct.columns else F.lit(1.0)).alias(f"null_{c}")
             for c in limits
         ]
     )
@@ -168,11 +168,11 @@ def _snapshot_measures(fct: DataFrame) -> DataFrame:
         tally(gap == 0).alias("exact"),
         tally(gap <= WITHIN_DAYS).alias("within"),
         F.count(gap).alias("pairs"),
-        *[F.count(col(c)).alias(f"filled_{c}") for c in NULL_TOLERANCES if c in fct.columns],
+        *[tally(col(c).isNull()).alias(f"null_{c}") for c in NULL_TOLERANCES if c in fct.columns],
     )
     breaches = sum(
         (
-            F.when((F.lit(1.0) - F.col(f"filled_{c}") / F.col("n")) > limit, 1).otherwise(0)
+            F.when(F.col(f"null_{c}") / F.col("n") > limit, 1).otherwise(0)
             if c in fct.columns
             else F.lit(1)
         )
@@ -193,6 +193,7 @@ def _snapshot_measures(fct: DataFrame) -> DataFrame:
         F.coalesce(F.sum("negative_dpd"), F.lit(0)).alias("negative_dpd"),
         F.coalesce(F.sum(breaches), F.lit(0)).cast("bigint").alias("null_breaches"),
         tally(pct("within") < WITHIN_PERCENT).alias("dpd_breaches"),
+        # One short line per snapshot, so the list is as long as the list of snapshots.
         F.array_join(F.array_sort(F.collect_list(line)), "; ").alias("dpd_lines"),
     )
 

@@ -71,7 +71,7 @@ def dq_ranges(spark, sf):
 
 
 def _null_sql(column: str, limit: float, known: bool) -> str:
-    issue, share = ("null_share", f"1 - CAST(count({column}) AS DOUBLE) / count(*)") if known else ("missing_column", "CAST(1 AS DOUBLE)")
+    issue, share = ("null_share", f"CAST(count(*) - count({column}) AS DOUBLE) / count(*)") if known else ("missing_column", "CAST(1 AS DOUBLE)")
     return f"""SELECT {sql_day('snapshot_date')} AS snapshot_date, '{column}' AS "column", '{issue}' AS issue,
   {sql_round(f'100 * ({share})', 2)} AS pct_null, CAST({100 * limit} AS DOUBLE) AS pct_tolerated
 FROM clean GROUP BY snapshot_date {f'HAVING {share} > {limit}' if known else ''}"""
@@ -108,9 +108,9 @@ SUITE = using("risk", "lc", "nps") + f""", per AS (
   SELECT snapshot_date, count(*) AS n, min(reporting_date) AS lo, max(reporting_date) AS hi,
     count(CASE WHEN days_past_due < 0 THEN 1 END) AS negative, {sql_round(EXACT, 2)} AS exact, {sql_round(WITHIN, 2)} AS within,
     1 + CASE WHEN count(loan_id) < count(*) THEN 1 ELSE 0 END + CASE WHEN count(reporting_date) < count(*) THEN 1 ELSE 0 END
-      + CASE WHEN 1 - count(balance) / count(*) > 0.01 THEN 1 ELSE 0 END
-      + CASE WHEN 1 - count(account_status_l2) / count(*) > 0.01 THEN 1 ELSE 0 END
-      + CASE WHEN 1 - count(next_invoice_date) / count(*) > 0.20 THEN 1 ELSE 0 END AS breaches
+      + CASE WHEN (count(*) - count(balance)) / count(*) > 0.01 THEN 1 ELSE 0 END
+      + CASE WHEN (count(*) - count(account_status_l2)) / count(*) > 0.01 THEN 1 ELSE 0 END
+      + CASE WHEN (count(*) - count(next_invoice_date)) / count(*) > 0.20 THEN 1 ELSE 0 END AS breaches
   FROM risk GROUP BY snapshot_date),
 tot AS (
   SELECT count(*) AS snapshots, count(CASE WHEN lo <> snapshot_date OR hi <> snapshot_date THEN 1 END) AS mismatches,
