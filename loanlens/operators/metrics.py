@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.functions.rates import percent, ratio_where, share, tally
 from loanlens.functions.risk import PAID_OFF_STATUS, RETURNED, is_write_off
 from loanlens.operators.cleaning import col
 from loanlens.operators.dedupe import latest_state
+from loanlens.operators.keys import keep_known
+from loanlens.session import materialised
 
 
 def book(fct: DataFrame) -> DataFrame:
@@ -124,21 +126,17 @@ def divergent_segments(rows: DataFrame, *dims: str, min_loans: int = 200, k: int
     come from the same few counts.
     """
     newest = rows.agg(F.max("snapshot_date")).scalar()
-    counts = _segment_counts(rows.filter(F.col("snapshot_date") == newest), dims)
-    total = counts.filter(F.col("segment_dim") == dims[0]).groupBy("snapshot_date").agg(
-        (F.sum("n_delinquent") / F.sum("n_loans")).alias("portfolio_rate")
-    )
     rate = F.col("n_delinquent") / F.col("n_loans")
+    # Every dimension splits the whole book, so its own total is the book's; the window
+    # runs over the few counted segments.
+    whole = Window.partitionBy("snapshot_date", "segment_dim")
+    book_rate = F.sum("n_delinquent").over(whole) / F.sum("n_loans").over(whole)
     return (
-        counts.filter(F.col("n_loans") >= min_loans)
-        .join(total, "snapshot_date")
+        _segment_counts(rows.filter(F.col("snapshot_date") == newest), dims)
+        .withColumn("delta_vs_portfolio", rate - book_rate)
+        .filter(F.col("n_loans") >= min_loans)
         .select(
-            "snapshot_date",
-            "segment_dim",
-            "segment",
-            "n_loans",
-            rate.alias("delinquency_rate"),
-            (rate - F.col("portfolio_rate")).alias("delta_vs_portfolio"),
+            "snapshot_date", "segment_dim", "segment", "n_loans", rate.alias("delinquency_rate"), "delta_vs_portfolio"
         )
         .orderBy(F.abs("delta_vs_portfolio").desc(), "segment_dim", F.col("segment").asc_nulls_last())
         .limit(k)
@@ -149,13 +147,14 @@ def latest_top_exposures(fct: DataFrame, dim: DataFrame, attributes: Sequence[st
                          keep: Sequence[str] = (), k: int = 200) -> DataFrame:
     """The k largest balances of the newest snapshot with customer attributes.
 
-    The k rows are chosen before the join (the dimension has one row per key, so the
-    join cannot change them); their keys then cut the dimension down, as a broadcast of
-    at most k rows.  Loan key and the kept columns break ties.
+    The k rows are chosen and written once before the join (the dimension has one row
+    per key, so the join cannot change them); their keys then cut the dimension down, as
+    a broadcast of at most k rows.  Loan key and the kept columns break ties.
     """
     newest = fct.agg(F.max("snapshot_date")).scalar()
     order = [F.col("balance").desc_nulls_last(), *[col(c).asc_nulls_last() for c in keep if c != "balance"]]
-    top = fct.filter(F.col("snapshot_date") == newest).select(*keep).orderBy(*order).limit(k)
+    chosen = fct.filter(F.col("snapshot_date") == newest).select(*keep).orderBy(*order).limit(k)
+    top = materialised(chosen, "top-exposures")
     needed = dim.select(on, *attributes).join(F.broadcast(top.select(on)), on, "left_semi")
     return top.join(needed, on, "left").orderBy(*order)
 
@@ -163,10 +162,11 @@ def latest_top_exposures(fct: DataFrame, dim: DataFrame, attributes: Sequence[st
 def survey_with_credit(survey: DataFrame, fct: DataFrame, on: str = "loan_id", keep: Sequence[str] = ("risk_category",)) -> DataFrame:
     """Each response with the newest state of its loan; responses without one drop out.
 
-    The fact is cut down to surveyed loans before the newest state is sought.
+    Few surveyed loans cut the fact down before the newest state is sought; with many,
+    the search keeps one row per loan and task before its shuffle either way.
     """
-    asked = survey.select(on).distinct()
-    states = latest_state(fct.select(on, "snapshot_date", *keep).join(asked, on, "left_semi"), on)
+    known = keep_known(fct.select(on, "snapshot_date", *keep), survey, on)
+    states = latest_state(known, on)
     return survey.join(states.drop("snapshot_date"), on)
 
 

@@ -2,7 +2,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from loanlens.operators import dedupe
-from loanlens.operators.keys import coverage, key_presence, orphan_counts, orphan_keys, relationship_metrics
+from loanlens.operators.keys import coverage, keep_known, key_presence, orphan_counts, orphan_keys, relationship_metrics
 from loanlens.plans import staging
 
 
@@ -98,3 +98,27 @@ def test_keys(spark):
     assert metrics == {"a_unique_keys": 3, "b_unique_keys": 2, "a_unresolved_keys": 1, "a_in_b_pct": 33.33, "a_duplicate_keys": 2, "b_duplicate_keys": 0}
     none = spark.createDataFrame([], "k string")
     assert coverage(key_presence(a=(none, "k"), b=(b, "k")), [("a", "b")]).first().coverage_pct == 0.0
+
+
+def test_few_keys_are_broadcast_and_many_are_not(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
+    few = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long")
+    kept = keep_known(df, few, "k")
+    assert kept.count() == 20 and "BroadcastHashJoin" in plan(kept)
+    assert keep_known(df, few, "k", most=1).count() == 100
+
+
+def test_one_key_with_a_third_of_all_rows(spark):
+    """Duplicates, coverage and the newest row stay right, and the hot key is cut down
+    on the map side: each reducer gets at most one row of it per map task."""
+    hot = spark.range(0, 30000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("loan_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("snapshot_date"),
+        "id",
+    )
+    newest = {r.loan_id: r.id for r in dedupe.latest_state(hot).filter("loan_id = 'hot'").collect()}
+    assert newest == {"hot": min(i for i in range(0, 30000, 3) if i % 300 == 297)}
+    assert dedupe.latest_state(hot).count() == 20001
+    presence = key_presence(a=(hot, "loan_id"), b=(hot.filter("id % 2 = 0"), "loan_id"))
+    assert coverage(presence, [("a", "b")]).first().n_keys == 20001
+    assert presence.filter("key = 'hot'").first().n_a == 10000
