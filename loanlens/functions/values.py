@@ -42,13 +42,13 @@ def instant(text: Column) -> Column:
 
 
 def number(text: Column) -> Column:
-    """Measure as a double; the cast itself passes over blanks around the digits."""
-    return text.try_cast("double")
+    """Measure as a double; the cast passes over blanks, and not-a-number is no value."""
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def whole_number(text: Column) -> Column:
     """Integer measure; goes through double because drifted files hold text like ``4.0``."""
-    return text.try_cast("double").try_cast("bigint")
+    return number(text).try_cast("bigint")
 
 
 def full_days(start: Column, end: Column) -> Column:

@@ -20,7 +20,14 @@ from loanlens.schemas import (
 )
 from loanlens.sources.headers import lower_headers, pick_header, snake_headers, strip_headers
 
-PARSERS = {"text": stripped, "date": lambda c: us_date(stripped(c)), "double": number, "long": whole_number}
+# A null token would not parse as a number either, but a failed parse costs far more
+# than the look-up.
+PARSERS = {
+    "text": lambda c: stripped(null_if_token(c)),
+    "date": lambda c: us_date(stripped(c)),
+    "double": lambda c: number(null_if_token(c)),
+    "long": lambda c: whole_number(null_if_token(c)),
+}
 SQL_TYPES = {"text": "string", "date": "date", "double": "double", "long": "bigint"}
 
 
@@ -35,7 +42,7 @@ def stage_credit_columns(raw: DataFrame) -> DataFrame:
     def value(header: str, kind: str) -> Column:
         if header not in raw.columns:
             return F.lit(None).cast(SQL_TYPES[kind])
-        return PARSERS[kind](null_if_token(col(header).cast("string")))
+        return PARSERS[kind](col(header).cast("string"))
 
     known = {header for header, _, _ in CREDIT_COLUMNS} | {"snapshot_date"}
     columns = [value(header, kind).alias(name) for header, name, kind in CREDIT_COLUMNS]

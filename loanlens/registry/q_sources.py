@@ -13,6 +13,7 @@ from loanlens.registry.q_cleaning import CLEAN_ROWS, CUSTOMER, REASON, SURVEY_LO
 from loanlens.schemas import CUSTOMER_TABLES
 from loanlens.session import shared_dir
 from loanlens.sources import headers, snapshots, tables
+from loanlens.streaming.snapshots import stage_arriving_snapshots
 from loanlens.operators.cleaning import normalise_nulls
 
 
@@ -34,6 +35,16 @@ def src_snapshot_csv(spark, sf):
     return staging.clean_credit_snapshot(read_back(spark, root))
 
 
+@query("stream_snapshot_csv", using("clean") + CLEAN_ROWS)
+def stream_snapshot_csv(spark, sf):
+    """The staged table that the arriving files give, a few files per micro-batch."""
+    root, staged = shared_dir(spark, "arriving-csv"), shared_dir(spark, "arriving-staged")
+    write_snapshot_files(a.raw_credit(spark, sf), root)
+    done = stage_arriving_snapshots(spark, root, staged, shared_dir(spark, "arriving-log"), files_per_batch=4)
+    done.awaitTermination()
+    return spark.read.parquet(staged)
+
+
 @query("src_filename_date", using("ls") + f"""
 SELECT {sql_day('snapshot_date')} AS snapshot_date, count(*) AS n FROM ls GROUP BY snapshot_date""")
 def src_filename_date(spark, sf):

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     # A projection over all raw columns can outgrow what HotSpot compiles; beyond this
     # size Spark splits the work into small methods instead of one interpreted one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A task that writes a few partitions keeps their files open instead of sorting its
+    # rows by partition first; with more partitions it falls back to the sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

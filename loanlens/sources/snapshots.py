@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,17 +29,22 @@ def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("quote", '"').option("escape", '"')
 
 
-def _files_by_export(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
-    """CSV paths behind a glob, by the file or folder that carries the snapshot name.
+def group_by_export(paths: Iterable[str]) -> dict[str, list[str]]:
+    """CSV paths by the file or folder that carries the snapshot name."""
+    exports: dict[str, list[str]] = {}
+    for path in paths:
+        named = EXPORT_NAME.match(path)
+        exports.setdefault(named.group(1) if named else path, []).append(path)
+    return exports
+
+
+def list_files(spark: SparkSession, *patterns: str) -> list[str]:
+    """Paths of the non-empty files behind globs or folders.
 
     Names only: the content column is pruned, so no file is opened.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
-    exports: dict[str, list[str]] = {}
-    for row in listed.where("length > 0").select("path").orderBy("path").toLocalIterator():
-        named = EXPORT_NAME.match(row.path)
-        exports.setdefault(named.group(1) if named else row.path, []).append(row.path)
-    return exports
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(patterns))
+    return [row.path for row in listed.where("length > 0").select("path").orderBy("path").toLocalIterator()]
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -49,8 +55,8 @@ def _has_blank(header: tuple[str, ...]) -> bool:
     return any(BLANK_HEADER.match(name) for name in header)
 
 
-def read_snapshot_files(spark: SparkSession, pattern: str, drop_blank: bool = False) -> DataFrame:
-    """Raw text columns of all matching files plus ``snapshot_date``.
+def read_snapshot_files(spark: SparkSession, *patterns: str, drop_blank: bool = False) -> DataFrame:
+    """Raw text columns of all files behind globs or folders, plus ``snapshot_date``.
 
     Columns come and go between snapshots and a CSV scan matches them by position, so
     files are grouped by header: one scan per distinct header, joined up by name.  The
@@ -62,12 +68,12 @@ def read_snapshot_files(spark: SparkSession, pattern: str, drop_blank: bool = Fa
     pass over its files; kept, it is a text column of nulls that costs next to nothing.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for paths in _files_by_export(spark, pattern).values():
+    for paths in group_by_export(list_files(spark, *patterns)).values():
         header = _header(spark, paths[0])
         for path in paths:
             by_header.setdefault(_header(spark, path) if _has_blank(header) else header, []).append(path)
     if not by_header:
-        raise ValueError(f"no snapshot files match {pattern}")
+        raise ValueError(f"no snapshot files match {', '.join(patterns)}")
 
     frames = []
     for header, paths in by_header.items():

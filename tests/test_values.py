@@ -5,6 +5,7 @@ from conftest import day
 from pyspark.sql import functions as F
 
 from loanlens.functions.values import full_days, instant, null_if_token, number, stripped, us_date, whole_number
+from loanlens.schemas import NULL_TOKENS
 
 
 def test_strip_covers_all_white_space_and_keeps_inner_blanks(one):
@@ -38,6 +39,9 @@ def test_numbers_survive_drift(one):
     texts = ["4", "4.0", " 4 ", "x", None]
     assert one("t string", [(t,) for t in texts], lambda d: whole_number(d.t)) == [4, 4, 4, None, None]
     assert one("t string", [("1.5",), ("-2",), ("#",)], lambda d: number(d.t)) == [1.5, -2.0, None]
+    tokens = [(t,) for t in NULL_TOKENS]
+    for parse in (number, whole_number, us_date):
+        assert one("t string", tokens, lambda d: parse(d.t)) == [None] * len(tokens)
 
 
 def test_days_are_floored_on_instants(one):
