@@ -23,6 +23,11 @@ def stripped(text: Column) -> Column:
     return F.when(padded, F.btrim(text, F.lit("".join(WHITE_SPACE)))).otherwise(text)
 
 
+def same_word(text: Column, word: str) -> Column:
+    """Equal but for case and outer white space; an unknown is not equal."""
+    return F.coalesce(F.lower(F.btrim(text, F.lit("".join(WHITE_SPACE)))) == word, F.lit(False))
+
+
 def null_if_token(text: Column, tokens: list[str] | None = None) -> Column:
     """Null for the texts that stand for a missing value (compared untrimmed)."""
     return F.when(~text.isin(tokens if tokens is not None else NULL_TOKENS), text)

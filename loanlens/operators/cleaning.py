@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions.rates import tally
-from loanlens.functions.values import null_if_token, stripped, us_date
+from loanlens.functions.values import null_if_token, same_word, stripped, us_date
 from loanlens.schemas import UNRESOLVED_KEY
 
 
@@ -54,7 +54,7 @@ def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def is_test_row(status: Column) -> Column:
-    return F.coalesce(F.lower(status) == "demo", F.lit(False))
+    return same_word(status, "demo")
 
 
 def drop_test_rows(df: DataFrame, status: str = "account_status_l1") -> DataFrame:

@@ -51,20 +51,24 @@ def stage_credit_columns(raw: DataFrame) -> DataFrame:
     return staged.withColumn("balance_due_status", F.lower("balance_due_status"))
 
 
-def tag_credit_rows(staged: DataFrame) -> DataFrame:
-    """Add ``drop_reason``: test rows first, then rows without key, null for the rest."""
-    reason = F.when(is_test_row(F.col("account_status_l1")), "test_row").when(F.col("loan_id").isNull(), "null_key")
-    return staged.withColumn("drop_reason", reason)
+def drop_reason(raw: DataFrame) -> Column:
+    """Why a raw row is dropped: test rows first, then rows without key, null for the rest.
+
+    Told from the raw text, so that a row is sorted out before any of it is parsed.
+    """
+    status, key = (col(c) if c in raw.columns else F.lit(None).cast("string") for c in ("ACCOUNT_STATUS_L1", "LOAN_ID"))
+    return F.when(is_test_row(status), "test_row").when(null_if_token(key).isNull(), "null_key")
 
 
 def clean_credit_snapshot(raw: DataFrame) -> DataFrame:
-    """Staged credit rows; one pass without a shuffle."""
-    return tag_credit_rows(stage_credit_columns(raw)).filter("drop_reason IS NULL").drop("drop_reason")
+    """Staged credit rows; one filter and one projection, no shuffle."""
+    return stage_credit_columns(raw.filter(drop_reason(raw).isNull()))
 
 
 def credit_report(raw: DataFrame) -> DataFrame:
     """Rows in, dropped by reason, out, and distinct loans, per snapshot."""
-    return drop_report(tag_credit_rows(stage_credit_columns(raw)), "snapshot_date", "loan_id", ["test_row", "null_key"])
+    tagged = raw.select("snapshot_date", stripped(col("LOAN_ID")).alias("loan_id"), drop_reason(raw).alias("drop_reason"))
+    return drop_report(tagged, "snapshot_date", "loan_id", ["test_row", "null_key"])
 
 
 # Customer tables ----------------------------------------------------------------------

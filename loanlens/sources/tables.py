@@ -27,6 +27,16 @@ def read_survey(spark: SparkSession, path: str) -> DataFrame:
     return read_text_table(spark, path, free_text=True)
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """A scan's rows over all cores if its files give fewer tasks than there are cores.
+
+    For a file that cannot be split (one row group, or compressed text).  A scan with
+    enough tasks, as of any large table, comes back as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a flat Parquet table."""
     df.write.mode("overwrite").parquet(path)

@@ -110,3 +110,16 @@ def test_log_grows_and_report_is_one_file(spark, tmp_path):
     tables.write_result(df, str(tmp_path / "report"))
     files = list((tmp_path / "report").glob("part-*.csv"))
     assert len(files) == 1 and files[0].read_text() == "n,t\n1,x\n"
+
+
+def test_spread_touches_only_small_scans(spark):
+    one_task = spark.range(0, 100, numPartitions=1)
+    assert tables.spread(one_task, "id").rdd.getNumPartitions() > 1
+    many = spark.range(0, 100, numPartitions=50)
+    assert tables.spread(many, "id") is many
+
+
+def test_unknown_status_or_key_column(spark):
+    """A file that lacks the key column yields no rows instead of rows without key."""
+    raw = spark.createDataFrame([("5", "2025-01-01")], "BALANCE string, snapshot_date string")
+    assert staging.clean_credit_snapshot(raw).count() == 0
