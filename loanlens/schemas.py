@@ -87,7 +87,7 @@ SURVEY_QUESTION_STEMS = {
     "experienced a delay in your payment": "experienced_payment_delay",
     "difficulty getting assistance": "difficulty_getting_support",
     "battery-related issues": "battery_issues",
-    "to manage your account or make payments": "uses_moapp",
+    "to manage your account or make payments": "uses_app",
     "which communication channel do you prefer": "preferred_channel",
     "phone lock despite making a payment": "phone_locked_despite_payment",
 }
