@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,11 @@ def build_session(app: str = "loanlens", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="loanlens-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder given in ``spark.checkpoint.dir``.
 
@@ -55,8 +61,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="loanlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/loanlens/{name}-{uuid.uuid4().hex}"
 
 
