@@ -8,6 +8,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as register
+from loanlens.registry.core import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -32,13 +33,14 @@ def table(columns, records):
 
 
 def test_every_query_has_its_sql():
-    assert set(register.queries()) == set(register.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(register.queries())
 
 
-@pytest.mark.parametrize("name", list(register.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = register.queries()[name](spark, SMALL)
-    result = con.execute(register.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    result = con.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert table(df.columns, df.collect()) == table(columns, result.fetchall())
