@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import mixing, sharding, simhash_dedup
+from loanlens.llm import mixing, quality_rules, sharding, simhash_dedup
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 WORDS_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 SHARDING_SQL = f"""
 WITH RECURSIVE shard AS (
   SELECT i, 'shard-' || lpad(CAST(i AS VARCHAR), 3, '0') AS name FROM range({len(SHARDS)}) t(i)),
