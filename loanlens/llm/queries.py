@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import mixing, quality_rules, sharding, simhash_dedup
+from loanlens.llm import mixing, quality_rules, secret_ownership, sharding, simhash_dedup
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ownership.scan(table(spark, sf_dir, "documents"))
