@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import mixing, quality_rules, secret_ownership, sharding, simhash_dedup
+from loanlens.llm import decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op7_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
