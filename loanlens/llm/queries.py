@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanlens.llm import decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
+from loanlens.llm import arc_warc, decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, SHARDS, SLOTS, slot="slot")
 
 
+BASE32_SQL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+
+# SHA-1 has 160 bits: eight groups of five hexadecimal digits make four letters each.
+WARC_SQL = f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, payload_bytes, list_reduce(list_transform(range(32), lambda i:
+    {BASE32_SQL}[1 + ((('0x' || hex[5 * (i // 4) + 1:5 * (i // 4) + 5])::BIGINT >> (5 * (3 - i % 4))) & 31)]), lambda a, b: a || b)
+    AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
+
+
+@query("op4_warc", WARC_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_warc.archived(table(spark, sf_dir, "pages"))
+
+
 MIXING_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, {WORDS_SQL} AS size,
