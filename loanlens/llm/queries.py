@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanlens.llm import arc_warc, decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
+from loanlens.llm import arc_warc, chat_windows, decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +128,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# A public vocabulary; the path is a parameter of the operator.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+# A conversation that speaks in the template's own marks.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+@query("op8_chat_windows")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))]))
+    trap = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), said.alias("t"), F.lit(TRAP).alias("text"))
+    turns = turns.unionByName(trap.select("conv_id", F.col("t.turn").cast("long").alias("turn"), "t.role", "text"))
+    read = chat_windows.read_back(chat_windows.windows(turns, tokenizer=TOKENIZER))
+    return read.select(F.col("conv").cast("long").alias("conv_id"), *[c for c in read.columns if c != "conv"])
+
+
 @query("op9_simhash")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
