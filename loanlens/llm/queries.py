@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm import arc_warc, chat_windows, decontamination, mixing, quality_rules, secret_ownership, sharding, simhash_dedup
+from loanlens.llm import (
+    arc_warc,
+    chat_windows,
+    decontamination,
+    html_content,
+    mixing,
+    quality_rules,
+    secret_ownership,
+    sharding,
+    simhash_dedup,
+)
 from loanlens.llm.text import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +50,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_html_content")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
+
+
 SHARDING_SQL = f"""
 WITH RECURSIVE shard AS (
   SELECT i, 'shard-' || lpad(CAST(i AS VARCHAR), 3, '0') AS name FROM range({len(SHARDS)}) t(i)),
