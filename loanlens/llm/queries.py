@@ -17,6 +17,7 @@ from loanlens.llm import (
     secret_ownership,
     sharding,
     simhash_dedup,
+    toxicity,
 )
 from loanlens.llm.text import prepared
 
@@ -104,6 +105,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_warc.archived(table(spark, sf_dir, "pages"))
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 MIXING_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, {WORDS_SQL} AS size,
