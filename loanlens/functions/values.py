@@ -52,8 +52,12 @@ def number(text: Column) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Integer measure; goes through double because drifted files hold text like ``4.0``."""
-    return number(text).try_cast("bigint")
+    """Integer measure; goes through double because drifted files hold text like ``4.0``.
+
+    A fraction is no whole number, so it gives null and is not cut off.
+    """
+    value = number(text)
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
 
 
 def full_days(start: Column, end: Column) -> Column:

@@ -36,18 +36,6 @@ def orphan_keys(df: DataFrame, key: str, other: DataFrame, other_key: str) -> Da
     return df.select(col(key)).dropna().distinct().join(known, key, "left_anti")
 
 
-def keep_known(df: DataFrame, other: DataFrame, key: str, most: int = 1_000_000) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``other``, if that can be told without a shuffle.
-
-    The distinct keys are counted up to ``most``; if there are no more, they are
-    broadcast.  Otherwise ``df`` comes back whole: this only spares work ahead of a join.
-    """
-    keys = other.select(col(key)).dropna().distinct()
-    if keys.limit(most + 1).count() > most:
-        return df
-    return df.join(F.broadcast(keys), key, "left_semi")
-
-
 def has(name: str):
     return F.col("key").isNotNull() & (F.col(f"n_{name}") > 0)
 

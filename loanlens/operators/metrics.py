@@ -11,8 +11,6 @@ from loanlens.functions.rates import percent, ratio_where, share, tally
 from loanlens.functions.risk import PAID_OFF_STATUS, RETURNED, is_write_off
 from loanlens.operators.cleaning import col
 from loanlens.operators.dedupe import latest_state
-from loanlens.operators.keys import keep_known
-from loanlens.session import materialised
 
 
 def book(fct: DataFrame) -> DataFrame:
@@ -147,25 +145,24 @@ def latest_top_exposures(fct: DataFrame, dim: DataFrame, attributes: Sequence[st
                          keep: Sequence[str] = (), k: int = 200) -> DataFrame:
     """The k largest balances of the newest snapshot with customer attributes.
 
-    The k rows are chosen and written once before the join (the dimension has one row
-    per key, so the join cannot change them); their keys then cut the dimension down, as
-    a broadcast of at most k rows.  Loan key and the kept columns break ties.
+    The k rows are chosen before the join (the dimension has one row per key, so the join
+    cannot change them); their keys, k at most, cut the dimension down as a broadcast.
+    Loan key and the kept columns break ties, so both uses of the choice agree.
     """
     newest = fct.agg(F.max("snapshot_date")).scalar()
     order = [F.col("balance").desc_nulls_last(), *[col(c).asc_nulls_last() for c in keep if c != "balance"]]
     chosen = fct.filter(F.col("snapshot_date") == newest).select(*keep).orderBy(*order).limit(k)
-    top = materialised(chosen, "top-exposures")
-    needed = dim.select(on, *attributes).join(F.broadcast(top.select(on)), on, "left_semi")
-    return top.join(needed, on, "left").orderBy(*order)
+    needed = dim.select(on, *attributes).join(F.broadcast(chosen.select(on)), on, "left_semi")
+    return chosen.join(needed, on, "left").orderBy(*order)
 
 
 def survey_with_credit(survey: DataFrame, fct: DataFrame, on: str = "loan_id", keep: Sequence[str] = ("risk_category",)) -> DataFrame:
     """Each response with the newest state of its loan; responses without one drop out.
 
-    Few surveyed loans cut the fact down before the newest state is sought; with many,
-    the search keeps one row per loan and task before its shuffle either way.
+    The surveyed loans cut the fact down before the newest state is sought; how that join
+    is done is left to Spark, which knows the sizes at run time.
     """
-    known = keep_known(fct.select(on, "snapshot_date", *keep), survey, on)
+    known = fct.select(on, "snapshot_date", *keep).join(survey.select(on).dropna().distinct(), on, "left_semi")
     states = latest_state(known, on)
     return survey.join(states.drop("snapshot_date"), on)
 

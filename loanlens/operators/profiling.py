@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions.rates import percent, tally
 from loanlens.functions.values import full_days
-from loanlens.operators.cleaning import col
+from loanlens.operators.cleaning import col, normalise_nulls
 from loanlens.operators.quality import SCORE_FROM, SCORE_TO
 from loanlens.operators.quantiles import exact_quantiles
 from loanlens.sources.snapshots import union_by_name
@@ -24,6 +24,14 @@ def _as_text(field: T.StructField) -> Column:
     return value.cast("string")
 
 
+def text_kind(value: Column) -> Column:
+    """What a text value looks like, as a bit: 0 nothing, 1 a whole number, 2 a number, 4 a date, 8 text."""
+    number = value.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    whole = value.rlike(r"^\s*[+-]?\d+\s*$")
+    date = value.rlike(r"^\s*(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}([T ].*)?)\s*$")
+    return F.when(value.isNull(), 0).when(whole, 1).when(number, 2).when(date, 4).otherwise(8)
+
+
 def column_values(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value, n): how often each value occurs in each column.
 
@@ -37,6 +45,37 @@ def column_values(df: DataFrame, columns: Sequence[str] | None = None, by: Seque
     return long.groupBy(*[col(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def raw_profile(df: DataFrame, source: str | None = None, by: str | None = None, held: DataFrame | None = None) -> DataFrame:
+    """The profile of raw text: null tokens are nulls, and the values tell the type.
+
+    A column is ``whole`` if all its values are, ``fraction`` if all are numbers, ``date`` if
+    all look like dates, ``empty`` without values, and ``string`` otherwise.  ``held`` lists
+    (by, column) that the files have; without it all columns count as held everywhere.
+    """
+    keys = [by] if by else []
+    # Numbers and dates in one column are text, so the kinds of all values are kept.
+    values = column_values(normalise_nulls(df), by=keys).withColumn("kind", text_kind(F.col("value")))
+    stats = values.groupBy(*keys, "column").agg(
+        F.bit_or("kind").alias("kinds"),
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+        F.count("value").alias("n_unique"),
+        F.min("value").alias("sample"),
+    )
+    if held is not None:
+        stats = stats.join(held, [*keys, "column"], "left_semi")
+    kinds = F.col("kinds")
+    dtype = (
+        F.when(kinds == 0, "empty").when(kinds == 1, "whole").when(kinds.isin(2, 3), "fraction")
+        .when(kinds == 4, "date").otherwise("string")
+    )
+    named = F.concat_ws("::", *([F.lit(source)] if source else []), *[col(k).cast("string") for k in keys])
+    return stats.select(
+        named.alias("source"), "column", dtype.alias("dtype"), "rows", "n_null",
+        percent(F.col("n_null"), F.col("rows")).alias("pct_null"), "n_unique", "sample",
+    )
+
+
 def column_profile(df: DataFrame, source: str | None = None, by: str | None = None, exact: bool = True) -> DataFrame:
     """Per column: type, rows, nulls, distinct values and the smallest value as sample.
 
@@ -129,30 +168,38 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def year_histogram(df: DataFrame, column: str, ends: int = 10) -> DataFrame:
-    """Rows per year; ``place`` says whether the year is among the first or last ones.
+def year_histogram(df: DataFrame, column: str) -> DataFrame:
+    """Rows of every year, its place from either end, and the range of years.
 
-    Null counts as the last year.  The sorts see one row per year only.
+    Null counts as the last year and is not in the range.  The windows see one row per
+    year only.
     """
     years = df.groupBy(F.year(col(column)).alias("year")).agg(F.count(F.lit(1)).alias("n"))
-    head = years.orderBy(F.col("year").asc_nulls_last()).limit(ends).withColumn("place", F.lit("head"))
-    tail = years.orderBy(F.col("year").desc_nulls_first()).limit(ends).withColumn("place", F.lit("tail"))
-    return head.unionByName(tail)
+    whole = Window.partitionBy()
+    return years.select(
+        "year", "n",
+        F.row_number().over(Window.orderBy(F.col("year").asc_nulls_last())).alias("from_first"),
+        F.row_number().over(Window.orderBy(F.col("year").desc_nulls_first())).alias("from_last"),
+        F.min("year").over(whole).alias("first_year"),
+        F.max("year").over(whole).alias("last_year"),
+    )
 
 
 def outlier_counts(dob: DataFrame, income: DataFrame, survey: DataFrame, as_of: Column) -> DataFrame:
-    """Implausible raw values.  Here 100 years is out of range, unlike in the range check."""
+    """Implausible raw values and the implied ages' range.  Here 100 years is out of range, unlike in the range check."""
     age = full_days(F.col("dob"), as_of) / F.lit(365.25)
     score = F.col("nps_score")
     ages = dob.agg(
-        tally(age < 18).alias("age_below_18"),
-        tally(age >= 100).alias("age_100_or_more"),
+        tally(age < 18).cast("double").alias("age_below_18"),
+        tally(age >= 100).cast("double").alias("age_100_or_more"),
+        F.round(F.min(age), 1).alias("age_min"),
+        F.round(F.max(age), 1).alias("age_max"),
     )
     incomes = income.agg(
-        tally(F.col("received_total") <= 0).alias("income_not_positive"),
-        F.count_distinct("duration_months").alias("distinct_durations"),
+        tally(F.col("received_total") <= 0).cast("double").alias("income_not_positive"),
+        F.count_distinct("duration_months").cast("double").alias("distinct_durations"),
     )
-    scores = survey.agg(tally((score < SCORE_FROM) | (score > SCORE_TO)).alias("score_out_of_range"))
+    scores = survey.agg(tally((score < SCORE_FROM) | (score > SCORE_TO)).cast("double").alias("score_out_of_range"))
     return union_by_name([part.unpivot([], part.columns, "metric", "value") for part in (ages, incomes, scores)])
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from loanlens.functions.rates import tally
 from loanlens.functions.values import full_days
 from loanlens.operators.cleaning import col, date_agreement
-from loanlens.operators.keys import key_presence, orphan_counts, orphan_keys
-from loanlens.schemas import EXPECTED_CREDIT_COLUMNS, NULL_TOLERANCES
+from loanlens.operators.keys import has, key_presence, orphan_counts
+from loanlens.schemas import CREDIT_COLUMNS, EXPECTED_CREDIT_COLUMNS, NULL_TOLERANCES
 from loanlens.sources.snapshots import union_by_name
 
 # Severity and cadence of each check in the suite.
@@ -32,6 +32,9 @@ AGE_FROM, AGE_TO = 18, 100
 SCORE_FROM, SCORE_TO = 0, 10
 WITHIN_DAYS, WITHIN_PERCENT = 7, 50
 
+# Which source refers to which.
+REFERENCES = [("credit", "customer"), ("nps", "customer"), ("nps", "credit")]
+
 # Where a failed check is sent, by severity.
 ROUTES = {"critical": "page", "warning": "chat", "info": "digest"}
 
@@ -40,17 +43,24 @@ def missing_columns(df: DataFrame, expected: list[str] | None = None) -> list[st
     return sorted(set(expected or EXPECTED_CREDIT_COLUMNS) - set(df.columns))
 
 
-def partition_columns(spark: SparkSession, path: str, by: str = "snapshot_date") -> dict[str, list[str]]:
-    """Columns each partition really holds, from file footers (no data is read)."""
-    values = spark.read.parquet(path).select(F.col(by).cast("string")).distinct().toLocalIterator()
-    return {v[0]: [*spark.read.parquet(f"{path}/{by}={v[0]}").columns, by] for v in values}
+def raw_manifest(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
+    """(snapshot_date, raw_column): what the files of each snapshot hold, before any of it is staged."""
+    rows = [(snapshot, name) for snapshot, held in columns.items() for name in held]
+    return spark.createDataFrame(rows, "snapshot_date string, raw_column string")
+
 
+def schema_contract(manifest: DataFrame, expected: list[str] | None = None) -> DataFrame:
+    """One row per snapshot and raw column that it lacks; extra columns are fine.
 
-def schema_contract(spark: SparkSession, columns: dict[str, list[str]], expected: list[str] | None = None) -> DataFrame:
-    """One row per snapshot and missing column; extra columns are fine."""
-    wanted = set(expected or EXPECTED_CREDIT_COLUMNS)
-    rows = [(snapshot, name) for snapshot, held in columns.items() for name in sorted(wanted - set(held))]
-    return spark.createDataFrame(rows, "snapshot_date string, missing_column string")
+    Without any snapshot there is one row with neither, for that is a failure too.
+    """
+    wanted = expected or [header for header, _, _ in CREDIT_COLUMNS]
+    held = manifest.groupBy("snapshot_date").agg(F.collect_set("raw_column").alias("held"))
+    lacking = F.explode(F.array_except(F.array(*[F.lit(name) for name in wanted]), F.col("held")))
+    missing = held.select("snapshot_date", lacking.alias("missing_column"))
+    none = manifest.agg(F.count(F.lit(1)).alias("n")).filter("n = 0")
+    text = F.lit(None).cast("string")
+    return missing.unionByName(none.select(text.alias("snapshot_date"), text.alias("missing_column")))
 
 
 def date_mismatches(df: DataFrame) -> DataFrame:
@@ -68,11 +78,17 @@ def uniqueness(df: DataFrame, *keys: str, by: str = "snapshot_date") -> DataFram
     return duplicate_keys(df, *keys, by).groupBy(by).agg(F.sum("n_rows").alias("n_dupes"))
 
 
-def orphan_sample(fct: DataFrame, dim: DataFrame, key: str = "loan_id", k: int = 50) -> DataFrame:
-    """Up to k example loans without a customer row, smallest keys first."""
-    return (
-        orphan_keys(fct, key, dim, key).withColumn("missing_in", F.lit("dim_customer")).orderBy(key).limit(k)
-    )
+def orphans(key: str = "loan_id", **frames: DataFrame) -> DataFrame:
+    """All keys that a source has and the one it refers to lacks: (source, missing_in, key).
+
+    Credit and survey refer to customers, the survey to credit too; keys are counted once
+    for all pairs.
+    """
+    presence = key_presence(**{name: (df, key) for name, df in frames.items()})
+    pairs = F.array(*[
+        F.struct(F.lit(a).alias("source"), F.lit(b).alias("missing_in"), (has(a) & ~has(b)).alias("orphan")) for a, b in REFERENCES
+    ])
+    return presence.select(F.col("key").alias(key), F.inline(pairs)).filter("orphan").select("source", "missing_in", key)
 
 
 def age_out_of_range(dob: Column, as_of: Column) -> Column:
@@ -141,7 +157,7 @@ def dpd_reconciliation(fct: DataFrame) -> DataFrame:
 
     Pairs with a null on either side count as rows but not in the percentages.
     """
-    gap = F.abs(F.col("days_past_due_derived").cast("bigint") - F.col("days_past_due").cast("bigint"))
+    gap = F.abs(F.col("days_past_due_derived") - F.col("days_past_due"))
 
     def pct(condition: Column) -> Column:
         return F.round(F.try_divide(tally(condition) * F.lit(100.0), F.count(gap).cast("double")), 2)
@@ -159,7 +175,7 @@ def dpd_reconciliation(fct: DataFrame) -> DataFrame:
 
 def _snapshot_measures(fct: DataFrame) -> DataFrame:
     """All per-snapshot statistics of the suite in one pass, reduced to one row."""
-    gap = F.abs(F.col("days_past_due_derived").cast("bigint") - F.col("days_past_due").cast("bigint"))
+    gap = F.abs(F.col("days_past_due_derived") - F.col("days_past_due"))
     per_snapshot = fct.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("reporting_date").alias("first_date"),
@@ -183,9 +199,9 @@ def _snapshot_measures(fct: DataFrame) -> DataFrame:
         return F.round(F.try_divide(F.col(part) * F.lit(100.0), F.col("pairs").cast("double")), 2)
 
     agrees = (F.col("first_date") == F.col("last_date")) & (F.col("first_date") == F.col("snapshot_date"))
-    line = F.format_string(
-        "%s rows=%d exact=%.2f within_7d=%.2f",
-        F.col("snapshot_date").cast("string"), F.col("n"), pct("exact"), pct("within"),
+    line = F.struct(
+        F.col("snapshot_date").cast("string").alias("snapshot_date"), F.col("n").alias("rows"),
+        pct("exact").alias("exact_match_pct"), pct("within").alias("within_7d_pct"),
     )
     return per_snapshot.agg(
         F.count(F.lit(1)).alias("snapshots"),
@@ -193,8 +209,8 @@ def _snapshot_measures(fct: DataFrame) -> DataFrame:
         F.coalesce(F.sum("negative_dpd"), F.lit(0)).alias("negative_dpd"),
         F.coalesce(F.sum(breaches), F.lit(0)).cast("bigint").alias("null_breaches"),
         tally(pct("within") < WITHIN_PERCENT).alias("dpd_breaches"),
-        # One short line per snapshot, so the list is as long as the list of snapshots.
-        F.array_join(F.array_sort(F.collect_list(line)), "; ").alias("dpd_lines"),
+        # One short entry per snapshot, so the list is as long as the list of snapshots.
+        F.to_json(F.array_sort(F.collect_list(line))).alias("dpd_lines"),
     )
 
 
@@ -214,10 +230,10 @@ def run_suite(
     fct: DataFrame, dim: DataFrame, nps: DataFrame, as_of: Column,
     unique_on: tuple[str, ...] = ("loan_id",), incomplete_snapshots: int | None = None,
 ) -> DataFrame:
-    """One result row per check, all from one plan.
+    """One result row per check, all from one plan; ``detail`` is JSON.
 
-    ``incomplete_snapshots`` is the number of snapshots that miss a column, when the
-    partitions were looked at one by one; otherwise the columns of ``fct`` decide for all.
+    ``incomplete_snapshots`` is the number of snapshots whose raw files miss a column, as the
+    contract found it; without it the columns of ``fct`` decide for all.
     """
     stats = _snapshot_measures(fct)
     numbers = ["snapshots", "date_mismatches", "negative_dpd", "null_breaches", "dpd_breaches"]
@@ -226,7 +242,7 @@ def run_suite(
     )
     orphans = orphan_counts(
         key_presence(credit=(fct, "loan_id"), customer=(dim, "loan_id"), nps=(nps, "loan_id")),
-        [("credit", "customer"), ("nps", "customer"), ("nps", "credit")],
+        REFERENCES,
     )
     counted = [_long(part, "measure", "n") for part in
                (dupes, orphans, _customer_ranges(dim, as_of), _survey_ranges(nps))]
@@ -245,27 +261,27 @@ def run_suite(
     )
     n = {m: F.col(m) for m in names}
 
-    def say(*parts) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    def say(*measures: str, **renamed: str) -> Column:
+        """The named measures as a JSON object."""
+        return F.to_json(F.struct(*[n[m] for m in measures], *[n[m].alias(name) for name, m in renamed.items()]))
 
+    # No snapshot at all is one failure.
+    freshness = incomplete + n["date_mismatches"] + F.when(n["snapshots"] == 0, 1).otherwise(0)
     out_of_range = n["age_bounds"] + n["income_positive"] + n["nps_score_range"] + n["negative_dpd"]
     return row.select(F.inline(F.array(
-        _result("schema_and_freshness", incomplete + n["date_mismatches"], say("checked ", n["snapshots"], " snapshots")),
-        _result("uniqueness_loan_snapshot", n["duplicate_rows"], say(n["duplicate_rows"], " duplicate rows")),
+        _result("schema_and_freshness", freshness, say("snapshots", "date_mismatches")),
+        _result("uniqueness_loan_snapshot", n["duplicate_rows"], say("duplicate_rows")),
         _result(
             "referential_integrity",
             n["credit_not_in_customer"] + n["nps_not_in_customer"],
-            say("credit>customer: ", n["credit_not_in_customer"], " | nps>customer: ", n["nps_not_in_customer"],
-                " | nps>credit: ", n["nps_not_in_credit"]),
+            say("credit_not_in_customer", "nps_not_in_customer", "nps_not_in_credit"),
         ),
         _result(
             "range_checks",
             out_of_range,
-            say("age_bounds=", n["age_bounds"], "; income_positive=", n["income_positive"],
-                "; nps_score_range=", n["nps_score_range"], "; dpd_non_negative=", n["negative_dpd"]),
+            say("age_bounds", "income_positive", "nps_score_range", dpd_non_negative="negative_dpd"),
         ),
-        _result("null_thresholds", n["null_breaches"],
-                say(n["null_breaches"], " breaches across ", n["snapshots"], " snapshots")),
+        _result("null_thresholds", n["null_breaches"], say("null_breaches", "snapshots")),
         _result("dpd_reconciliation", n["dpd_breaches"], F.col("dpd_lines")),
     )))
 

@@ -11,10 +11,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.operators import metrics, profiling, quality
+from loanlens.functions.values import number
+from loanlens.operators import keys, metrics, profiling, quality
+from loanlens.operators.cleaning import normalise_nulls
 from loanlens.plans import marts, staging
+from loanlens.schemas import CUSTOMER_KEY
 from loanlens.sources import snapshots, tables
 
+# Enum columns that are listed, and the sources whose keys are compared.
+VOCABULARIES = ["ACCOUNT_STATUS_L1", "ACCOUNT_STATUS_L2", "BALANCE_DUE_STATUS", "CREDIT_CHECK_DONE"]
+RELATIONS = [("credit", "sales"), ("credit", "gender"), ("credit", "dob"), ("credit", "income"), ("nps", "credit")]
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -36,22 +43,62 @@ class Warehouse:
         return spark.read.parquet(self.path(table))
 
 
-def profile(spark: SparkSession, inputs: Inputs, out: Warehouse) -> None:
-    """Column profiles of every raw source, and the datasets' sizes."""
-    credit = snapshots.read_snapshot_files(spark, inputs.snapshots)
+def profile(spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column | None = None) -> None:
+    """Profiles of every raw source: columns, sizes, relations, vocabularies, numbers, years and outliers.
+
+    ``as_of`` is the date at which implied ages are taken, the newest reported one if not given.
+    """
+    exports = snapshots.find_snapshots(spark, inputs.snapshots)
+    credit = snapshots.read_snapshots(spark, exports)
+    held = quality.raw_manifest(spark, snapshots.manifest(exports)).select(
+        F.col("snapshot_date").cast("date").alias("snapshot_date"), F.col("raw_column").alias("column")
+    )
     customers = tables.read_customer_tables(spark, inputs.customers)
     survey = tables.read_survey(spark, inputs.survey)
-    tables.write_result(profiling.column_profile(credit, "credit", by="snapshot_date"), out.path("profile_credit"))
-    per_table = [profiling.column_profile(df, f"customer::{name}") for name, df in customers.items()]
-    tables.write_result(snapshots.union_by_name(per_table), out.path("profile_customer"))
-    tables.write_result(profiling.column_profile(survey, "nps"), out.path("profile_nps"))
-    tables.write_result(
-        profiling.dataset_summary(credit=credit, nps=survey, **customers), out.path("dataset_summary")
+    named = staging.rename_survey(survey)
+    income = staging.typed_income(customers["income"])
+    dob = staging.typed_dob(customers["dob"])
+    if as_of is None:
+        as_of = staging.stage_credit_columns(credit).agg(F.max("reporting_date")).scalar()
+    presence = keys.key_presence(
+        credit=(credit, "LOAN_ID"), nps=(survey, CUSTOMER_KEY), **{name: (df, CUSTOMER_KEY) for name, df in customers.items()}
     )
+    survey_score = named.select(number(F.col("nps_score").cast("string")).alias("nps_score"))
+    amounts = staging.stage_credit_columns(credit).select("days_past_due")
+    results = {
+        "profile_credit": profiling.raw_profile(credit, "credit", by="snapshot_date", held=held),
+        "profile_customer": snapshots.union_by_name(
+            [profiling.raw_profile(df, f"customer::{name}") for name, df in customers.items()]
+        ),
+        "profile_nps": profiling.raw_profile(survey, "nps"),
+        "dataset_summary": profiling.dataset_summary(credit=credit, nps=survey, **customers),
+        "relationships": keys.relationship_metrics(
+            presence, unresolved=["gender", "income", "dob"], pairs=RELATIONS, duplicates=list(customers),
+            sources=["credit", *customers, "nps"],
+        ),
+        "vocabulary": profiling.vocabulary(normalise_nulls(credit), VOCABULARIES),
+        "status_counts": snapshots.union_by_name(
+            [profiling.value_counts(credit, c).withColumn("column", F.lit(c)) for c in VOCABULARIES]
+        ),
+        "numeric_summary": snapshots.union_by_name([
+            profiling.numeric_summary(amounts, ["days_past_due"]),
+            profiling.numeric_summary(income, ["received_total", "duration_months"]),
+            profiling.numeric_summary(survey_score, ["nps_score"]),
+        ]),
+        "birth_years": profiling.year_histogram(dob, "dob"),
+        "outliers": profiling.outlier_counts(dob, income, survey_score, as_of),
+    }
+    for name, frame in results.items():
+        tables.write_result(frame, out.path(name))
 
 
 def stage(spark: SparkSession, inputs: Inputs, out: Warehouse) -> None:
-    """Clean the raw sources.  Snapshot files hold one date each, so no shuffle is needed."""
+    """Clean the raw sources.  Snapshot files hold one date each, so no shuffle is needed.
+
+    What each snapshot's files held is kept beside the tables, for the schema check.
+    """
+    exports = snapshots.find_snapshots(spark, inputs.snapshots)
+    tables.write_table(quality.raw_manifest(spark, snapshots.manifest(exports)), out.path("raw_manifest"))
     raw = snapshots.read_snapshot_files(spark, inputs.snapshots)
     tables.write_partitions(staging.clean_credit_snapshot(raw), out.path("stg_credit_snapshot"), rebalance=False)
     customers = tables.read_customer_tables(spark, inputs.customers)
@@ -62,18 +109,27 @@ def stage(spark: SparkSession, inputs: Inputs, out: Warehouse) -> None:
     def report(source: str, counts: DataFrame) -> DataFrame:
         return counts.select(F.lit(source).alias("source"), "metric", F.col("value").cast("double").alias("value"))
 
-    per_snapshot = staging.credit_report(raw).select(
-        F.concat(F.lit("credit::"), F.col("snapshot_date").cast("string")).alias("source"),
-        "metric",
-        F.col("value").cast("double").alias("value"),
+    def per_snapshot(counts: DataFrame) -> DataFrame:
+        return counts.select(
+            F.concat(F.lit("credit::"), F.col("snapshot_date").cast("string")).alias("source"),
+            "metric",
+            F.col("value").cast("double").alias("value"),
+        )
+
+    coverage = staging.customer_coverage(out.read(spark, "stg_customer"))
+    filled, percent = (
+        coverage.select(F.concat(F.lit(word), F.col("column")).alias("metric"), F.col(value).alias("value"))
+        for word, value in (("with_", "n_filled"), ("pct_with_", "filled_pct"))
     )
-    filled = staging.customer_coverage(out.read(spark, "stg_customer")).select(
-        F.concat(F.lit("with_"), F.col("column")).alias("metric"), F.col("n_filled").alias("value")
+    warnings = quality.date_mismatches(out.read(spark, "stg_credit_snapshot")).select(
+        "snapshot_date", F.concat(F.lit("date_warning::"), F.col("verdict")).alias("metric"), F.col("n_dates").alias("value")
     )
     reports = [
-        per_snapshot,
+        per_snapshot(staging.credit_report(raw)),
+        per_snapshot(warnings),
         report("customer", staging.sales_report(customers["sales"])),
         report("customer", filled),
+        report("customer", percent),
         report("nps", staging.survey_report(survey)),
     ]
     tables.write_result(snapshots.union_by_name(reports), out.path("cleaning_report"))
@@ -87,20 +143,25 @@ def build_marts(spark: SparkSession, out: Warehouse) -> None:
 
 
 def check(spark: SparkSession, out: Warehouse, as_of: Column) -> DataFrame:
-    """Run all checks, add them to the log and return them with their routes."""
-    staged = quality.partition_columns(spark, out.path("stg_credit_snapshot"))
-    incomplete = sum(1 for held in staged.values() if set(quality.EXPECTED_CREDIT_COLUMNS) - set(held))
-    results = quality.run_suite(
-        out.read(spark, "fct_credit_snapshot"),
-        out.read(spark, "dim_customer"),
-        out.read(spark, "stg_nps"),
-        as_of,
-        incomplete_snapshots=incomplete,
-    )
+    """Run all checks, add them to the log and return them with their routes.
+
+    The contract looks at the raw columns; its findings and all orphans are tables of their
+    own, and the gate's verdict too.
+    """
+    manifest = out.read(spark, "raw_manifest")
+    contract = quality.schema_contract(manifest)
+    tables.write_result(contract, out.path("missing_columns"))
+    incomplete = contract.select("snapshot_date").distinct().count()
+    frames = {name: out.read(spark, table) for name, table in
+              (("credit", "fct_credit_snapshot"), ("customer", "dim_customer"), ("nps", "stg_nps"))}
+    tables.write_table(quality.orphans(**frames), out.path("orphans"))
+    results = quality.run_suite(frames["credit"], frames["customer"], frames["nps"], as_of, incomplete_snapshots=incomplete)
     run_at = spark.sql("SELECT current_timestamp()").first()[0]
     log = out.path("dq_results")
     tables.append_log(results.withColumn("ts", F.lit(run_at)), log)
-    return quality.with_routes(spark.read.parquet(log).filter(F.col("ts") == F.lit(run_at)))
+    logged = quality.with_routes(spark.read.parquet(log).filter(F.col("ts") == F.lit(run_at)))
+    tables.write_result(quality.gate(logged), out.path("gate"))
+    return logged
 
 
 def analyse(spark: SparkSession, out: Warehouse) -> None:
@@ -110,7 +171,9 @@ def analyse(spark: SparkSession, out: Warehouse) -> None:
                    "risk_category", "age_band"]
     attributes = [c for c in ("gender", "avg_monthly_income_band", "product_name") if c in dim.columns]
     results = {
+        "snapshot_counts": metrics.snapshot_counts(out.read(spark, "stg_credit_snapshot")),
         "portfolio_metrics": metrics.portfolio_kpis(fct),
+        "portfolio_growth": metrics.portfolio_growth(metrics.portfolio_kpis(fct)),
         "portfolio_by_segment": metrics.segment_kpis(segments, "age_band", "income_band"),
         "divergent_segments": metrics.divergent_segments(segments, "age_band", "income_band"),
         "nps_by_risk": metrics.nps_by_risk(metrics.survey_with_credit(nps, fct)),
@@ -118,3 +181,13 @@ def analyse(spark: SparkSession, out: Warehouse) -> None:
     }
     for name, frame in results.items():
         tables.write_result(frame, out.path(name))
+
+
+def run(spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column) -> DataFrame:
+    """All stages in order; the checks with their routes are the result."""
+    profile(spark, inputs, out, as_of)
+    stage(spark, inputs, out)
+    build_marts(spark, out)
+    checked = check(spark, out, as_of)
+    analyse(spark, out)
+    return checked

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,11 +14,11 @@ from loanlens.operators.cleaning import (
     col, drop_blank_rows, drop_null_keys, drop_report, is_test_row, normalise_nulls, split_by_key, trim_strings,
 )
 from loanlens.operators.dedupe import (
-    distinct_rows, first_per_key, longest_history, parse_dob_table, resolve_by_provider,
+    first_per_key, longest_history, parse_dob_table, resolve_by_provider,
 )
 from loanlens.operators.metrics import coverage_report
 from loanlens.schemas import (
-    CREDIT_COLUMNS, CUSTOMER_KEY, SURVEY_HEADERS, SURVEY_QUESTION_STEMS, SURVEY_SCORE_STEM,
+    CREDIT_COLUMNS, CREDIT_KEY, CREDIT_STATUS, CUSTOMER_KEY, SURVEY_HEADERS, SURVEY_QUESTIONS, SURVEY_SCORE_STEM,
 )
 from loanlens.sources.headers import lower_headers, pick_header, snake_headers, strip_headers
 
@@ -56,7 +58,10 @@ def drop_reason(raw: DataFrame) -> Column:
 
     Told from the raw text, so that a row is sorted out before any of it is parsed.
     """
-    status, key = (col(c) if c in raw.columns else F.lit(None).cast("string") for c in ("ACCOUNT_STATUS_L1", "LOAN_ID"))
+    lacking = [name for name in (CREDIT_STATUS, CREDIT_KEY) if name not in raw.columns]
+    if lacking:
+        raise ValueError(f"raw rows without required column: {', '.join(lacking)}")
+    status, key = col(CREDIT_STATUS), col(CREDIT_KEY)
     return F.when(is_test_row(status), "test_row").when(null_if_token(key).isNull(), "null_key")
 
 
@@ -79,7 +84,8 @@ def _keyed(table: DataFrame) -> DataFrame:
 
 
 def clean_sales(sales: DataFrame) -> DataFrame:
-    return snake_headers(first_per_key(distinct_rows(_keyed(sales)), [CUSTOMER_KEY]))
+    """One row per loan; exact copies are just further rows of their loan."""
+    return snake_headers(first_per_key(_keyed(sales), [CUSTOMER_KEY]))
 
 
 def clean_gender(gender: DataFrame) -> DataFrame:
@@ -87,18 +93,27 @@ def clean_gender(gender: DataFrame) -> DataFrame:
     return lower_headers(one.withColumnRenamed(CUSTOMER_KEY, "loan_id"))
 
 
+def typed_dob(dob: DataFrame) -> DataFrame:
+    """All rows with a usable key and their parsed dates, copies included."""
+    return parse_dob_table(_keyed(dob)).withColumnRenamed(CUSTOMER_KEY, "loan_id")
+
+
 def clean_dob(dob: DataFrame) -> DataFrame:
-    parsed = parse_dob_table(_keyed(dob)).withColumnRenamed(CUSTOMER_KEY, "loan_id")
+    parsed = typed_dob(dob)
     return resolve_by_provider(parsed.select("loan_id", "dob", "provider", "created_at"), "loan_id", "provider", "created_at").drop("created_at")
 
 
-def clean_income(income: DataFrame) -> DataFrame:
-    keyed = _keyed(income).select(
+def typed_income(income: DataFrame) -> DataFrame:
+    """All rows with a usable key and their amounts, copies included."""
+    return _keyed(income).select(
         col(CUSTOMER_KEY).alias("loan_id"),
         number(col("Duration").cast("string")).alias("duration_months"),
         number(col("Received").cast("string")).alias("received_total"),
     )
-    return longest_history(keyed, "loan_id", "duration_months", "received_total")
+
+
+def clean_income(income: DataFrame) -> DataFrame:
+    return longest_history(typed_income(income), "loan_id", "duration_months", "received_total")
 
 
 def customer_spine(sales: DataFrame, *attributes: DataFrame) -> DataFrame:
@@ -148,13 +163,18 @@ def customer_coverage(customer: DataFrame) -> DataFrame:
 # Survey -------------------------------------------------------------------------------
 
 def rename_survey(survey: DataFrame) -> DataFrame:
-    """Short names for the long question headers; other columns keep theirs."""
+    """Short names for the long question headers; other columns keep theirs.
+
+    A header is matched as a whole, but for case, spacing and the seller's name, so a
+    follow-up question keeps its own header; two headers for one short name are an error.
+    """
     names = {pick_header(survey, SURVEY_SCORE_STEM): "nps_score"}
     names.update({old: new for old, new in SURVEY_HEADERS.items() if old in survey.columns})
-    for stem, short in SURVEY_QUESTION_STEMS.items():
-        for header in survey.columns:
-            if stem in header.lower():
-                names.setdefault(header, short)
+    for pattern, short in SURVEY_QUESTIONS.items():
+        matching = [h for h in survey.columns if re.fullmatch(pattern, " ".join(h.lower().split()).rstrip(" ?"))]
+        if len(matching) > 1:
+            raise ValueError(f"several survey headers for {short}: {', '.join(matching)}")
+        names.update({header: short for header in matching})
     return survey.withColumnsRenamed(names)
 
 

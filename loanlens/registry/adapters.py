@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from loanlens.functions.bands import nps_segment
 from loanlens.plans import marts
 from loanlens.registry.core import table
-from loanlens.sources.tables import spread
 
 SCORE_HEADER = "On a scale from 0 to 10, how likely are you to recommend us?"
 DELAY_HEADER = "Have you ever experienced a delay in your payment reflecting in your account?"
@@ -28,7 +27,7 @@ def as_of() -> Column:
 
 
 def _lines_with_orders(spark: SparkSession, sf: str) -> DataFrame:
-    lines, orders = spread(table(spark, sf, "lineitem"), "l_orderkey"), table(spark, sf, "orders")
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
@@ -174,7 +173,7 @@ def _loan_text(column: str) -> Column:
 
 def raw_customer_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The four customer tables with copies, conflicts, unusable keys and odd headers."""
-    lines, events = spread(table(spark, sf, "lineitem"), "l_orderkey"), table(spark, sf, "events")
+    lines, events = table(spark, sf, "lineitem"), table(spark, sf, "events")
     quantity, flag, kind = F.col("l_quantity"), F.col("l_returnflag"), F.col("event_type")
     loan = _loan_text("l_orderkey")
     born = F.date_add(F.lit("1950-01-01").cast("date"), (F.col("event_id") % 20000).cast("int")).cast("string")
@@ -302,7 +301,7 @@ fct AS (
   SELECT loan_id, reporting_date, l_suppkey AS customer_age, l_extendedprice * (1 - abs(l_discount)) AS total_paid,
     CASE WHEN l_quantity <> 44 THEN l_extendedprice * (1 + abs(l_tax)) END AS total_due_today,
     l_extendedprice AS balance,
-    CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) * 2 ELSE 0 END AS days_past_due,
+    CAST(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) * 2 ELSE 0 END AS DOUBLE) AS days_past_due,
     l_extendedprice AS closing_balance, CAST(0 AS DOUBLE) AS advance, l_extendedprice - o_totalprice AS balance_due_to_date,
     l_extendedprice * abs(l_discount) AS arrears,
     CASE l_returnflag WHEN 'R' THEN 'arrears' WHEN 'A' THEN 'up to date' ELSE 'advance' END AS balance_due_status,

@@ -26,15 +26,15 @@ def cln_trim_strings(spark, sf):
 
 
 @query("cln_us_date", using("raw") + f"""
-SELECT l_orderkey || '-' || l_linenumber AS line, {sql_day('reporting_date')} AS "DATE",
+SELECT CASE WHEN l_quantity = 50 THEN NULL WHEN l_quantity = 49 THEN '#N/A' ELSE l_orderkey || '-' || l_linenumber END AS line,
+  {sql_day('reporting_date')} AS "DATE",
   CASE WHEN l_returnflag = 'R' THEN {sql_day('l_shipdate')} END AS "RETURN_DATE", {sql_day('o_orderdate')} AS "SALE_DATE",
   {sql_day('o_orderdate')} AS "CREDIT_EXPIRY", {sql_day('o_orderdate')} AS "NEXT_INVOICE_DATE",
-  {sql_day('o_orderdate')} AS "MAX_PAYMENT_DATE" FROM raw WHERE l_quantity < 48""")
+  {sql_day('o_orderdate')} AS "MAX_PAYMENT_DATE" FROM raw""")
 def cln_us_date(spark, sf):
     dates = [header for header, _, kind in CREDIT_COLUMNS if kind == "date"]
-    rows = a.raw_credit(spark, sf).filter("CAST(PAYMENT AS DOUBLE) < 48")
-    line = F.replace("LOAN_ID", F.lit("loan-"), F.lit("")).alias("line")
-    return cleaning.parse_us_dates(rows.select(line, *dates), dates)
+    line = F.replace(F.btrim("LOAN_ID", F.lit("\t ")), F.lit("loan-"), F.lit("")).alias("line")
+    return cleaning.parse_us_dates(a.raw_credit(spark, sf).select(line, *dates), dates)
 
 
 @query("cln_mixed_ts", """
@@ -192,18 +192,23 @@ def clean_survey(spark, sf):
     return staging.clean_survey(a.raw_survey(spark, sf))
 
 
-@query("ded_exact", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+LINE = "* REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate)"
+
+
+@query("ded_exact", f"SELECT DISTINCT {LINE} FROM lineitem")
 def ded_exact(spark, sf):
-    return dedupe.distinct_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    """Every row of the table and once more those of one flag, without the copies."""
+    lines = table(spark, sf, "lineitem")
+    return dedupe.distinct_rows(lines.unionByName(lines.filter("l_returnflag = 'A'")))
 
 
-@query("ded_first_per_key", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS place
+@query("ded_first_per_key", f"""
+SELECT * EXCLUDE (place) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
+    l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS place
   FROM lineitem) AS ranked WHERE place = 1""")
 def ded_first_per_key(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return dedupe.first_per_key(lines, ["l_orderkey", "l_linenumber"])
+    return dedupe.first_per_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("ded_provider_priority", using("dob") + """
@@ -217,12 +222,16 @@ def ded_longest_history(spark, sf):
     return staging.clean_income(a.raw_customer_tables(spark, sf)["income"])
 
 
-@query("join_customer_spine", using("sales", "gender") + """
-SELECT sales.*, citizenship, gender FROM sales LEFT JOIN gender ON sales.loan_id = gender.loan_id""")
+@query("join_customer_spine", using("sales", "gender", "incomes", "dob") + """
+SELECT sales.*, citizenship, gender, duration_months, received_total, strftime(dob.dob, '%Y-%m-%d %H:%M:%S') AS dob, provider
+FROM sales LEFT JOIN gender ON sales.loan_id = gender.loan_id LEFT JOIN incomes ON sales.loan_id = incomes.loan_id
+LEFT JOIN dob ON sales.loan_id = dob.loan_id""")
 def join_customer_spine(spark, sf):
     raw = a.raw_customer_tables(spark, sf)
-    return staging.customer_spine(staging.clean_sales(raw["sales"]),
-                                  staging.clean_gender(raw["gender"]))
+    return staging.customer_spine(
+        staging.clean_sales(raw["sales"]), staging.clean_gender(raw["gender"]),
+        staging.clean_income(raw["income"]), staging.clean_dob(raw["dob"]),
+    )
 
 
 CUSTOMER = using("sales", "gender", "dob", "incomes") + """, customer_built AS (

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from loanlens.operators import keys, profiling
 from loanlens.registry import adapters as a
-from loanlens.registry.adapters import AS_OF, sql_round, using
+from loanlens.registry.adapters import AS_OF, sql_day, sql_round, using
 from loanlens.registry.core import query, rounded, table
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-LINE_COLUMNS = ["l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query("orphan_keys", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -44,7 +45,7 @@ def key_coverage(spark, sf):
 
 
 LOAN_TEXT = "'loan-' || l_orderkey"
-RELATED = f"""WITH credit AS (SELECT 'loan-' || o_orderkey AS k FROM orders),
+RELATED = f"""WITH credit AS (SELECT {LOAN_TEXT} AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 sales AS (SELECT CASE WHEN l_quantity <> 50 THEN {LOAN_TEXT} END AS k FROM lineitem),
 gender AS (SELECT CASE WHEN l_quantity = 49 THEN '#N/A' ELSE {LOAN_TEXT} END AS k FROM lineitem),
 dob AS (SELECT 'loan-' || user_id AS k FROM events),
@@ -71,7 +72,7 @@ def _relation_sql() -> str:
 @query("relationship_metrics", RELATED + _relation_sql())
 def relationship_metrics(spark, sf):
     raw = a.raw_customer_tables(spark, sf)
-    loans = table(spark, sf, "orders").select(F.concat(F.lit("loan-"), F.col("o_orderkey").cast("string")).alias("loan_id"))
+    loans = a.loan_snapshot(spark, sf).select(F.concat(F.lit("loan-"), F.col("loan_id").cast("string")).alias("loan_id"))
     presence = keys.key_presence(
         credit=(loans, "loan_id"), sales=(raw["sales"], "Loan Id"), gender=(raw["gender"], "Loan Id"),
         dob=(raw["dob"], "Loan Id "), income=(raw["income"], "Loan Id"), nps=(a.raw_survey(spark, sf), "Loan Id"),
@@ -88,7 +89,8 @@ def _text(column: str, dtype: str) -> str:
 
 TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
          "o_orderdate": "timestamp_ntz", "o_orderpriority": "string", "l_linenumber": "int", "l_quantity": "double",
-         "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string"}
+         "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_orderkey": "bigint",
+         "l_partkey": "bigint", "l_suppkey": "bigint", "l_extendedprice": "double", "l_shipdate": "timestamp_ntz"}
 
 
 def _profile_sql(source: str, relation: str, column: str, group: str = "") -> str:
@@ -114,6 +116,31 @@ def profile_by_snapshot(spark, sf):
     return profiling.column_profile(lines, "credit", by="snapshot_date")
 
 
+# Derived type of each raw column, and when its value is missing; every snapshot has all kinds of rows.
+RAW_KINDS = {
+    "string": ["LOAN_ID", "DATE", "BALANCE_DUE_STATUS", "ACCOUNT_STATUS_L1", "ACCOUNT_STATUS_L2", "CREDIT_CHECK_DONE"],
+    "whole": ["CUSTOMER_AGE", "ADVANCE", "EXPECTED_PAYMENT", "FIRST_PAYMENT", "FIRST_EXPECTED_PAYMENT", "PREPAYMENT_AMOUNT",
+              "INITIAL_PAY", "TOTAL_PAID_WITH_ADJUSTMENTS_15D"],
+    "fraction": ["TOTAL_PAID", "TOTAL_DUE_TODAY", "BALANCE", "DAYS_PAST_DUE", "CLOSING_BALANCE", "BALANCE_DUE_TO_DATE", "ARREARS",
+                 "PAYMENT", "PAYMENT_AMOUNT", "DEPOSIT", "WEEKLY_RATE", "DISCOUNT", "OVERPAYMENT_AMOUNT"],
+    "date": ["RETURN_DATE", "SALE_DATE", "CREDIT_EXPIRY", "NEXT_INVOICE_DATE", "MAX_PAYMENT_DATE"],
+    "empty": ["ADJUSTMENT_AMOUNT"],
+}
+RAW_NULLS = {"LOAN_ID": "l_quantity IN (49, 50)", "TOTAL_DUE_TODAY": "l_quantity = 44", "RETURN_DATE": "l_returnflag <> 'R'",
+             "PAYMENT_AMOUNT": "l_returnflag = 'A'", "ADJUSTMENT_AMOUNT": "true"}
+
+
+def _raw_sql(column: str, kind: str) -> str:
+    missing = f"count(CASE WHEN {RAW_NULLS.get(column, 'false')} THEN 1 END)"
+    return f"""SELECT 'credit::' || {sql_day('snapshot_date')} AS source, '{column}' AS "column", '{kind}' AS dtype, count(*) AS rows,
+  {missing} AS n_null, {sql_round(f'100.0 * {missing} / count(*)', 2)} AS pct_null FROM raw GROUP BY snapshot_date"""
+
+
+@query("profile_raw_credit", using("raw") + " UNION ALL ".join(_raw_sql(c, kind) for kind, names in RAW_KINDS.items() for c in names))
+def profile_raw_credit(spark, sf):
+    return profiling.raw_profile(a.raw_credit(spark, sf), "credit", by="snapshot_date").drop("n_unique", "sample")
+
+
 @query("vocabulary", " UNION ALL ".join(
     f'SELECT \'{c}\' AS "column", {c} AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}'
     for t, c in (("lineitem", "l_returnflag"), ("lineitem", "l_linestatus"))))
@@ -143,8 +170,9 @@ def numeric_summary(spark, sf):
 
 @query("year_histogram", """
 WITH years AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders GROUP BY 1)
-SELECT * FROM (SELECT year, n, 'head' AS place FROM years ORDER BY year NULLS LAST LIMIT 10) AS h
-UNION ALL SELECT * FROM (SELECT year, n, 'tail' AS place FROM years ORDER BY year DESC NULLS FIRST LIMIT 10) AS t""")
+SELECT year, n, CAST(row_number() OVER (ORDER BY year NULLS LAST) AS INTEGER) AS from_first,
+  CAST(row_number() OVER (ORDER BY year DESC NULLS FIRST) AS INTEGER) AS from_last,
+  min(year) OVER () AS first_year, max(year) OVER () AS last_year FROM years""")
 def year_histogram(spark, sf):
     return profiling.year_histogram(table(spark, sf, "orders"), "o_orderdate")
 
@@ -153,8 +181,10 @@ AGE = f"((DATE '{AS_OF}' - dob) / 365.25)"
 
 
 @query("outlier_counts", using("lc", "sv") + f"""
-SELECT 'age_below_18' AS metric, count(*) AS value FROM lc WHERE {AGE} < 18
+SELECT 'age_below_18' AS metric, CAST(count(*) AS DOUBLE) AS value FROM lc WHERE {AGE} < 18
 UNION ALL SELECT 'age_100_or_more', count(*) FROM lc WHERE {AGE} >= 100
+UNION ALL SELECT 'age_min', {sql_round(f'min({AGE})', 1)} FROM lc
+UNION ALL SELECT 'age_max', {sql_round(f'max({AGE})', 1)} FROM lc
 UNION ALL SELECT 'income_not_positive', count(*) FROM lc WHERE received_total <= 0
 UNION ALL SELECT 'distinct_durations', count(DISTINCT duration_months) FROM lc
 UNION ALL SELECT 'score_out_of_range', count(*) FROM sv WHERE nps_score < 0 OR nps_score > 10""")

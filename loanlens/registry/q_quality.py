@@ -9,23 +9,30 @@ from loanlens.plans.staging import clean_credit_snapshot
 from loanlens.registry import adapters as a
 from loanlens.registry.adapters import AS_OF, sql_day, sql_round, using
 from loanlens.registry.core import query, table
+from loanlens.registry.q_sources import write_snapshot_files
 from loanlens.schemas import NULL_TOLERANCES
 from loanlens.session import materialised, shared_dir
-from loanlens.sources.tables import append_log, write_partitions
+from loanlens.sources import snapshots
+from loanlens.sources.tables import append_log
 
-LS_COLUMNS = ["loan_id", "line_no", "snapshot_date", "reporting_date", "next_invoice_date", "balance", "arrears",
-              "total_paid", "total_due_today", "days_past_due", "account_status_l1", "account_status_l2"]
-MISSING = sorted(set(quality.EXPECTED_CREDIT_COLUMNS) - set(LS_COLUMNS))
+LOST = ["DEPOSIT", "WEEKLY_RATE"]
 
 
 @query("dq_schema_contract", using("ls") + f"""
 SELECT {sql_day('s.snapshot_date')} AS snapshot_date, m.missing_column
-FROM (SELECT DISTINCT snapshot_date FROM ls) AS s,
-  (VALUES {', '.join(f"('{name}')" for name in MISSING)}) AS m(missing_column)""")
+FROM (SELECT max(snapshot_date) AS snapshot_date FROM ls) AS s,
+  (VALUES {', '.join(f"('{name}')" for name in LOST)}) AS m(missing_column)""")
 def dq_schema_contract(spark, sf):
-    path = shared_dir(spark, "contract")
-    write_partitions(a.loan_snapshot(spark, sf), path)
-    return quality.schema_contract(spark, quality.partition_columns(spark, path))
+    """Raw files of all snapshots; some have their headers in lower case, the newest lacks columns."""
+    root = shared_dir(spark, "contract")
+    raw = a.raw_credit(spark, sf)
+    year, newest = F.year("snapshot_date"), F.year(raw.agg(F.max("snapshot_date")).scalar())
+    write_snapshot_files(raw.filter(year % 2 == 0).filter(year < newest), root)
+    lower = raw.filter(year % 2 == 1).filter(year < newest)
+    write_snapshot_files(lower.toDF(*[c.lower() for c in lower.columns]), root)
+    write_snapshot_files(raw.filter(year == newest).drop(*LOST), root)
+    exports = snapshots.find_snapshots(spark, f"{root}/*{snapshots.FILE_GLOB}")
+    return quality.schema_contract(quality.raw_manifest(spark, snapshots.manifest(exports)))
 
 
 AGREEMENT = f"""SELECT {sql_day('snapshot_date')} AS snapshot_date, count(DISTINCT reporting_date) AS n_dates,
@@ -49,11 +56,17 @@ def dq_uniqueness(spark, sf):
     return quality.uniqueness(lines, "l_orderkey", "l_linenumber")
 
 
-@query("dq_referential", using("ls", "lc") + """
-SELECT loan_id, 'dim_customer' AS missing_in FROM (SELECT DISTINCT loan_id FROM ls) AS known
-WHERE loan_id NOT IN (SELECT loan_id FROM lc) ORDER BY loan_id LIMIT 50""")
+def _orphan_sql(source: str, rows: str, target: str, known: str) -> str:
+    return f"""SELECT DISTINCT '{source}' AS source, '{target}' AS missing_in, CAST(loan_id AS VARCHAR) AS loan_id FROM {rows}
+WHERE loan_id NOT IN (SELECT loan_id FROM {known})"""
+
+
+@query("dq_referential", using("ls", "lc", "nps") + " UNION ALL ".join((
+    _orphan_sql("credit", "ls", "customer", "lc"), _orphan_sql("nps", "nps", "customer", "lc"), _orphan_sql("nps", "nps", "credit", "ls"))))
 def dq_referential(spark, sf):
-    return quality.orphan_sample(a.loan_snapshot(spark, sf), a.loan_customer(spark, sf))
+    return quality.orphans(
+        credit=a.loan_snapshot(spark, sf), customer=a.loan_customer(spark, sf), nps=a.scored_survey(spark, sf)
+    )
 
 
 AGE = f"((DATE '{AS_OF}' - dob) / 365.25)"
@@ -96,9 +109,10 @@ def dq_dpd_reconciliation(spark, sf):
 
 
 def _suite(spark, sf):
+    # The suite reads the fact three times; written, it is derived once.
+    fct = materialised(a.credit_fact(spark, sf), "suite-fact")
     return quality.run_suite(
-        a.credit_fact(spark, sf), a.loan_customer(spark, sf), a.scored_survey(spark, sf), a.as_of(),
-        unique_on=("loan_id", "line_no"),
+        fct, a.loan_customer(spark, sf), a.scored_survey(spark, sf), a.as_of(), unique_on=("loan_id", "line_no")
     )
 
 
@@ -115,7 +129,8 @@ SUITE = using("risk", "lc", "nps") + f""", per AS (
 tot AS (
   SELECT count(*) AS snapshots, count(CASE WHEN lo <> snapshot_date OR hi <> snapshot_date THEN 1 END) AS mismatches,
     sum(negative) AS negative, sum(breaches) AS breaches, count(CASE WHEN within < 50 THEN 1 END) AS dpd,
-    string_agg(printf('%s rows=%d exact=%.2f within_7d=%.2f', {sql_day('snapshot_date')}, n, exact, within), '; ' ORDER BY snapshot_date) AS lines
+    '[' || string_agg(printf('{{"snapshot_date":"%s","rows":%d,"exact_match_pct":%s,"within_7d_pct":%s}}',
+      {sql_day('snapshot_date')}, n, CAST(exact AS VARCHAR), CAST(within AS VARCHAR)), ',' ORDER BY snapshot_date) || ']' AS lines
   FROM per),
 dup AS (SELECT coalesce(sum(n), 0) AS n FROM (
   SELECT count(*) AS n FROM risk GROUP BY loan_id, line_no, snapshot_date HAVING count(*) > 1) AS repeated),
@@ -129,14 +144,15 @@ rng AS (SELECT
   (SELECT count(*) FROM nps WHERE nps_score < 0 OR nps_score > 10) AS score),
 results AS (
   SELECT 'schema_and_freshness' AS name, 'critical' AS severity, 'real_time' AS cadence, snapshots + mismatches AS n_failed,
-    'checked ' || snapshots || ' snapshots' AS detail FROM tot
-  UNION ALL SELECT 'uniqueness_loan_snapshot', 'critical', 'daily', n, n || ' duplicate rows' FROM dup
+    printf('{{"snapshots":%d,"date_mismatches":%d}}', snapshots, mismatches) AS detail FROM tot
+  UNION ALL SELECT 'uniqueness_loan_snapshot', 'critical', 'daily', n, printf('{{"duplicate_rows":%d}}', CAST(n AS BIGINT)) FROM dup
   UNION ALL SELECT 'referential_integrity', 'warning', 'daily', credit + nps_customer,
-    'credit>customer: ' || credit || ' | nps>customer: ' || nps_customer || ' | nps>credit: ' || nps_credit FROM orphan
+    printf('{{"credit_not_in_customer":%d,"nps_not_in_customer":%d,"nps_not_in_credit":%d}}', credit, nps_customer, nps_credit) FROM orphan
   UNION ALL SELECT 'range_checks', 'warning', 'daily', age + income + score + negative,
-    'age_bounds=' || age || '; income_positive=' || income || '; nps_score_range=' || score || '; dpd_non_negative=' || negative
+    printf('{{"age_bounds":%d,"income_positive":%d,"nps_score_range":%d,"dpd_non_negative":%d}}', age, income, score, CAST(negative AS BIGINT))
     FROM rng, tot
-  UNION ALL SELECT 'null_thresholds', 'warning', 'daily', breaches, breaches || ' breaches across ' || snapshots || ' snapshots' FROM tot
+  UNION ALL SELECT 'null_thresholds', 'warning', 'daily', breaches,
+    printf('{{"null_breaches":%d,"snapshots":%d}}', CAST(breaches AS BIGINT), snapshots) FROM tot
   UNION ALL SELECT 'dpd_reconciliation', 'info', 'weekly', dpd, lines FROM tot)
 """
 
@@ -154,6 +170,12 @@ def dq_routes(spark, sf):
     return quality.with_routes(_suite(spark, sf)).select("name", "passed", "route")
 
 
+@query("dq_gate", SUITE + """
+SELECT count(*) AS n_critical, count(*) > 0 AS blocked FROM results WHERE severity = 'critical' AND n_failed > 0""")
+def dq_gate(spark, sf):
+    return quality.gate(_suite(spark, sf))
+
+
 @query("dq_log_append", SUITE + """
 SELECT name, CAST(2 AS BIGINT) AS runs, CAST(2 * n_failed AS BIGINT) AS n_failed FROM results""")
 def dq_log_append(spark, sf):

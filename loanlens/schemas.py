@@ -10,7 +10,7 @@ CREDIT_COLUMNS = [
     ("TOTAL_PAID", "total_paid", "double"),
     ("TOTAL_DUE_TODAY", "total_due_today", "double"),
     ("BALANCE", "balance", "double"),
-    ("DAYS_PAST_DUE", "days_past_due", "long"),
+    ("DAYS_PAST_DUE", "days_past_due", "double"),
     ("CLOSING_BALANCE", "closing_balance", "double"),
     ("ADVANCE", "advance", "double"),
     ("BALANCE_DUE_TO_DATE", "balance_due_to_date", "double"),
@@ -39,6 +39,9 @@ CREDIT_COLUMNS = [
     ("TOTAL_PAID_WITH_ADJUSTMENTS_15D", "total_paid_with_adjustments_15d", "double"),
 ]
 
+# Headers without which a snapshot cannot be used.
+CREDIT_KEY, CREDIT_STATUS = "LOAN_ID", "ACCOUNT_STATUS_L1"
+
 # The staged table must hold every staged name plus the partition column.
 EXPECTED_CREDIT_COLUMNS = [staged for _, staged, _ in CREDIT_COLUMNS] + ["snapshot_date"]
 
@@ -74,21 +77,22 @@ CUSTOMER_TABLES = {
 }
 CUSTOMER_KEY = "Loan Id"
 
-# Plain survey headers, then the stem that identifies each question header.
+# Plain survey headers, then the question headers.
 SURVEY_HEADERS = {
     "Submission ID": "submission_id",
     "Respondent ID": "respondent_id",
     "Submitted at": "submitted_at",
     "Loan Id": "loan_id",
 }
-SURVEY_QUESTION_STEMS = {
-    "happy with the quality and performance": "happy_with_device",
-    "happy with the service and support": "happy_with_service",
-    "experienced a delay in your payment": "experienced_payment_delay",
-    "difficulty getting assistance": "difficulty_getting_support",
-    "battery-related issues": "battery_issues",
-    "to manage your account or make payments": "uses_app",
-    "which communication channel do you prefer": "preferred_channel",
-    "phone lock despite making a payment": "phone_locked_despite_payment",
+# Whole headers, lower-case and without the question mark; names of the seller are left open.
+SURVEY_QUESTIONS = {
+    "are you happy with the quality and performance of your device": "happy_with_device",
+    "are you happy with the service and support provided by .+": "happy_with_service",
+    "have you ever experienced a delay in your payment reflecting in your (?:\\S+ )?account": "experienced_payment_delay",
+    "have you ever had difficulty getting assistance from .+ customer support when needed": "difficulty_getting_support",
+    "have you experienced any battery-related issues with your .+ device": "battery_issues",
+    "have you used the .+ to manage your account or make payments": "uses_app",
+    "which communication channel do you prefer when contacting .+ for inquiries or support": "preferred_channel",
+    "have you ever had your phone lock despite making a payment on time": "phone_locked_despite_payment",
 }
 SURVEY_SCORE_STEM = "scale from 0"

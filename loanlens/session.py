@@ -6,9 +6,7 @@ settings here are only the ones the results or the skew handling depend on.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join that few keys survive sends a filter of the keys to the other side's scan.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # A projection over all raw columns can outgrow what HotSpot compiles; beyond this
     # size Spark splits the work into small methods instead of one interpreted one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -46,23 +46,23 @@ def build_session(app: str = "loanlens", master: str | None = None, **conf: str)
     return configure(builder.getOrCreate())
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="loanlens-")
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the session names for data all machines must see.
 
+    That is ``spark.checkpoint.dir``; a session that leaves it unset still has a warehouse.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/loanlens"
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared folder given in ``spark.checkpoint.dir``.
 
-    Only a local session that leaves the setting empty gets a temporary folder; on a
-    cluster such a folder would not be visible to other machines.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_folder()
-    return f"{root.rstrip('/')}/loanlens/{name}-{uuid.uuid4().hex}"
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path in the session's shared folder; what is written there goes when the application ends."""
+    holder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(holder)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{holder}/data"
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Iterable
 from functools import reduce
@@ -9,12 +10,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.sources.headers import BLANK_HEADER, drop_blank_headers, strip_headers
+from loanlens.schemas import CREDIT_COLUMNS, CREDIT_KEY, CREDIT_STATUS
+from loanlens.sources.first_lines import Part, parts, scan
+from loanlens.sources.headers import drop_blank_headers
 
 # Fixed value: file names carry the snapshot date as day-month-year.
 FILE_PATTERN = r"Credit_Data_-_(\d{2})-(\d{2})-(\d{4})\.csv(?:/[^/]*)?$"
 FILE_GLOB = "Credit_Data_-_*.csv"
-EXPORT_NAME = re.compile(r"^(.*Credit_Data_-_\d{2}-\d{2}-\d{4}\.csv)")
+EXPORT_NAME = re.compile(r"^(.*Credit_Data_-_(\d{2})-(\d{2})-(\d{4})\.csv)")
+
+# Headers are known in any case and with blanks around.
+KNOWN = {header.upper(): header for header, _, _ in CREDIT_COLUMNS}
 
 
 def snapshot_date_of(path: Column) -> Column:
@@ -25,10 +31,6 @@ def snapshot_date_of(path: Column) -> Column:
     ).otherwise(F.raise_error(F.concat(F.lit("no snapshot date in file name: "), path)).cast("date"))
 
 
-def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"')
-
-
 def group_by_export(paths: Iterable[str]) -> dict[str, list[str]]:
     """CSV paths by the file or folder that carries the snapshot name."""
     exports: dict[str, list[str]] = {}
@@ -38,52 +40,73 @@ def group_by_export(paths: Iterable[str]) -> dict[str, list[str]]:
     return exports
 
 
-def list_files(spark: SparkSession, *patterns: str) -> list[str]:
-    """Paths of the non-empty files behind globs or folders.
+def _canonical(header: tuple[str, ...], path: str) -> tuple[str, ...]:
+    names = tuple(KNOWN.get(name.strip().upper(), name.strip()) for name in header)
+    seen = [name.upper() for name in names]
+    twice = sorted({name for name in seen if seen.count(name) > 1})
+    if twice:
+        raise ValueError(f"{path} has the same column twice: {', '.join(twice)}")
+    return names
 
-    Names only: the content column is pruned, so no file is opened.
-    """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(patterns))
-    return [row.path for row in listed.where("length > 0").select("path").orderBy("path").toLocalIterator()]
 
+def find_snapshots(spark: SparkSession, *patterns: str) -> list[Part]:
+    """The exports behind globs or folders with their canonical headers."""
+    def export(path: Column) -> Column:
+        named = F.regexp_extract(path, EXPORT_NAME.pattern, 1)
+        return F.when(named == "", path).otherwise(named)
+
+    return [Part(p.group, p.path, _canonical(p.header, p.path)) for p in parts(spark, *patterns, group=export)]
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(_csv(spark).csv(path).columns)
 
+def manifest(exports: list[Part]) -> dict[str, list[str]]:
+    """Raw columns that each snapshot's files all have, by snapshot date."""
+    held: dict[str, set[str]] = {}
+    for part in exports:
+        named = EXPORT_NAME.match(part.group)
+        date = str(dt.date(int(named[4]), int(named[3]), int(named[2]))) if named else part.group
+        held[date] = held.get(date, set(part.header)) & set(part.header)
+    return {date: sorted(columns) for date, columns in sorted(held.items())}
 
-def _has_blank(header: tuple[str, ...]) -> bool:
-    return any(BLANK_HEADER.match(name) for name in header)
 
+def require_columns(exports: list[Part], *names: str) -> None:
+    """Stop if a snapshot lacks a column without which its rows mean nothing."""
+    lacking = [f"{part.path} ({name})" for part in exports for name in names if name not in part.header]
+    if lacking:
+        raise ValueError(f"snapshot without required column: {', '.join(lacking)}")
 
-def read_snapshot_files(spark: SparkSession, *patterns: str, drop_blank: bool = False) -> DataFrame:
-    """Raw text columns of all files behind globs or folders, plus ``snapshot_date``.
 
-    Columns come and go between snapshots and a CSV scan matches them by position, so
-    files are grouped by header: one scan per distinct header, joined up by name.  The
-    parts of one export share a header, so one first line per export is looked at; the
-    scan itself compares every file's header again and stops on a difference.  Blank
-    headers get a made-up name that comparison cannot know, so there each file counts.
+def read_snapshots(spark: SparkSession, exports: list[Part], drop_blank: bool = False) -> DataFrame:
+    """Raw text columns of the exports, plus ``snapshot_date``.
 
-    ``drop_blank`` drops such a column if it holds nothing, at the price of one more
-    pass over its files; kept, it is a text column of nulls that costs next to nothing.
+    One scan per distinct header, joined up by name, so columns may come, go and change
+    places between snapshots and between the parts of one.  ``drop_blank`` drops a column
+    without header if it holds nothing, at the price of one more pass over its files; kept,
+    it is a text column of nulls that costs next to nothing.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for paths in group_by_export(list_files(spark, *patterns)).values():
-        header = _header(spark, paths[0])
-        for path in paths:
-            by_header.setdefault(_header(spark, path) if _has_blank(header) else header, []).append(path)
-    if not by_header:
-        raise ValueError(f"no snapshot files match {', '.join(patterns)}")
-
+    for part in exports:
+        by_header.setdefault(part.header, []).append(part.path)
     frames = []
     for header, paths in by_header.items():
-        schema = ", ".join(f"`{name}` string" for name in header)
-        scan = _csv(spark).schema(schema).option("enforceSchema", _has_blank(header)).csv(paths)
-        dated = scan.withColumn("snapshot_date", snapshot_date_of(F.col("_metadata.file_path")))
-        frames.append(strip_headers(drop_blank_headers(dated) if drop_blank else dated))
+        dated = scan(spark, header, paths).withColumn("snapshot_date", snapshot_date_of(F.col("_metadata.file_path")))
+        frames.append(drop_blank_headers(dated) if drop_blank else dated)
     return union_by_name(frames)
 
 
+def read_snapshot_files(
+    spark: SparkSession, *patterns: str, drop_blank: bool = False, required: tuple[str, ...] = (CREDIT_KEY, CREDIT_STATUS)
+) -> DataFrame:
+    """Raw text columns of all snapshot files behind globs or folders, plus ``snapshot_date``.
+
+    No file at all is an error, and so is a snapshot without a ``required`` column.
+    """
+    exports = find_snapshots(spark, *patterns)
+    if not exports:
+        raise ValueError(f"no snapshot files match {', '.join(patterns)}")
+    require_columns(exports, *required)
+    return read_snapshots(spark, exports, drop_blank)
+
+
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames; a column some frame lacks is null there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)

@@ -3,19 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loanlens.schemas import CUSTOMER_TABLES
+from loanlens.sources.first_lines import parts, scan
 from loanlens.sources.headers import strip_headers
+from loanlens.sources.snapshots import union_by_name
 
 
 def read_text_table(spark: SparkSession, path: str, free_text: bool = False) -> DataFrame:
-    """A CSV table as text columns.
+    """A CSV table as text columns; its parts may order their columns differently.
 
     Free text may hold line breaks, which makes a file readable by one task only; ask
-    for it where the source is known to have such text.
+    for it where the source is known to have such text.  There the parts must agree on
+    their header, and the scan stops on a difference.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    return strip_headers(reader.option("multiLine", free_text).csv(path))
+    if free_text:
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+        return strip_headers(reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for part in parts(spark, path, group=lambda file: F.lit(path)):
+        by_header.setdefault(tuple(name.strip() for name in part.header), []).append(part.path)
+    if not by_header:
+        raise ValueError(f"no table files in {path}")
+    return union_by_name([scan(spark, header, paths) for header, paths in by_header.items()])
 
 
 def read_customer_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -27,16 +38,6 @@ def read_survey(spark: SparkSession, path: str) -> DataFrame:
     return read_text_table(spark, path, free_text=True)
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """A scan's rows over all cores if its files give fewer tasks than there are cores.
-
-    For a file that cannot be split (one row group, or compressed text).  A scan with
-    enough tasks, as of any large table, comes back as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a flat Parquet table."""
     df.write.mode("overwrite").parquet(path)

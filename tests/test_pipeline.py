@@ -35,8 +35,13 @@ def test_every_stage_leaves_its_tables(spark, built):
     assert len(checks) == 6 and all(c.ts is not None for c in checks)
     pipeline.analyse(spark, out)
     for name in ("portfolio_metrics", "portfolio_by_segment", "divergent_segments", "nps_by_risk", "cleaned_summary",
-                 "profile_credit", "profile_customer", "profile_nps", "dataset_summary", "cleaning_report"):
+                 "profile_credit", "profile_customer", "profile_nps", "dataset_summary", "cleaning_report", "snapshot_counts",
+                 "portfolio_growth", "relationships", "vocabulary", "status_counts", "numeric_summary", "birth_years", "outliers",
+                 "missing_columns", "gate"):
         assert spark.read.option("header", True).csv(out.path(name)).columns, name
+    assert out.read(spark, "orphans").columns == ["source", "missing_in", "loan_id"]
+    report = spark.read.option("header", True).csv(out.path("cleaning_report"))
+    assert report.filter("metric LIKE 'date_warning::%' OR metric LIKE 'pct_with_%'").select("metric").distinct().count() >= 4
     again = pipeline.check(spark, out, F.lit(AS_OF))
     assert again.count() == 6 and out.read(spark, "dq_results").count() == 12
 

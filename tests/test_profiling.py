@@ -70,8 +70,20 @@ def test_numeric_summary_with_nulls(spark, table):
     assert profiling.numeric_summary(empty, ["n"]).count() == 0
 
 
-def test_year_histogram_ends(spark):
+def test_year_histogram_has_every_year(spark):
     df = spark.createDataFrame([(f"{1950 + i}-03-01",) for i in range(25)] + [(None,)], "d string").withColumn("d", F.col("d").cast("date"))
-    got = profiling.year_histogram(df, "d").collect()
-    assert [r.year for r in got if r.place == "head"] == list(range(1950, 1960))
-    assert [r.year for r in got if r.place == "tail"] == [None, *range(1974, 1965, -1)]
+    got = {r.year: tuple(r)[1:] for r in profiling.year_histogram(df, "d").collect()}
+    assert set(got) == {*range(1950, 1975), None}
+    assert got[1950] == (1, 1, 26, 1950, 1974) and got[1974] == (1, 25, 2, 1950, 1974) and got[None] == (1, 26, 1, 1950, 1974)
+
+
+def test_raw_profile_derives_types_and_sees_drift(spark):
+    data = [("1", "4", "1/2/2025", "x", "a"), ("1", "NA", None, "#N/A", "a"), ("2", "4.5", "00:00.0", "7", "b"), ("2", "5", "1/3/2025", None, "b")]
+    df = spark.createDataFrame(data, "s string, n string, d string, t string, only string")
+    held = spark.createDataFrame([(s, c) for s in "12" for c in "ndt"] + [("1", "only")], "s string, column string")
+    got = {(r.source, r["column"]): (r.dtype, r.rows, r.n_null, r.n_unique) for r in profiling.raw_profile(df, by="s", held=held).collect()}
+    assert got == {
+        ("1", "n"): ("whole", 2, 1, 1), ("2", "n"): ("fraction", 2, 0, 2), ("1", "d"): ("date", 2, 1, 1), ("2", "d"): ("string", 2, 0, 2),
+        ("1", "t"): ("string", 2, 1, 1), ("2", "t"): ("whole", 2, 1, 1), ("1", "only"): ("string", 2, 0, 1),
+    }
+    assert profiling.raw_profile(df.select(F.lit("NaN").alias("x"))).first().dtype == "empty"

@@ -1,22 +1,34 @@
-from types import SimpleNamespace
+import subprocess
+import sys
+from pathlib import Path
 
-import pytest
+from loanlens.session import shared_dir, shared_root
 
-from loanlens.session import shared_dir
 
+def test_the_shared_folder_comes_from_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert first.startswith(f"{root}/loanlens/x-") and first != second and not Path(first).exists()
 
-def fake(master, folder=None):
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
-    )
 
+def test_a_session_without_the_setting_uses_its_warehouse():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs:///warehouse/"}.get(key, default)
 
-def test_the_shared_folder_comes_from_the_session():
-    assert shared_dir(fake("yarn", "hdfs:///scratch/"), "x").startswith("hdfs:///scratch/loanlens/x-")
-    assert shared_dir(fake("yarn", "hdfs:///s"), "x") != shared_dir(fake("yarn", "hdfs:///s"), "x")
+    class Session:
+        conf = Conf()
 
+    assert shared_root(Session()) == "hdfs:///warehouse/loanlens"
 
-def test_only_a_local_session_gets_a_folder_of_its_own():
-    assert shared_dir(fake("local[4]"), "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(fake("yarn"), "x")
+
+def test_nothing_is_left_when_the_application_ends(tmp_path):
+    code = f"""
+from loanlens.session import build_session, materialised
+spark = build_session("scratch", "local[1]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path)!r}}})
+assert materialised(spark.range(3), "kept").count() == 3
+spark.stop()
+"""
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, capture_output=True, timeout=120)
+    assert list((tmp_path / "loanlens").iterdir()) == []

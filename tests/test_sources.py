@@ -50,13 +50,76 @@ def test_report_accounts_for_every_row(spark, folder):
         assert rows_in == test + null + out
 
 
-def test_changed_header_inside_an_export_stops_the_scan(spark, tmp_path):
+def test_parts_of_an_export_are_read_by_name(spark, tmp_path):
     export = tmp_path / "Credit_Data_-_30-03-2025.csv"
     export.mkdir()
     (export / "part-0.csv").write_text("LOAN_ID,BALANCE\nrec1,1\n")
-    (export / "part-1.csv").write_text("BALANCE,LOAN_ID\n1,rec2\n")
+    (export / "part-1.csv").write_text("BALANCE,loan_id \n2,rec2\n")
+    (export / "part-2.csv").write_text("")
+    raw = snapshots.read_snapshot_files(spark, f"{tmp_path}/{snapshots.FILE_GLOB}", required=("LOAN_ID",))
+    assert rows(raw.select("LOAN_ID", "BALANCE")) == [("rec1", "1"), ("rec2", "2")]
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_header_case_does_not_lose_a_snapshot(spark, tmp_path, first):
+    names = ["LOAN_ID,ACCOUNT_STATUS_L1,BALANCE", "loan_id,Account_Status_L1,balance"]
+    for date, header in zip(("01-01-2025", "02-01-2025"), names if first else names[::-1]):
+        (tmp_path / f"Credit_Data_-_{date}.csv").write_text(f"{header}\nrec1,Active,5\n")
+    clean = staging.clean_credit_snapshot(snapshots.read_snapshot_files(spark, f"{tmp_path}/{snapshots.FILE_GLOB}"))
+    assert rows(clean.select("loan_id", "balance")) == [("rec1", 5.0)] * 2
+
+
+def test_snapshot_without_key_or_status_stops(spark, tmp_path):
+    (tmp_path / "Credit_Data_-_01-01-2025.csv").write_text("LOAN_ID,ACCOUNT_STATUS_L1\nrec1,Active\n")
+    (tmp_path / "Credit_Data_-_02-01-2025.csv").write_text("BALANCE,ACCOUNT_STATUS_L1\n1,Active\n")
+    with pytest.raises(ValueError, match=r"02-01-2025.*LOAN_ID"):
+        snapshots.read_snapshot_files(spark, f"{tmp_path}/{snapshots.FILE_GLOB}")
+    with pytest.raises(ValueError, match="LOAN_ID"):
+        staging.clean_credit_snapshot(spark.createDataFrame([("5", "Active", "2025-01-01")], "BALANCE string, ACCOUNT_STATUS_L1 string, snapshot_date string"))
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / str(n)
+        for i in range(n):
+            export = folder / f"Credit_Data_-_{i % 28 + 1:02d}-{i // 28 + 1:02d}-2025.csv"
+            export.mkdir(parents=True)
+            for part in range(2):
+                (export / f"part-{part}.csv").write_text("LOAN_ID,,ACCOUNT_STATUS_L1\nrec1,,Active\n")
+        spark.sparkContext.setJobGroup(f"headers-{n}", "")
+        found = snapshots.find_snapshots(spark, f"{folder}/{snapshots.FILE_GLOB}")
+        spark.sparkContext.setJobGroup("", "")
+        assert len(found) == n
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers-{n}"))
+
+    assert jobs(2) == jobs(30)
+
+
+def test_table_parts_with_other_column_order(spark, tmp_path):
+    folder = tmp_path / "Income Level"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("Loan Id,Gender\nrec1,Male\n")
+    (folder / "part-1.csv").write_text("Gender,Loan Id \nFemale,rec2\n")
+    table = tables.read_text_table(spark, str(folder))
+    assert rows(table.select("Loan Id", "Gender")) == [("rec1", "Male"), ("rec2", "Female")]
+
+
+def test_survey_parts_that_disagree_stop(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Loan Id,Why?\nrec1,x\n")
+    (tmp_path / "b.csv").write_text("Why?,Loan Id\nx,rec1\n")
     with pytest.raises(Exception, match="(?i)header"):
-        snapshots.read_snapshot_files(spark, f"{tmp_path}/{snapshots.FILE_GLOB}").collect()
+        tables.read_survey(spark, str(tmp_path)).collect()
+
+
+def test_follow_up_question_keeps_its_header(spark):
+    asked = "Have you ever had your phone lock despite making a payment on time?"
+    follow = "If you have ever had your phone lock despite making a payment on time, how often?"
+    df = spark.createDataFrame([("9", "Yes", "twice")], f"`On a scale from 0 to 10?` string, `{asked}` string, `{follow}` string")
+    assert staging.rename_survey(df).columns == ["nps_score", "phone_locked_despite_payment", follow]
+    branded = df.withColumnRenamed(asked, "Have you used the  Some App to manage your account or make payments?")
+    assert "uses_app" in staging.rename_survey(branded).columns
+    with pytest.raises(ValueError, match="several survey headers"):
+        staging.rename_survey(df.withColumn(asked.upper() + " ", F.lit("No")))
 
 
 def test_file_without_date_is_an_error(spark):
@@ -110,16 +173,3 @@ def test_log_grows_and_report_is_one_file(spark, tmp_path):
     tables.write_result(df, str(tmp_path / "report"))
     files = list((tmp_path / "report").glob("part-*.csv"))
     assert len(files) == 1 and files[0].read_text() == "n,t\n1,x\n"
-
-
-def test_spread_touches_only_small_scans(spark):
-    one_task = spark.range(0, 100, numPartitions=1)
-    assert tables.spread(one_task, "id").rdd.getNumPartitions() > 1
-    many = spark.range(0, 100, numPartitions=50)
-    assert tables.spread(many, "id") is many
-
-
-def test_unknown_status_or_key_column(spark):
-    """A file that lacks the key column yields no rows instead of rows without key."""
-    raw = spark.createDataFrame([("5", "2025-01-01")], "BALANCE string, snapshot_date string")
-    assert staging.clean_credit_snapshot(raw).count() == 0

@@ -36,8 +36,8 @@ def test_instants_with_and_without_offset(one):
 
 
 def test_numbers_survive_drift(one):
-    texts = ["4", "4.0", " 4 ", "x", None]
-    assert one("t string", [(t,) for t in texts], lambda d: whole_number(d.t)) == [4, 4, 4, None, None]
+    texts = ["4", "4.0", " 4 ", "x", None, "0.5", "89.9", "-3.0"]
+    assert one("t string", [(t,) for t in texts], lambda d: whole_number(d.t)) == [4, 4, 4, None, None, None, None, -3]
     assert one("t string", [("1.5",), ("-2",), ("#",)], lambda d: number(d.t)) == [1.5, -2.0, None]
     tokens = [(t,) for t in NULL_TOKENS]
     for parse in (number, whole_number, us_date):
