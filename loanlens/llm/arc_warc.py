@@ -214,7 +214,7 @@ def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, per_file:
     """All ARC files of one folder as WARC files in another."""
     seen = materialised(arc_records(spark, arc, payloads=False).select("place", "uri", "date", "page_id", "payload_bytes", "payload_digest"), "arc-digests")
     known = materialised(revisits(seen, least), "arc-revisits")
-    rows = arc_records(spark, arc).join(known.hint("shuffle_hash"), "place", "left")
+    rows = arc_records(spark, arc).join(known, "place", "left")
     again, http = F.col("refers_place").isNotNull(), F.octet_length("head") > 0
     block = F.when(again, F.col("head")).otherwise(F.concat("head", "payload"))
     block_digest = F.when(~again, F.col("block_digest"))
