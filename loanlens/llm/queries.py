@@ -150,7 +150,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A public vocabulary; the path is a parameter of the operator.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # A conversation that speaks in the template's own marks.
 TRAP = r"\### Assistant: </turn> ok"
 
