@@ -3,8 +3,8 @@
 Texts are folded first, so that look-alike letters, full-width forms and digits that stand
 for letters match what they imitate.  The lexicon holds beginnings of words and whole words
 that labelled toxic texts have far more often than others; a likelihood ratio decides, so
-chance finds in few texts stay out.  Exception phrases are pairs of words around a lexicon
-word that belong to harmless texts.  One Aho-Corasick pass finds all of them; the weights
+chance finds in few texts stay out.  Exception phrases are pairs of words around a suspect
+word that belong to harmless texts; words are weighed by what is left without them.  One Aho-Corasick pass finds all of them; the weights
 that no exception covers are added, set against the text's length, and calibrated to a
 probability by a logistic curve.
 
@@ -18,7 +18,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -36,7 +36,7 @@ MOST_TERMS = 5_000
 MOST_PHRASES = 5_000
 PREFIXES = range(3, 8)
 LEAST_RATIO = 16.0
-LEAST_ODDS = 4.0
+SUSPECT_ODDS, LEAST_ODDS = 0.7, 4.0
 LEAST_TEXTS = 3
 SAME = 0.9
 PREDICTED = 0.3
@@ -129,6 +129,17 @@ class Lexicon:
                 del found[place]
         return found
 
+    def without_phrases(self, folded: str) -> str:
+        """A folded text without its exception phrases."""
+        if not self.phrases:
+            return folded
+        parts, at = [], 0
+        for end, (size, weight) in self.machine.iter(folded):
+            if not weight and end > at:
+                parts.append(folded[at : max(at, end - size + 1)])
+                at = end
+        return "".join([*parts, folded[at:]])
+
     def features(self, folded: str) -> tuple[float, float]:
         """The weights' sum on a logarithmic scale, and set against the length."""
         total = sum(self.hits(folded).values())
@@ -158,15 +169,14 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, d
     return materialised(text.select("toxic", "text"), "toxicity-fit"), counts
 
 
-def _counted(texts: DataFrame, lexicon: Broadcast | None) -> DataFrame:
-    """(term, toxic, clean): in how many texts of either kind each term is; phrases around hits if there is a lexicon."""
+def _counted(texts: DataFrame, found: Callable[[str], set[str]]) -> DataFrame:
+    """(term, toxic, clean): in how many texts of either kind each of what ``found`` sees in them is."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for toxic, text in zip(batch["toxic"], batch["text"]):
-                folded = fold(text)
-                n[int(toxic)].update(terms(folded) if lexicon is None else _phrases(folded, lexicon.value))
+                n[int(toxic)].update(found(fold(text)))
             both = sorted(n[0].keys() | n[1].keys())
             yield pd.DataFrame({"term": both, "toxic": [n[1][t] for t in both], "clean": [n[0][t] for t in both]})
 
@@ -206,6 +216,22 @@ def _ratio(n_toxic: int, n_clean: int) -> tuple[Column, Column]:
     return 2 * (part(t, rate) + part(c, 1 - rate)), odds
 
 
+def _chosen(counted: DataFrame, n_toxic: int, n_clean: int, least: float) -> dict[str, float]:
+    """The terms that set toxic texts apart most clearly, with their log odds."""
+    ratio, odds = _ratio(n_toxic, n_clean)
+    scored = counted.filter(F.col("toxic") >= LEAST_TEXTS).select("term", "toxic", ratio.alias("ratio"), odds.alias("odds"))
+    best = scored.filter((F.col("odds") >= least) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("ratio"), "term").limit(MOST_TERMS)
+    return _narrowest({r.term: (r.toxic, r.odds) for r in best.collect()})
+
+
+def _harmless(counted: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """The phrases that set other texts apart."""
+    ratio, odds = _ratio(n_toxic, n_clean)
+    scored = counted.filter(F.col("clean") >= LEAST_TEXTS).select("term", ratio.alias("ratio"), odds.alias("odds"))
+    best = scored.filter((F.col("odds") < 0) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("ratio"), "term").limit(MOST_PHRASES)
+    return [r.term for r in best.collect()]
+
+
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression by Newton's method, with a small penalty on the slopes."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -228,18 +254,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Lexicon:
     n_toxic, n_clean = read.get(1, 0), read.get(0, 0)
     if not n_toxic or not n_clean:
         return Lexicon({}, [])
-    ratio, odds = _ratio(n_toxic, n_clean)
-    scored = _counted(texts, None).filter(F.col("toxic") >= LEAST_TEXTS).select("term", "toxic", ratio.alias("ratio"), odds.alias("odds"))
-    best = scored.filter((F.col("odds") >= LEAST_ODDS) & (F.col("ratio") >= LEAST_RATIO)).orderBy(F.desc("ratio"), "term").limit(MOST_TERMS)
-    lexicon = Lexicon(_narrowest({r.term: (r.toxic, r.odds) for r in best.collect()}), [])
-
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
-    harmless = _counted(texts, shared).filter(F.col("clean") >= LEAST_TEXTS)
-    harmless = harmless.select("term", ratio.alias("ratio"), odds.alias("odds")).filter((F.col("odds") < 0) & (F.col("ratio") >= LEAST_RATIO))
-    phrases = [r.term for r in harmless.orderBy(F.desc("ratio"), "term").limit(MOST_PHRASES).collect()]
-    lexicon = Lexicon(lexicon.weights, phrases)
-
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    share = docs.sparkSession.sparkContext.broadcast
+
+    frequent = materialised(_counted(texts, terms).filter(F.col("toxic") >= LEAST_TEXTS), "toxicity-terms")
+    suspects = share(Lexicon(_chosen(frequent, n_toxic, n_clean, SUSPECT_ODDS), []))
+    phrases = _harmless(_counted(texts, lambda folded: _phrases(folded, suspects.value)), n_toxic, n_clean)
+    excepted = share(Lexicon({}, phrases))
+    left = _counted(texts, lambda folded: terms(excepted.value.without_phrases(folded))) if phrases else frequent
+    lexicon = Lexicon(_chosen(left, n_toxic, n_clean, LEAST_ODDS), phrases)
+    shared = share(lexicon)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
