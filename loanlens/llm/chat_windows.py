@@ -176,7 +176,8 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, toke
                         out.append(now.close())
                     now = _Conversation(conv, budget, history)
                 out.extend(now.add(role, text, tokens))
-            yield pd.DataFrame(out, columns=names)
+            if out:
+                yield pd.DataFrame(out, columns=names)
         if now is not None:
             yield pd.DataFrame([now.close()], columns=names)
 
@@ -214,7 +215,8 @@ def read_back(formed: DataFrame) -> DataFrame:
                     said = unescape(text[span["start"] : span["end"]])
                     state["chars"] += len(said)
                     state["loss"].update(said.encode())
-            yield pd.DataFrame(out, columns=names)
+            if out:
+                yield pd.DataFrame(out, columns=names)
         if state is not None:
             yield pd.DataFrame([done()], columns=names)
 

@@ -235,7 +235,8 @@ def contamination(docs: DataFrame, items: DataFrame, **blocks: int) -> DataFrame
             for batch in batches:
                 ids = batch["doc_id"].tolist()
                 rows = [(ids[at], *hit) for at, *hit in index.value.hits(batch["text"].tolist())]
-                yield pd.DataFrame(rows, columns=names).astype({"doc_id": "object", "item_id": "Int64"})
+                if rows:
+                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": "object", "item_id": "Int64"})
 
         # As text, ids survive pandas whole beside nulls.
         part = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(search, HITS)

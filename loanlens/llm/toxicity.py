@@ -178,7 +178,8 @@ def _counted(texts: DataFrame, found: Callable[[str], set[str]]) -> DataFrame:
             for toxic, text in zip(batch["toxic"], batch["text"]):
                 n[int(toxic)].update(found(fold(text)))
             both = sorted(n[0].keys() | n[1].keys())
-            yield pd.DataFrame({"term": both, "toxic": [n[1][t] for t in both], "clean": [n[0][t] for t in both]})
+            if both:
+                yield pd.DataFrame({"term": both, "toxic": [n[1][t] for t in both], "clean": [n[0][t] for t in both]})
 
     rows = texts.mapInPandas(count, "term string, toxic long, clean long")
     return rows.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
