@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from loanlens.session import materialised, shared_dir
 
-RECORDS_PER_FILE = 20_000
+RECORDS_PER_FILE = 5_000
 # Rows or bytes of parsed records that are passed on at a time.
 BATCH_ROWS, BATCH_BYTES = 500, 8_000_000
 # The header fields of the two ARC versions, and the revisit profile of WARC.

@@ -81,7 +81,7 @@ def page_frame(spark, parts=2):
     return frame.withColumns({name: F.lit("x") for name in brute.CLASHING}).repartition(parts, "html")
 
 
-@pytest.mark.parametrize("per_file, least", [(20_000, 0), (2, 0), (3, 1)])
+@pytest.mark.parametrize("per_file, least", [(5_000, 0), (2, 0), (3, 1)])
 def test_records_come_back(spark, per_file, least):
     rows = arc_warc.archived(page_frame(spark), least, per_file).collect()
     assert len(rows) == len(ROWS)
