@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import loanlens
 from loanlens.session import configure
 
 # The six white-space characters that separate words.
@@ -16,9 +23,30 @@ WORD_CLASS = "[^ \\t-\\r]"
 BATCH_ROWS = "500"
 
 
+PACKAGE = "loanlens-package.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to Python workers, which may not find it where the driver did.
+
+    Done once for an application; a package that came as a file with the job is there already.
+    """
+    context, folder = spark.sparkContext, Path(loanlens.__file__).parent
+    if PACKAGE in context._python_includes or not folder.is_dir():
+        return
+    # The driver serves the file to executors from where it is, so it stays until the driver ends.
+    scratch = Path(tempfile.mkdtemp(prefix="loanlens-")).resolve()
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+    with zipfile.ZipFile(scratch / PACKAGE, "w") as file:
+        for module in sorted(folder.rglob("*.py")):
+            file.write(module, module.relative_to(folder.parent))
+    context.addPyFile(str(scratch / PACKAGE))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the settings that the operators rely on."""
+    """The session with the settings that the operators rely on, and the package on its workers."""
     configure(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
