@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
@@ -12,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import loanlens
-from loanlens.session import configure
+from loanlens.session import configure, shared_dir
 
 # The six white-space characters that separate words.
 BLANKS = " \t\n\x0b\f\r"
@@ -22,25 +20,28 @@ WORD_CLASS = "[^ \\t-\\r]"
 # Rows per Arrow batch: texts can be long, and a batch is held in memory whole.
 BATCH_ROWS = "500"
 
-
 PACKAGE = "loanlens-package.zip"
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the package to Python workers, which may not find it where the driver did.
 
-    Done once for an application; a package that came as a file with the job is there already.
+    It goes through the shared folder, once for an application; a package that came as a file
+    with the job is there already.
     """
     context, folder = spark.sparkContext, Path(loanlens.__file__).parent
     if PACKAGE in context._python_includes or not folder.is_dir():
         return
-    # The driver serves the file to executors from where it is, so it stays until the driver ends.
-    scratch = Path(tempfile.mkdtemp(prefix="loanlens-")).resolve()
-    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
-    with zipfile.ZipFile(scratch / PACKAGE, "w") as file:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as file:
         for module in sorted(folder.rglob("*.py")):
             file.write(module, module.relative_to(folder.parent))
-    context.addPyFile(str(scratch / PACKAGE))
+    path = context._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, "package"), PACKAGE)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(files.makeQualified(path).toString())
 
 
 def prepared(spark: SparkSession) -> SparkSession:
