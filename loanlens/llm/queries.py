@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm import (
+    ann_tree,
     arc_warc,
     chat_windows,
     decontamination,
     html_content,
     mixing,
+    ngram_resampling,
     quality_rules,
     secret_ownership,
     sharding,
     simhash_dedup,
+    source_divergence,
     toxicity,
 )
 from loanlens.llm.text import prepared
@@ -173,3 +176,83 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secrets")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.scan(table(spark, sf_dir, "documents"))
+
+
+# Letters are lower-cased as ASCII has them; a feature's CRC-32 goes byte by byte over a table made from the polynomial.
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+RESAMPLING_SQL = rf"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS step),
+w AS (
+  SELECT 0 AS side, row_number() OVER () AS id, doc_id, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 1, row_number() OVER (), NULL, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS (
+  SELECT side, id, unnest(list_concat(w,
+    list_transform(range(greatest(len(w) - 1, 0)), lambda i: w[i + 1] || ' ' || w[i + 2]),
+    list_transform(range(greatest(len(w) - 2, 0)), lambda i: w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]))) AS feature FROM w),
+g AS (SELECT side, id, feature, count(*) AS n FROM f GROUP BY ALL),
+k AS (
+  SELECT feature, xor(list_reduce(list_transform(range(len(hex) // 2), lambda i: ('0x' || hex[2 * i + 1:2 * i + 2])::BIGINT),
+    lambda c, b: xor(c >> 8, step[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT feature, hex(encode(feature)) AS hex FROM (SELECT DISTINCT feature FROM g)), crc),
+s AS (SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t FROM g JOIN k USING (feature) GROUP BY bucket),
+v AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * ((sum(s) OVER ())::DOUBLE + 10000))
+    / ((s + 1)::DOUBLE * ((sum(t) OVER ())::DOUBLE + 10000)))) AS BIGINT) AS gain FROM s),
+d AS (
+  SELECT id, sum(n) AS n_features, sum(n * gain) AS weight FROM g JOIN k USING (feature) JOIN v USING (bucket) WHERE side = 0 GROUP BY id),
+x AS (
+  SELECT id, doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8])::BIGINT + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score
+  FROM w LEFT JOIN d USING (id) WHERE side = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS most FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * most // 100 THEN place END AS rank, n_words FROM r
+"""
+
+
+@query("op11_resampling", RESAMPLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+DIVERGENCE_SQL = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({LOWER_SQL}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (
+  SELECT lang, source, term, count(*) AS docs, sum(n) AS n
+  FROM (SELECT lang, source, id, term, count(*) AS n FROM (SELECT lang, source, id, unnest(w) AS term FROM (SELECT *, row_number() OVER () AS id FROM d)) GROUP BY ALL)
+  GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+a AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, v,
+    1 + 1000000000 * (k.n + 2) // (l.total + 2 * v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT *, 1 + 1000000000 * (n + 2) // (total + 2 * v) AS p FROM a),
+t AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM s WHERE n > 0 AND p > q),
+o AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM s x JOIN s y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) f
+  ON f.lang = g.lang AND f.source = g.source AND f.item = h.source)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM o UNION ALL FROM t))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op12_divergence", DIVERGENCE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
