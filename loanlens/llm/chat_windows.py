@@ -6,8 +6,16 @@ Windows are aligned with turns: none is cut, and one that is larger than the bud
 window of its own.  The loss mask covers assistant turns where they are new, and never the
 repeated ones, so every target counts once.
 
-Turns of a conversation are brought together sorted and pass as a stream; what is held is
-the system turn, the history and the window in the making, however long a conversation is.
+Tokens are counted and turns rendered where they are read.  Then a conversation's turns are
+brought together sorted and pass as a stream: what stays in one task, however long the
+conversation, is joining rendered turns to windows, and in reading back one pass over them
+with two running digests.  Held are the system turn, the history and the window in the
+making; a window takes no more new turns, and repeats no more, than it may have tokens, so
+that empty turns do not pile up.
+
+A token count is the tokenizer's own, but for runs of more than ``RUN`` characters with no
+blank among them, or nothing else: those are counted in pieces of ``RUN`` characters, because
+byte-pair tokenizers fail on a million of them.  The text itself is never cut.
 
 Template: a turn is ``### Role: text</turn>`` and a line break.  In texts and roles a
 backslash stands before each backslash and before each string that could be taken for
@@ -33,6 +41,9 @@ HISTORY = 256
 TARGET = "assistant"
 SYSTEM = "system"
 
+# Characters of a run that are counted at a time.
+RUN = 10_000
+
 # The template's marks.
 BEGIN, COLON, END = "### ", ": ", "</turn>\n"
 # Fixed value: how byte-level vocabularies cut a text before they merge.
@@ -42,7 +53,9 @@ _ROLE_CONTROL = re.compile(r"\\|###|</turn>|: ")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _MARK = re.compile(r"\\.|</turn>\n", re.S)
 _ROLE_END = re.compile(r"\\.|: ", re.S)
+_RUN = re.compile(rf"\S{{1,{RUN}}}|\s{{1,{RUN}}}")
 
+RENDERED = "conv string, turn string, role string, shown string, start long, end long, tokens long, plain string"
 WINDOWS = "conv string, window long, text string, n_tokens long, repeated long, mask array<struct<start:long,end:long>>"
 TURNS = "conv string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
 
@@ -94,11 +107,19 @@ def _tokenizer(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+def pieces(text: str) -> list[str]:
+    """The text, cut where a run of one kind has reached ``RUN`` characters."""
+    if len(text) <= RUN:
+        return [text]
+    cuts = [m.end() for m in _RUN.finditer(text) if m.end() - m.start() == RUN]
+    return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
+
 def counter(path: str | None) -> Callable[[list[str]], list[int]]:
     """Token counts of texts by a file of byte-pair ranks that every machine has; by words if there is none."""
     if path is None:
         return lambda texts: [len(t.split()) for t in texts]
-    return lambda texts: [len(_tokenizer(path).encode_ordinary(t)) for t in texts]
+    return lambda texts: [sum(len(_tokenizer(path).encode_ordinary(x)) for x in pieces(t)) for t in texts]
 
 
 class _Conversation:
@@ -112,9 +133,8 @@ class _Conversation:
         self.used = self.window = 0
         self.first = True
 
-    def add(self, role: str, text: str, tokens: int) -> Iterator[tuple]:
-        shown, start, end = render(role, text)
-        if self.fresh and self.used + tokens > self.budget:
+    def add(self, role: str, shown: str, start: int, end: int, tokens: int) -> Iterator[tuple]:
+        if self.fresh and (self.used + tokens > self.budget or len(self.fresh) >= self.budget):
             yield self.close()
         if not self.fresh and self.used + tokens > self.budget:
             # A turn that leaves no room for history goes without.
@@ -140,8 +160,9 @@ class _Conversation:
         for i, (shown, _, _, tokens, _) in enumerate(self.fresh):
             if self.window or i or not self.system:
                 self.recent.append((shown, tokens))
-        while self.recent and sum(t for _, t in self.recent) > self.history:
-            self.recent.popleft()
+        held = sum(t for _, t in self.recent)
+        while self.recent and (held > self.history or len(self.recent) > self.history):
+            held -= self.recent.popleft()[1]
         self.fresh, self.window = [], self.window + 1
         self.used = (self.system[1] if self.system else 0) + sum(t for _, t in self.recent)
         return out
@@ -159,23 +180,35 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, toke
     """
     if history >= budget:
         raise ValueError("the history must leave room for new turns")
-    ordered = turns.select(F.col("conv_id").cast("string").alias("conv"), "turn", "role", "text")
-    ordered = ordered.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
+    # Turn numbers pass through Python as text, so that none is rounded beside a null.
+    rows = turns.select(F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("string"), "role", "text")
 
-    def form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rendered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = counter(tokenizer)
+        for batch in batches:
+            roles, texts = batch["role"].fillna("").tolist(), batch["text"].fillna("").tolist()
+            shown = [render(role, text) for role, text in zip(roles, texts)]
+            # Ties go by the text, which is in what is shown unless it was escaped.
+            plain = [None if end - start == len(text) else text for text, (_, start, end) in zip(texts, shown)]
+            out = pd.DataFrame(shown, columns=["shown", "start", "end"])
+            yield pd.concat([batch[["conv", "turn"]], out.assign(role=roles, tokens=count(texts), plain=plain)], axis=1)
+
+    ordered = rows.mapInPandas(rendered, RENDERED).withColumn("turn", F.col("turn").cast(turns.schema["turn"].dataType))
+    said = F.coalesce("plain", F.substr("shown", F.col("start").cast("int") + 1, (F.col("end") - F.col("start")).cast("int")))
+    ordered = ordered.repartition("conv").sortWithinPartitions("conv", "turn", "role", said).drop("plain")
+
+    def form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in WINDOWS.split(", ", 5)]
         now: _Conversation | None = None
         for batch in batches:
-            texts = batch["text"].fillna("").tolist()
             out: list[tuple] = []
-            for conv, role, text, tokens in zip(batch["conv"], batch["role"].fillna(""), texts, count(texts)):
+            for conv, *turn in zip(*(batch[c] for c in ("conv", "role", "shown", "start", "end", "tokens"))):
                 conv = None if pd.isna(conv) else conv
                 if now is None or now.key != conv:
                     if now is not None:
                         out.append(now.close())
                     now = _Conversation(conv, budget, history)
-                out.extend(now.add(role, text, tokens))
+                out.extend(now.add(*turn))
             if out:
                 yield pd.DataFrame(out, columns=names)
         if now is not None:

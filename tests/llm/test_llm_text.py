@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import brute
@@ -249,6 +250,32 @@ def test_windows_hold_every_turn_once(spark, budget, history):
     assert sum(r.formatted_chars for r in got.values()) == sum(len(w.text) for w in formed)
 
 
+def test_runs_of_any_length_pass(spark):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "#" * 2_000_000, "a" + " \n" * 500_000 + "b", "7" * 2_000_000]
+    rows = [(i, 0, "assistant", text) for i, text in enumerate(texts)]
+    frame = prepared(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    windows = chat_windows.windows(frame, tokenizer="/opt/tokenizers/byte_bpe_50k.tiktoken")
+    got = {int(r.conv): r for r in chat_windows.read_back(windows).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].loss_chars == len(text) and got[i].loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_pieces_are_the_text():
+    draw = random.Random(5)
+    for text in ("", "x" * 9_999, "x" * 10_000, " " * 25_000, "".join(draw.choice([" ", "\n", "ab", "y" * 15_000]) for _ in range(40))):
+        parts = chat_windows.pieces(text)
+        assert "".join(parts) == text
+        assert all(len(m) <= 2 * chat_windows.RUN for p in parts for m in re.findall(r"\s+|\S+", p))
+    assert chat_windows.pieces("word " * 50_000) == ["word " * 50_000]
+
+
+def test_many_empty_turns_do_not_pile_up(spark):
+    frame = prepared(spark).range(3000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("assistant").alias("role"), F.lit(None).cast("string").alias("text"))
+    formed = chat_windows.windows(frame, 100, 20)
+    assert max(len(r.mask) for r in formed.collect()) == 100 and max(r.repeated for r in formed.collect()) == 20
+    assert [r.n_turns for r in chat_windows.read_back(formed).collect()] == [3000]
+
+
 def test_no_conversations(spark):
     none = prepared(spark).createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_windows.read_back(chat_windows.windows(none)).count() == 0
