@@ -42,18 +42,22 @@ CHUNK = 1 << 15
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    """SimHash of a UTF-8 text: A-Z lower-cased, shingles of words, repeats counted.
+def shingle_hashes(text: bytes, size: int, kind: str = "u8") -> np.ndarray:
+    """Hashes of a UTF-8 text's shingles of words, A-Z lower-cased, repeats included.
 
-    A bit is 1 if it is set in over half of the shingles' hashes.  A text with fewer words
-    than a shingle is one shingle; one without words has fingerprint 0.
+    A text with fewer words than a shingle is one shingle; one without words has none.
     """
     # bytes.lower and bytes.split know just the ASCII letters and the six ASCII blanks.
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype=kind)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if len(words) > size else [b" ".join(words)]
-    hashes = np.fromiter(map(_hash, shingles), dtype=">u8", count=max(1, len(words) - size + 1))
+    return np.fromiter(map(_hash, shingles), dtype=kind, count=max(1, len(words) - size + 1))
+
+
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    """SimHash of a UTF-8 text: a bit is 1 if it is set in over half of the shingles' hashes, 0 throughout without words."""
+    hashes = shingle_hashes(text, size, ">u8")
     ones = np.zeros(BITS, dtype=np.int64)
     for start in range(0, len(hashes), CHUNK):
         part = hashes[start : start + CHUNK]

@@ -148,3 +148,30 @@ def five_word_share(text, item):
     have = {tuple(a[i : i + size]) for i in range(len(a) - size + 1)}
     windows = [tuple(b[i : i + size]) for i in range(len(b) - size + 1)]
     return sum(w in have for w in windows) / len(windows) if b else 0.0
+
+
+def shingles(text, size=5):
+    """The set of a text's shingles; one of all words if there are fewer."""
+    w = [x.lower() if x.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(text)]
+    return {" ".join(w[i : i + size]) for i in range(len(w) - size + 1)} or ({" ".join(w)} if w else set())
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def near_groups(texts, least=0.8):
+    """Root index of each text, by the shingles of all pairs."""
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= least:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(texts))]
