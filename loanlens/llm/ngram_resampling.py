@@ -39,14 +39,81 @@ LEAST_WORDS = 20
 # Bytes of text brought together, and occurrences interned at a time.
 CHUNK = 1 << 20
 SPANS = 1 << 18
+# Bytes of a feature up to which those of one size are hashed side by side.
+SHORT = 96
 
 # Letters lower-cased, and the bytes of words.  All of a character beyond ASCII are.
 _LOWER = bytes(range(256)).lower()
 _IN_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
+# The multipliers of XXH64, and the reversed polynomial of CRC-32.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+_POLYNOMIAL = 0xEDB88320
 # What is left of eight bytes when a span ends after so many of them.
 _TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint64)
+    for _ in range(8):
+        table = np.where(table & np.uint64(1), table >> np.uint64(1) ^ np.uint64(_POLYNOMIAL), table >> np.uint64(1))
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _turn(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def _round(sums: np.ndarray | np.uint64, lane: np.ndarray) -> np.ndarray:
+    return _turn(sums + lane * _P2, 31) * _P1
+
+
+def _xxh64(lanes: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """XXH64, seed 0, of spans of one size."""
+    at, zero = 0, np.uint64(0)
+    if size >= 32:
+        sums = [np.full(len(start), zero) + x for x in (_P1, zero, zero, zero)]
+        sums = [sums[0] + _P2, sums[1] + _P2, sums[2], sums[3] - _P1]
+        while size - at >= 32:
+            sums = [_round(x, lanes[start + at + 8 * i]) for i, x in enumerate(sums)]
+            at += 32
+        h = _turn(sums[0], 1) + _turn(sums[1], 7) + _turn(sums[2], 12) + _turn(sums[3], 18)
+        for x in sums:
+            h = (h ^ _round(zero, x)) * _P1 + _P4
+    else:
+        h = np.full(len(start), _P5)
+    h += np.uint64(size)
+    while size - at >= 8:
+        h = _turn(h ^ _round(zero, lanes[start + at]), 27) * _P1 + _P4
+        at += 8
+    if at < size:
+        # The last bytes, fewer than eight, are in one lane.
+        rest = lanes[start + at]
+        if size - at >= 4:
+            h = _turn(h ^ (rest & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+            rest, at = rest >> np.uint64(32), at + 4
+        for _ in range(size - at):
+            h = _turn(h ^ (rest & np.uint64(255)) * _P5, 11) * _P1
+            rest = rest >> np.uint64(8)
+    h = (h ^ h >> np.uint64(33)) * _P2
+    h = (h ^ h >> np.uint64(29)) * _P3
+    return h ^ h >> np.uint64(32)
+
+
+def _crc32(lanes: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """CRC-32 of spans of one size."""
+    crc = np.full(len(start), np.uint64(0xFFFFFFFF))
+    for at in range(0, size, 8):
+        rest = lanes[start + at]
+        for _ in range(min(8, size - at)):
+            crc = _CRC[(crc ^ rest) & np.uint64(255)] ^ crc >> np.uint64(8)
+            rest = rest >> np.uint64(8)
+    return crc ^ np.uint64(0xFFFFFFFF)
+
+
 class Words:
     """The words of some texts in one buffer, each followed by one blank."""
 
@@ -60,8 +127,9 @@ class Words:
         self.start = np.cumsum(self.size + 1) - self.size - 1
         kept = np.where(inside, data, 32)[inside | before].astype(np.uint8)
         self.buffer = kept.tobytes() + bytes(8)
-        # Eight bytes at every position.
-        self.lanes = np.ndarray((len(self.buffer) - 7,), "<u8", self.buffer, strides=(1,))
+        # Eight bytes at every position; side by side in memory unless a text is very long.
+        lanes = np.ndarray((len(self.buffer) - 7,), "<u8", self.buffer, strides=(1,))
+        self.lanes = np.ascontiguousarray(lanes) if len(lanes) <= 8 * CHUNK else lanes
 
     def features(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Start, size and text of the occurrences, in parts of at most ``SPANS``."""
@@ -72,6 +140,19 @@ class Words:
                 last = first + n - 1
                 yield self.start[first], self.start[last] + self.size[last] - self.start[first], self.owner[first]
 
+    def hashed(self, start: np.ndarray, size: np.ndarray, short, long) -> np.ndarray:
+        """A hash of every span: ``short`` takes all spans of one size at once, ``long`` the bytes of one."""
+        out = np.empty(len(start), dtype=np.uint64)
+        order = np.argsort(np.minimum(size, SHORT + 1).astype(np.uint16), kind="stable")
+        ends = np.cumsum(np.bincount(np.minimum(size, SHORT + 1), minlength=SHORT + 2))
+        for n in range(1, SHORT + 1):
+            rows = order[ends[n - 1] : ends[n]]
+            if len(rows):
+                out[rows] = short(self.lanes, start[rows], n)
+        for row in order[ends[SHORT] :].tolist():
+            out[row] = long(self.buffer[start[row] : start[row] + size[row]])
+        return out
+
     def same(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether the bytes at ``a`` and at ``b`` are equal, eight at a time."""
         equal, rest, done = np.ones(len(a), dtype=bool), np.flatnonzero(a != b), 0
@@ -88,9 +169,8 @@ class Table:
     """Different n-grams among some occurrences: slots with bucket and count."""
 
     def __init__(self, words: Words, start: np.ndarray, size: np.ndarray) -> None:
-        buffer, n = words.buffer, len(start)
-        digest = xxhash.xxh64_intdigest
-        keys = np.fromiter((digest(buffer[a:b]) for a, b in zip(start.tolist(), (start + size).tolist())), np.uint64, n)
+        n = len(start)
+        keys = words.hashed(start, size, _xxh64, xxhash.xxh64_intdigest)
         mask = (1 << (2 * n).bit_length()) - 1
         holder = np.full(mask + 1, -1)
         slot = (keys & np.uint64(mask)).astype(np.int64)
@@ -110,9 +190,7 @@ class Table:
         self.used = np.flatnonzero(holder >= 0)
         own = holder[self.used]
         self.bucket = np.zeros(mask + 1, dtype=np.int64)
-        self.bucket[self.used] = [
-            zlib.crc32(buffer[a:b]) % BUCKETS for a, b in zip(start[own].tolist(), (start + size)[own].tolist())
-        ]
+        self.bucket[self.used] = words.hashed(start[own], size[own], _crc32, zlib.crc32) % np.uint64(BUCKETS)
         self.count = np.bincount(slot, minlength=mask + 1)
 
 
