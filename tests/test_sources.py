@@ -1,9 +1,11 @@
+from pathlib import Path
+
 import pytest
 from conftest import day, rows
 from pyspark.sql import functions as F
 
 from loanlens.plans import staging
-from loanlens.sources import headers, snapshots, tables
+from loanlens.sources import first_lines, headers, snapshots, tables
 
 
 @pytest.fixture
@@ -173,3 +175,32 @@ def test_log_grows_and_report_is_one_file(spark, tmp_path):
     tables.write_result(df, str(tmp_path / "report"))
     files = list((tmp_path / "report").glob("part-*.csv"))
     assert len(files) == 1 and files[0].read_text() == "n,t\n1,x\n"
+
+
+def test_headers_cost_one_block_a_file(spark, tmp_path):
+    """Of a long file, only the block that holds its first line is read."""
+    long = tmp_path / "Credit_Data_-_30-03-2025.csv"
+    with long.open("wb") as file:
+        file.write(b"LOAN_ID,BALANCE\r\n" + b"rec1,1\n" * 1000)
+        file.seek(3_000_000_000)
+        file.write(b"\n")
+    (tmp_path / "Credit_Data_-_30-06-2025.csv").write_text("LOAN_ID," + ",".join(f"c{i}" for i in range(30_000)) + "\nrec1\n")
+    (tmp_path / "Credit_Data_-_30-09-2025.csv").write_text("LOAN_ID,odd name ü%20")
+    before = read_bytes()
+    found = snapshots.find_snapshots(spark, f"{tmp_path}/{snapshots.FILE_GLOB}")
+    assert read_bytes() - before < 100_000_000
+    assert [len(p.header) for p in found] == [2, 30_001, 2] and found[2].header[1] == "odd name ü%20"
+
+
+def read_bytes():
+    """Bytes that this process and those it started have read, from disk or cache."""
+    import psutil
+
+    here = psutil.Process()
+    return sum(p.io_counters().read_chars for p in [here, *here.children(recursive=True)] if p.is_running())
+
+
+def test_headers_where_only_spark_reads(spark, folder, monkeypatch):
+    ranged = snapshots.find_snapshots(spark, f"{folder}/{snapshots.FILE_GLOB}")
+    monkeypatch.setattr(first_lines, "RANGED", ())
+    assert snapshots.find_snapshots(spark, f"{folder}/{snapshots.FILE_GLOB}") == ranged
