@@ -15,14 +15,17 @@ from loanlens.operators.cleaning import col
 from loanlens.sources.snapshots import union_by_name
 
 
-def key_presence(**sources: tuple[DataFrame, str]) -> DataFrame:
-    """(key, n_<source>...): rows of each source per key, the null key included."""
+def key_presence(**sources: tuple[DataFrame, str] | tuple[DataFrame, str, str]) -> DataFrame:
+    """(key, n_<source>...): rows of each source per key, the null key included.
+
+    A source is a frame and its key, and a third name if it is counted already.
+    """
     bare = [
         df.select(
             col(key).cast("string").alias("key"),
-            *[F.lit(1 if other == name else 0).alias(f"n_{other}") for other in sources],
+            *[(F.lit(0) if other != name else col(n[0]) if n else F.lit(1)).cast("long").alias(f"n_{other}") for other in sources],
         )
-        for name, (df, key) in sources.items()
+        for name, (df, key, *n) in sources.items()
     ]
     return union_by_name(bare).groupBy("key").agg(*[F.sum(f"n_{name}").alias(f"n_{name}") for name in sources])
 

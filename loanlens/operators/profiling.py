@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions.rates import percent, tally
-from loanlens.functions.values import full_days
-from loanlens.operators.cleaning import col, normalise_nulls
+from loanlens.functions.values import full_days, null_if_token
+from loanlens.operators.cleaning import col
 from loanlens.operators.quality import SCORE_FROM, SCORE_TO
-from loanlens.operators.quantiles import exact_quantiles
+from loanlens.operators.quantiles import counted, summary
+from loanlens.session import materialised
 from loanlens.sources.snapshots import union_by_name
 
 
@@ -46,33 +47,41 @@ def column_values(df: DataFrame, columns: Sequence[str] | None = None, by: Seque
 
 
 def raw_profile(df: DataFrame, source: str | None = None, by: str | None = None, held: DataFrame | None = None) -> DataFrame:
-    """The profile of raw text: null tokens are nulls, and the values tell the type.
+    """The profile of raw text, see ``profile_of_values``."""
+    return profile_of_values(column_values(df, by=[by] if by else []), source, by, held)
+
+
+def profile_of_values(values: DataFrame, source: str | None = None, by: str | None = None, held: DataFrame | None = None) -> DataFrame:
+    """Profile of counted raw texts (by, column, value, n): null tokens are nulls, and the values tell the type.
 
     A column is ``whole`` if all its values are, ``fraction`` if all are numbers, ``date`` if
-    all look like dates, ``empty`` without values, and ``string`` otherwise.  ``held`` lists
-    (by, column) that the files have; without it all columns count as held everywhere.
+    all look like dates, ``empty`` without values, and ``string`` otherwise; how many rows look
+    like which is counted too, as a column of mixed kinds is a drift worth seeing.  ``held``
+    lists (by, column) that the files have; without it all columns count as held everywhere.
     """
     keys = [by] if by else []
+    values = values.withColumn("value", null_if_token(F.col("value"))).withColumn("kind", text_kind(F.col("value")))
     # Numbers and dates in one column are text, so the kinds of all values are kept.
-    values = column_values(normalise_nulls(df), by=keys).withColumn("kind", text_kind(F.col("value")))
+    kinds = {"n_whole": 1, "n_fraction": 2, "n_date": 4, "n_text": 8}
     stats = values.groupBy(*keys, "column").agg(
         F.bit_or("kind").alias("kinds"),
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
         F.count("value").alias("n_unique"),
         F.min("value").alias("sample"),
+        *[F.sum(F.when(F.col("kind") == bit, F.col("n")).otherwise(0)).alias(name) for name, bit in kinds.items()],
     )
     if held is not None:
         stats = stats.join(held, [*keys, "column"], "left_semi")
-    kinds = F.col("kinds")
+    seen = F.col("kinds")
     dtype = (
-        F.when(kinds == 0, "empty").when(kinds == 1, "whole").when(kinds.isin(2, 3), "fraction")
-        .when(kinds == 4, "date").otherwise("string")
+        F.when(seen == 0, "empty").when(seen == 1, "whole").when(seen.isin(2, 3), "fraction")
+        .when(seen == 4, "date").otherwise("string")
     )
     named = F.concat_ws("::", *([F.lit(source)] if source else []), *[col(k).cast("string") for k in keys])
     return stats.select(
         named.alias("source"), "column", dtype.alias("dtype"), "rows", "n_null",
-        percent(F.col("n_null"), F.col("rows")).alias("pct_null"), "n_unique", "sample",
+        percent(F.col("n_null"), F.col("rows")).alias("pct_null"), "n_unique", "sample", *kinds,
     )
 
 
@@ -136,36 +145,37 @@ def _sketched(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
 
 def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values of each enum column with their counts, nulls left out."""
-    return column_values(df, columns).filter("value IS NOT NULL").orderBy("column", "value")
+    return vocabulary_of_values(column_values(df, columns), columns)
+
+
+def vocabulary_of_values(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same of counted values (column, value, n), whatever else they are counted by."""
+    chosen = values.filter(F.col("column").isin(list(columns)) & F.col("value").isNotNull())
+    return chosen.groupBy("column", "value").agg(F.sum("n").alias("n")).orderBy("column", "value")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Counts per value as it stands, null included, most frequent first."""
+    return counts_of_values(column_values(df, [column]), [column]).drop("column")
+
+
+def counts_of_values(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n) of the columns, each most frequent first, from counted values."""
+    chosen = values.filter(F.col("column").isin(list(columns)))
     return (
-        df.groupBy(col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())
+        chosen.groupBy("column", "value").agg(F.sum("n").alias("n"))
+        .orderBy("column", F.col("n").desc(), F.col("value").asc_nulls_last())
     )
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column; the quartiles are exact."""
+    """count, mean, std, min, quartiles and max per column; the quartiles are exact.
+
+    The columns are counted by value once; everything is taken from the written counts.
+    """
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(F.inline(pairs))
-    quartiles = exact_quantiles(long, [0.25, 0.5, 0.75])
-    moments = long.groupBy("name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    cuts = df.sparkSession.createDataFrame(
-        [(name, *values) for name, values in quartiles.items()], "name string, p25 double, p50 double, p75 double"
-    )
-    return moments.join(cuts, "name", "left").select(
-        F.col("name").alias("column"), "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    counts = materialised(counted(df.select(F.inline(pairs))), "value-counts")
+    return summary(counts).withColumnRenamed("name", "column")
 
 
 def year_histogram(df: DataFrame, column: str) -> DataFrame:

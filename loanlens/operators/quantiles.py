@@ -1,119 +1,87 @@
-"""Exact quantiles without gathering a column in one task.
+"""Exact quantiles and moments of counted values.
 
-The value range is cut into a bounded number of buckets, each bucket counted with a
-map-side combined aggregate.  The counts tell which bucket holds a wanted rank; if that
-bucket holds more than one distinct value, only its rows are cut again, finer.  Three
-rounds separate any two doubles; data with few distinct values is done after the first.
-A round hands at most (columns x ranks) bucket rows to the driver.
+Columns are first counted by value, combined before the shuffle, so that what follows is
+about different values and a value that fills a column is one row.  The counts are dealt by
+ranges of (name, value) and written once.  A prefix sum over the ranges' totals tells which
+range holds a wanted rank, and a prefix sum inside that range which value: no sort or window
+sees more than one range, and the source is read once.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FIRST_STEPS = 1 << 10
-LATER_STEPS = 1 << 22
-ROUNDS = 3
+from loanlens.session import materialised
 
+# The id of a row of a sorted range is the range's number, shifted so far, and its place.
+PLACE_BITS = 33
 
-@dataclass(frozen=True)
-class Bucket:
-    """A value range of one column that holds wanted ranks."""
 
-    name: str
-    low: float
-    high: float
+def counted(rows: DataFrame) -> DataFrame:
+    """(name, value, n) of ``rows`` (name, value); null is a value, and -0.0 is 0.0."""
+    return rows.groupBy("name", (F.col("value") + F.lit(0.0)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """A whole number that never decreases with the value: binary exponent, then steps
-    of the mantissa.  At most a few million distinct results exist."""
-    size = F.abs(value)
-    exponent = F.least(F.floor(F.log2(size)).cast("double"), F.lit(1023.0))
-    mantissa = F.least(size / F.pow(F.lit(2.0), exponent), F.lit(2.0)) - 1
-    steps = (exponent + 1076) * FIRST_STEPS + F.floor(mantissa * FIRST_STEPS)
-    return F.when(size == 0, F.lit(0)).otherwise(F.signum(value) * steps).cast("bigint")
+def quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(name, prob, value): quantiles of ``counts`` (name, value, n) with linear interpolation.
 
-
-def linear_bucket(value: Column, low: Column, high: Column) -> Column:
-    step = F.floor((value - low) / (high - low) * F.lit(float(LATER_STEPS)))
-    return F.least(step, F.lit(LATER_STEPS - 1)).cast("bigint")
-
-
-def _hits(rows: DataFrame, part: str, bucket: Column, ranks: Column) -> DataFrame:
-    """Buckets that hold a wanted rank: value range and rank within the bucket.
-
-    ``ranks`` may refer to ``total``, the rows of the part.  The running count goes over
-    buckets, whose number is bounded, never over rows.
+    Nulls and NaN are left out; a name without values is absent from the result.
     """
-    counted = rows.groupBy(part, bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    clean = counts.filter(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("n") > 0)).select("name", "value", "n")
+    placed = clean.repartitionByRange("name", "value").sortWithinPartitions("name", "value").withColumn("at", F.monotonically_increasing_id())
+    ranges = materialised(placed, "quantile-ranges").withColumn("range", F.shiftright("at", PLACE_BITS))
+    # One row per name and range, whose number is that of the tasks.
+    whole = Window.partitionBy("name")
+    totals = ranges.groupBy("name", "range").agg(F.sum("n").alias("held"))
+    before = F.sum("held").over(whole.orderBy("range")) - F.col("held")
+    place = F.col("prob") * (F.col("total") - 1)
+    wanted = (
+        totals.withColumns({"before": before, "total": F.sum("held").over(whole)})
+        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("end", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("rank", F.when(F.col("end") == 0, F.floor(place)).otherwise(F.ceil(place)))
+        .withColumn("share", place - F.floor(place))
+        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("held")))
+        .select("name", "range", "before", "prob", "end", "rank", "share")
     )
-    whole = Window.partitionBy(part)
-    before = F.sum("n").over(whole.orderBy("bucket")) - F.col("n")
-    return (
-        counted.withColumns({"before": before, "total": F.sum("n").over(whole)})
-        .withColumn("rank", F.explode(F.array_distinct(ranks)))
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-        .select(part, "total", "rank", (F.col("rank") - F.col("before")).alias("within"), "low", "high")
+    # Twice as many rows as names and probabilities, so always small enough to broadcast.
+    inside = ranges.join(F.broadcast(wanted.select("name", "range", "before").distinct()), ["name", "range"])
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("name", "range").orderBy("at"))
+    sums = inside.select("name", "range", "value", (upto - F.col("n")).alias("from"), upto.alias("upto"))
+    hits = sums.join(F.broadcast(wanted.drop("before")), ["name", "range"]).filter("rank >= from AND rank < upto")
+    ends = hits.groupBy("name", "prob").agg(
+        F.max(F.when(F.col("end") == 0, F.col("value"))).alias("low"),
+        F.max(F.when(F.col("end") == 1, F.col("value"))).alias("high"),
+        F.max("share").alias("share"),
     )
+    return ends.select("name", "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("value"))
 
 
 def exact_quantiles(rows: DataFrame, probs: Sequence[float]) -> dict[str, list[float]]:
-    """Quantiles of ``rows`` (name, value) per name, with linear interpolation.
-
-    Nulls and NaN are left out; a name without values is absent from the result.
-    """
-    spark = rows.sparkSession
-    clean = rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    found: dict[tuple[str, int], float] = {}
-    total: dict[str, int] = {}
-    # Ranks that still share a bucket with other values: (rank, rank within the bucket).
-    unsettled: dict[Bucket, list[tuple[int, int]]] = {}
-
-    def settle(name: str, rank: int, hit) -> None:
-        if hit["low"] == hit["high"]:
-            found[name, rank] = hit["low"]
-        else:
-            unsettled.setdefault(Bucket(name, hit["low"], hit["high"]), []).append((rank, hit["within"]))
-
-    places = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
-    ranks = F.array(*[f(place).cast("bigint") for place in places for f in (F.floor, F.ceil)])
-    for hit in _hits(clean, "name", magnitude_bucket(F.col("value")), ranks).collect():
-        total[hit["name"]] = hit["total"]
-        settle(hit["name"], hit["rank"], hit)
-
-    for _ in range(ROUNDS - 1):
-        if not unsettled:
-            break
-        cut, unsettled = list(unsettled.items()), {}
-        # Bounded by columns x ranks, so it is always small enough to broadcast.
-        cuts = spark.createDataFrame(
-            [(i, b.name, b.low, b.high) for i, (b, _) in enumerate(cut)], "cut int, name string, low double, high double"
-        )
-        inside = clean.join(F.broadcast(cuts), "name").filter(F.col("value").between(F.col("low"), F.col("high")))
-        narrowed = inside.select(
-            "cut", "value", linear_bucket(F.col("value"), F.col("low"), F.col("high")).alias("step")
-        )
-        wanted = F.create_map(*[
-            item for i, (_, places_in) in enumerate(cut)
-            for item in (F.lit(i), F.array(*[F.lit(within).cast("bigint") for _, within in places_in]))
-        ])[F.col("cut")]
-        hits = {(h["cut"], h["rank"]): h for h in _hits(narrowed, "cut", F.col("step"), wanted).collect()}
-        for i, (bucket, places_in) in enumerate(cut):
-            for rank, within in places_in:
-                settle(bucket.name, rank, hits[i, within])
-    if unsettled:
-        raise AssertionError("three rounds separate all doubles")
-
-    def at(name: str, p: float) -> float:
-        place = p * (total[name] - 1)
-        left, right = found[name, math.floor(place)], found[name, math.ceil(place)]
-        return left + (right - left) * (place - math.floor(place))
-
-    return {name: [at(name, p) for p in probs] for name in total}
+    """Quantiles of ``rows`` (name, value) per name: as many numbers as names and probabilities."""
+    found = {(r.name, r.prob): r.value for r in quantiles(counted(rows), probs).collect()}
+    return {name: [found[name, float(p)] for p in probs] for name, _ in found}
+
+
+def summary(counts: DataFrame) -> DataFrame:
+    """(name, count, mean, std, min, p25, p50, p75, max) of ``counts`` (name, value, n); the quartiles are exact."""
+    n, value = F.col("n"), F.col("value")
+    filled = F.when(value.isNotNull(), n)
+    moments = counts.groupBy("name").agg(
+        F.coalesce(F.sum(filled), F.lit(0)).alias("count"), (F.sum(value * n) / F.sum(filled)).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    # The mean first: squares about it do not cancel.  One row per name.
+    apart = counts.join(F.broadcast(moments.select("name", "mean")), "name")
+    squares = apart.groupBy("name").agg(F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("squares"))
+    quarters = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    cuts = quantiles(counts, list(quarters)).groupBy("name").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(c) for p, c in quarters.items()]
+    )
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
+    return moments.join(squares, "name").join(cuts, "name", "left").select(
+        "name", "count", "mean", std.alias("std"), "min", "p25", "p50", "p75", "max"
+    )

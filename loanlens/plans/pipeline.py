@@ -11,12 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.functions.values import number
+from loanlens.functions.values import null_if_token, number
 from loanlens.operators import keys, metrics, profiling, quality
-from loanlens.operators.cleaning import normalise_nulls
+from loanlens.operators.quantiles import summary
 from loanlens.plans import marts, staging
-from loanlens.schemas import CUSTOMER_KEY
+from loanlens.schemas import CREDIT_KEY, CREDIT_STATUS, CUSTOMER_KEY
 from loanlens.sources import snapshots, tables
+from loanlens.sources.first_lines import Part
 
 # Enum columns that are listed, and the sources whose keys are compared.
 VOCABULARIES = ["ACCOUNT_STATUS_L1", "ACCOUNT_STATUS_L2", "BALANCE_DUE_STATUS", "CREDIT_CHECK_DONE"]
@@ -43,45 +44,69 @@ class Warehouse:
         return spark.read.parquet(self.path(table))
 
 
-def profile(spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column | None = None) -> None:
+def exports_of(spark: SparkSession, inputs: Inputs) -> list[Part]:
+    """The snapshot exports with their headers; no file, or one without key or status, stops the run."""
+    exports = snapshots.find_snapshots(spark, inputs.snapshots)
+    if not exports:
+        raise ValueError(f"no snapshot files match {inputs.snapshots}")
+    snapshots.require_columns(exports, CREDIT_KEY, CREDIT_STATUS)
+    return exports
+
+
+def profile(
+    spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column | None = None, exports: list[Part] | None = None,
+    customers: dict[str, DataFrame] | None = None,
+) -> None:
     """Profiles of every raw source: columns, sizes, relations, vocabularies, numbers, years and outliers.
 
+    The raw book is counted once, by snapshot, column and value; that table is kept as
+    ``raw_values``, a folder per column, and everything about the book is taken from it.
     ``as_of`` is the date at which implied ages are taken, the newest reported one if not given.
     """
-    exports = snapshots.find_snapshots(spark, inputs.snapshots)
+    exports = exports or exports_of(spark, inputs)
+    customers = customers or tables.read_customer_tables(spark, inputs.customers)
     credit = snapshots.read_snapshots(spark, exports)
+    tables.write_partitions(profiling.column_values(credit, by=["snapshot_date"]), out.path("raw_values"), by="column")
+    values = out.read(spark, "raw_values").withColumn("column", F.col("column").cast("string"))
     held = quality.raw_manifest(spark, snapshots.manifest(exports)).select(
         F.col("snapshot_date").cast("date").alias("snapshot_date"), F.col("raw_column").alias("column")
     )
-    customers = tables.read_customer_tables(spark, inputs.customers)
     survey = tables.read_survey(spark, inputs.survey)
     named = staging.rename_survey(survey)
     income = staging.typed_income(customers["income"])
     dob = staging.typed_dob(customers["dob"])
+
+    def of(header: str) -> DataFrame:
+        return values.filter(F.col("column") == header)
+
     if as_of is None:
-        as_of = staging.stage_credit_columns(credit).agg(F.max("reporting_date")).scalar()
+        as_of = of("DATE").agg(F.max(staging.PARSERS["date"](F.col("value")))).scalar()
+    loans = of(CREDIT_KEY).groupBy(F.col("value").alias(CREDIT_KEY)).agg(F.sum("n").alias("n"))
     presence = keys.key_presence(
-        credit=(credit, "LOAN_ID"), nps=(survey, CUSTOMER_KEY), **{name: (df, CUSTOMER_KEY) for name, df in customers.items()}
+        credit=(loans, CREDIT_KEY, "n"), nps=(survey, CUSTOMER_KEY), **{name: (df, CUSTOMER_KEY) for name, df in customers.items()}
     )
     survey_score = named.select(number(F.col("nps_score").cast("string")).alias("nps_score"))
-    amounts = staging.stage_credit_columns(credit).select("days_past_due")
+    overdue = of("DAYS_PAST_DUE").select(
+        F.lit("days_past_due").alias("name"), staging.PARSERS["double"](F.col("value")).alias("value"), "n"
+    )
+    overdue = overdue.groupBy("name", (F.col("value") + F.lit(0.0)).alias("value")).agg(F.sum("n").alias("n"))
+    size = of(CREDIT_KEY).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    size = size.select(F.lit("credit").alias("dataset"), "rows", F.lit(len(credit.columns)).cast("bigint").alias("cols"))
     results = {
-        "profile_credit": profiling.raw_profile(credit, "credit", by="snapshot_date", held=held),
+        "profile_credit": profiling.profile_of_values(values, "credit", by="snapshot_date", held=held),
         "profile_customer": snapshots.union_by_name(
             [profiling.raw_profile(df, f"customer::{name}") for name, df in customers.items()]
         ),
         "profile_nps": profiling.raw_profile(survey, "nps"),
-        "dataset_summary": profiling.dataset_summary(credit=credit, nps=survey, **customers),
+        "dataset_summary": size.unionByName(profiling.dataset_summary(nps=survey, **customers)),
         "relationships": keys.relationship_metrics(
             presence, unresolved=["gender", "income", "dob"], pairs=RELATIONS, duplicates=list(customers),
             sources=["credit", *customers, "nps"],
         ),
-        "vocabulary": profiling.vocabulary(normalise_nulls(credit), VOCABULARIES),
-        "status_counts": snapshots.union_by_name(
-            [profiling.value_counts(credit, c).withColumn("column", F.lit(c)) for c in VOCABULARIES]
-        ),
+        "vocabulary": profiling.vocabulary_of_values(values.withColumn("value", null_if_token(F.col("value"))), VOCABULARIES),
+        "status_counts": profiling.counts_of_values(values, VOCABULARIES),
         "numeric_summary": snapshots.union_by_name([
-            profiling.numeric_summary(amounts, ["days_past_due"]),
+            summary(overdue).withColumnRenamed("name", "column"),
             profiling.numeric_summary(income, ["received_total", "duration_months"]),
             profiling.numeric_summary(survey_score, ["nps_score"]),
         ]),
@@ -92,16 +117,20 @@ def profile(spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column |
         tables.write_result(frame, out.path(name))
 
 
-def stage(spark: SparkSession, inputs: Inputs, out: Warehouse) -> None:
+def stage(
+    spark: SparkSession, inputs: Inputs, out: Warehouse, exports: list[Part] | None = None, customers: dict[str, DataFrame] | None = None
+) -> None:
     """Clean the raw sources.  Snapshot files hold one date each, so no shuffle is needed.
 
+    The job that writes the staged book also counts what it drops and what it cannot parse.
     What each snapshot's files held is kept beside the tables, for the schema check.
     """
-    exports = snapshots.find_snapshots(spark, inputs.snapshots)
+    exports = exports or exports_of(spark, inputs)
+    customers = customers or tables.read_customer_tables(spark, inputs.customers)
     tables.write_table(quality.raw_manifest(spark, snapshots.manifest(exports)), out.path("raw_manifest"))
-    raw = snapshots.read_snapshot_files(spark, inputs.snapshots)
-    tables.write_partitions(staging.clean_credit_snapshot(raw), out.path("stg_credit_snapshot"), rebalance=False)
-    customers = tables.read_customer_tables(spark, inputs.customers)
+    account = staging.Account(snapshots.read_each(spark, exports))
+    tables.write_partitions(account.staged, out.path("stg_credit_snapshot"), rebalance=False)
+    tables.write_result(account.losses(spark), out.path("parse_losses"))
     tables.write_table(staging.clean_customer(**customers), out.path("stg_customer"))
     survey = tables.read_survey(spark, inputs.survey)
     tables.write_table(staging.clean_survey(survey), out.path("stg_nps"))
@@ -125,7 +154,7 @@ def stage(spark: SparkSession, inputs: Inputs, out: Warehouse) -> None:
         "snapshot_date", F.concat(F.lit("date_warning::"), F.col("verdict")).alias("metric"), F.col("n_dates").alias("value")
     )
     reports = [
-        per_snapshot(staging.credit_report(raw)),
+        per_snapshot(account.report(out.read(spark, "stg_credit_snapshot"))),
         per_snapshot(warnings),
         report("customer", staging.sales_report(customers["sales"])),
         report("customer", filled),
@@ -185,8 +214,9 @@ def analyse(spark: SparkSession, out: Warehouse) -> None:
 
 def run(spark: SparkSession, inputs: Inputs, out: Warehouse, as_of: Column) -> DataFrame:
     """All stages in order; the checks with their routes are the result."""
-    profile(spark, inputs, out, as_of)
-    stage(spark, inputs, out)
+    exports, customers = exports_of(spark, inputs), tables.read_customer_tables(spark, inputs.customers)
+    profile(spark, inputs, out, as_of, exports, customers)
+    stage(spark, inputs, out, exports, customers)
     build_marts(spark, out)
     checked = check(spark, out, as_of)
     analyse(spark, out)

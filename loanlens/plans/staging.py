@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions.bands import nps_segment
@@ -21,6 +23,7 @@ from loanlens.schemas import (
     CREDIT_COLUMNS, CREDIT_KEY, CREDIT_STATUS, CUSTOMER_KEY, SURVEY_HEADERS, SURVEY_QUESTIONS, SURVEY_SCORE_STEM,
 )
 from loanlens.sources.headers import lower_headers, pick_header, snake_headers, strip_headers
+from loanlens.sources.snapshots import union_by_name
 
 # A null token would not parse as a number either, but a failed parse costs far more
 # than the look-up.
@@ -35,11 +38,12 @@ SQL_TYPES = {"text": "string", "date": "date", "double": "double", "long": "bigi
 
 # Credit snapshots ---------------------------------------------------------------------
 
-def stage_credit_columns(raw: DataFrame) -> DataFrame:
+def stage_credit_columns(raw: DataFrame, *more: Column) -> DataFrame:
     """Raw text columns to the canonical typed columns, all in one projection.
 
     Every snapshot gets the same types whatever its file held, so snapshots can be put
-    together.  Absent columns become null, unknown ones follow as trimmed text.
+    together.  Absent columns become null, unknown ones follow as trimmed text; ``more``
+    are further results of the same projection.
     """
     def value(header: str, kind: str) -> Column:
         if header not in raw.columns:
@@ -49,7 +53,7 @@ def stage_credit_columns(raw: DataFrame) -> DataFrame:
     known = {header for header, _, _ in CREDIT_COLUMNS} | {"snapshot_date"}
     columns = [value(header, kind).alias(name) for header, name, kind in CREDIT_COLUMNS]
     extra = [stripped(null_if_token(col(c).cast("string"))).alias(c.lower()) for c in raw.columns if c not in known]
-    staged = raw.select(*columns, *extra, "snapshot_date")
+    staged = raw.select(*columns, *extra, "snapshot_date", *more)
     return staged.withColumn("balance_due_status", F.lower("balance_due_status"))
 
 
@@ -76,6 +80,61 @@ def credit_report(raw: DataFrame) -> DataFrame:
     return drop_report(tagged, "snapshot_date", "loan_id", ["test_row", "null_key"])
 
 
+TYPED = [(header, kind) for header, _, kind in CREDIT_COLUMNS if kind != "text"]
+
+
+def _lost(raw: DataFrame) -> Column:
+    """One bit per typed column whose text is no missing value and yet gave no value.
+
+    The parsed values are those of the staged columns, so the projection parses them once.
+    """
+    bits = F.lit(0).cast("long")
+    for i, (header, kind) in enumerate(TYPED):
+        if header in raw.columns:
+            text = col(header).cast("string")
+            unread = PARSERS[kind](text).isNull() & null_if_token(text).isNotNull() & (F.btrim(text) != "")
+            bits = bits + F.coalesce(unread, F.lit(False)).cast("long") * F.lit(1 << i)
+    return bits
+
+
+class Account:
+    """What the job that stages snapshots sees of their raw rows, without another pass over them.
+
+    Rows read, dropped by reason, and texts lost in parsing by column are observed as the rows
+    pass on to the staged table; rows kept and distinct loans are then read from that table,
+    two of its columns.  One observation per snapshot, known once a job has run.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame]):
+        self.observed = {date: Observation(f"snapshot {date}") for date in raw}
+        frames = [self._watched(frame, self.observed[date]) for date, frame in raw.items()]
+        self.staged = union_by_name(frames)
+
+    @staticmethod
+    def _watched(raw: DataFrame, observation: Observation) -> DataFrame:
+        tagged = stage_credit_columns(raw, drop_reason(raw).alias("drop_reason"), _lost(raw).alias("lost"))
+        counts = [F.count(F.lit(1)).alias("rows_in")]
+        counts += [F.count_if(F.col("drop_reason") == reason).alias(f"dropped_{reason}") for reason in ("test_row", "null_key")]
+        counts += [F.count_if(F.col("lost").bitwiseAND(F.lit(1 << i)) != 0).alias(f"lost::{header}") for i, (header, _) in enumerate(TYPED)]
+        return tagged.observe(observation, *counts).filter(F.col("drop_reason").isNull()).drop("drop_reason", "lost")
+
+    def report(self, staged: DataFrame) -> DataFrame:
+        """(snapshot_date, metric, value) as in ``credit_report``, given the table that the job wrote."""
+        seen = [(date, name, int(value)) for date, o in self.observed.items() for name, value in o.get.items() if not name.startswith("lost::")]
+        before = staged.sparkSession.createDataFrame(seen, "snapshot_date string, metric string, value long")
+        kept = staged.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows_out"), F.count_distinct("loan_id").alias("unique_keys"))
+        dates = staged.sparkSession.createDataFrame([(date,) for date in self.observed], "snapshot_date string")
+        after = dates.select(F.col("snapshot_date").cast("date")).join(kept, "snapshot_date", "left").fillna(0)
+        after = after.unpivot("snapshot_date", ["rows_out", "unique_keys"], "metric", "value")
+        return before.withColumn("snapshot_date", F.col("snapshot_date").cast("date")).unionByName(after)
+
+    def losses(self, spark: SparkSession) -> DataFrame:
+        """(snapshot_date, column, n_lost) of every typed column."""
+        seen = [(date, name.removeprefix("lost::"), int(n)) for date, o in self.observed.items() for name, n in o.get.items() if name.startswith("lost::")]
+        found = spark.createDataFrame(seen, "snapshot_date string, column string, n_lost long")
+        return found.withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+
+
 # Customer tables ----------------------------------------------------------------------
 
 def _keyed(table: DataFrame) -> DataFrame:

@@ -62,12 +62,27 @@ def manifest(exports: list[Part]) -> dict[str, list[str]]:
     """Raw columns that each snapshot's files all have, by snapshot date."""
     held: dict[str, set[str]] = {}
     for part in exports:
-        named = EXPORT_NAME.match(part.group)
-        date = str(dt.date(int(named[4]), int(named[3]), int(named[2]))) if named else part.group
+        date = date_of(part) if EXPORT_NAME.match(part.group) else part.group
         held[date] = held.get(date, set(part.header)) & set(part.header)
     return {date: sorted(columns) for date, columns in sorted(held.items())}
 
 
+def date_of(part: Part) -> str:
+    """The snapshot date in an export's name."""
+    named = EXPORT_NAME.match(part.group)
+    if not named:
+        raise ValueError(f"no snapshot date in file name: {part.group}")
+    return str(dt.date(int(named[4]), int(named[3]), int(named[2])))
+
+
+def read_each(spark: SparkSession, exports: list[Part]) -> dict[str, DataFrame]:
+    """The raw text columns of every snapshot by itself, by date, each with ``snapshot_date``."""
+    dated: dict[str, list[Part]] = {}
+    for part in exports:
+        dated.setdefault(date_of(part), []).append(part)
+    return {date: read_snapshots(spark, parts) for date, parts in sorted(dated.items())}
+
+
 def require_columns(exports: list[Part], *names: str) -> None:
     """Stop if a snapshot lacks a column without which its rows mean nothing."""
     lacking = [f"{part.path} ({name})" for part in exports for name in names if name not in part.header]

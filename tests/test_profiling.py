@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from loanlens.operators import profiling
-from loanlens.operators.quantiles import exact_quantiles, magnitude_bucket
+from loanlens.operators.quantiles import counted, exact_quantiles, quantiles, summary
 
 RNG = np.random.default_rng(7)
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -31,12 +31,27 @@ def test_quantiles_equal_a_full_sort(spark):
         assert got[name] == pytest.approx(list(low + (high - low) * (place - np.floor(place))), rel=1e-12), name
 
 
-def test_buckets_never_decrease(spark):
-    values = np.sort(np.concatenate([SAMPLES["wide"], SAMPLES["normal"], SAMPLES["zeros"], 2.0 ** np.arange(-1074, 1024),
-                                     np.nextafter(2.0 ** np.arange(-1000, 1023), 0)]))
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, value double")
-    buckets = [r[0] for r in df.select(magnitude_bucket(F.col("value")), "i").orderBy("i").collect()]
-    assert buckets == sorted(buckets)
+def test_counts_weigh_like_rows(spark):
+    """Counted values give what their rows give, and huge counts cost nothing."""
+    rows_ = [("a", float(v)) for v in RNG.integers(-20, 20, 2000)] + [("b", 1.5)] * 700 + [("c", None)]
+    df = spark.createDataFrame(rows_, "name string, value double")
+    plain = {r.name: r for r in summary(counted(df)).collect()}
+    values = np.array([v for n, v in rows_ if n == "a"])
+    a = plain["a"]
+    assert (a["count"], a["min"], a["max"]) == (2000, values.min(), values.max())
+    assert [a["mean"], a["std"], a.p25, a.p50, a.p75] == pytest.approx([values.mean(), values.std(ddof=1), *np.quantile(values, [0.25, 0.5, 0.75])])
+    assert (plain["b"].p25, plain["b"]["std"], plain["b"]["count"]) == (1.5, 0.0, 700)
+    assert (plain["c"]["count"], plain["c"]["mean"], plain["c"].p50) == (0, None, None)
+    large = spark.createDataFrame([("x", 1.0, 10**12), ("x", 2.0, 10**12 - 1), ("x", 9.0, 3)], "name string, value double, n long")
+    assert {r.prob: r.value for r in quantiles(large, [0.0, 0.5, 1.0]).collect()} == {0.0: 1.0, 0.5: 2.0, 1.0: 9.0}
+
+
+def test_quantile_plan_sorts_ranges_only(spark):
+    """The source is read once, before the plan; no window spans a name's rows."""
+    df = spark.range(100_000).select(F.lit("v").alias("name"), (F.col("id") % 50_000).cast("double").alias("value"))
+    plan = quantiles(counted(df), [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and "parquet" in plan
+    assert [r.value for r in quantiles(counted(df), [0.5]).collect()] == [24_999.5]
 
 
 @pytest.fixture
