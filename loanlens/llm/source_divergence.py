@@ -2,14 +2,15 @@
 
 Identical texts of a language are collapsed first: a text's copies are counted by source,
 one of them is tokenized, and its terms count in each source as often as it stands there.
-Tasks add up before they pass rows on.  Terms in enough of a language's documents are kept;
-each source and the language as a whole then has an integer share for every kept term, in
+Tasks add up before they pass rows on, and a term travels with all its sources in one row;
+rows are dealt by language and term, and stay so until the terms that are in enough of the
+language's documents are written, again a row each.  Each source and the language as a whole then has an integer share for every kept term, in
 thousand millionths, and two shares differ by floor((p - q)^2 / (p + q)).
 
 Pairs of sources are evaluated sparsely.  All terms that a source lacks have one share, so a
 pair's sum is that of two empty sources for every kept term, corrected for the terms of the
 one, for those of the other (by how many terms have a count: a histogram), and once more for
-the terms that both have.  Only those meet in a join; a term has one row per source there.
+the terms that both have.  Those come from the rows of the terms, without a join.
 
 The result is whole numbers throughout; nothing is rounded but by the definitions above.
 Null text, language and source count as ''.  Repeated rows and ids are documents each.  A
@@ -23,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,10 +38,10 @@ TOP_TERMS = 10
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = bytes(range(256)).lower()
 
-# Different terms of all sources that a task holds before it passes their counts on.
-HELD = 500_000
+# Terms of all sources that a task holds before it passes their counts on.
+HELD = 400_000
 
-COUNTS = "lang string, source string, term string, docs long, n long"
+PLACES = pa.struct([("source", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
 
 
 def collapsed(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -60,11 +62,20 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: dict[tuple[str, str], Counter] = {}
     n: dict[tuple[str, str], Counter] = {}
 
-    def counted() -> pa.RecordBatch:
-        rows = [(*group, term, docs[group][term], k) for group, terms in n.items() for term, k in terms.items()]
-        columns = list(zip(*rows)) or [[]] * 5
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "source", "term", "docs", "n"])
+    def counted() -> Iterator[pa.RecordBatch]:
+        rows: dict[tuple[str, str], list[tuple[str, int, int]]] = {}
+        for (lang, source), terms in n.items():
+            in_docs = docs[lang, source]
+            for term, k in terms.items():
+                rows.setdefault((lang, term), []).append((source, in_docs[term], k))
+        if rows:
+            langs, terms = zip(*rows)
+            flat = list(zip(*(place for places in rows.values() for place in places)))
+            places = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, PLACES)], fields=list(PLACES))
+            ends = np.cumsum([0, *map(len, rows.values())]).astype(np.int32)
+            arrays = [pa.array(langs, pa.string()), pa.array(terms, pa.string()), pa.ListArray.from_arrays(pa.array(ends), places)]
+            table = pa.Table.from_arrays(arrays, ["lang", "term", "places"])
+            yield from table.to_batches(max_chunksize=10_000)
 
     held = 0
     for batch in batches:
@@ -80,22 +91,31 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     in_all[term] += copies * k
                 held += len(in_all)
                 if held > HELD:
-                    yield counted()
+                    yield from counted()
                     docs.clear()
                     n.clear()
                     held = 0
-    yield counted()
+    yield from counted()
 
 
-def term_counts(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n) of collapsed texts: documents with the term, and occurrences."""
-    counts = texts.mapInArrow(_count, COUNTS)
-    return counts.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+def kept_terms(texts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """(lang, term, of_lang, places) of collapsed texts: occurrences, in all and by source, of terms in enough documents."""
+    counts = texts.mapInArrow(_count, "lang string, term string, places array<struct<source:string,docs:long,n:long>>")
+    # Dealt once; what follows keeps a term's rows where they are.
+    counts = counts.repartition("lang", "term").select("lang", "term", F.inline("places"))
+    by_source = counts.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    terms = by_source.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("n").alias("of_lang"), F.collect_list(F.struct("source", "n")).alias("places")
+    )
+    return terms.filter(F.col("docs") >= least_docs).drop("docs")
 
 
 def share(n: str, total: str, kept: str) -> Column:
-    """1 + floor(10^9 (n + 2) / (total + 2 kept)), on decimals because the product can pass the whole numbers of 64 bits."""
-    return F.expr(f"1 + (cast(1000000000 as decimal(10,0)) * cast({n} + 2 as decimal(20,0))) div cast({total} + 2 * {kept} as decimal(20,0))")
+    """1 + floor(10^9 (n + 2) / (total + 2 kept)); on decimals where the product could pass the whole numbers of 64 bits."""
+    return F.expr(
+        f"1 + case when {n} <= 9000000000 then 1000000000L * ({n} + 2) div ({total} + 2 * {kept}) else "
+        f"(cast(1000000000 as decimal(10,0)) * cast({n} + 2 as decimal(20,0))) div cast({total} + 2 * {kept} as decimal(20,0)) end"
+    )
 
 
 def differ(p: str, q: str) -> Column:
@@ -104,14 +124,12 @@ def differ(p: str, q: str) -> Column:
 
 def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank): the pairs with other sources, and the terms above the language's share."""
-    texts = materialised(collapsed(docs, text, lang, source), "texts")
-    groups = materialised(texts.select("lang", F.explode("places.source").alias("source")).distinct(), "groups")
-    counts = materialised(term_counts(texts), "terms")
+    empty = F.lit("")
+    groups = docs.select(F.coalesce(F.col(lang).cast("string"), empty).alias("lang"), F.coalesce(F.col(source).cast("string"), empty).alias("source")).distinct()
+    kept = materialised(kept_terms(collapsed(docs, text, lang, source)), "terms")
+    counts = kept.select("lang", "term", "of_lang", F.inline("places"))
 
-    # What is kept, with the language's own numbers.
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("of_lang")).filter(F.col("docs") >= LEAST_DOCS)
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("of_lang").alias("lang_total"))
-    counts = counts.join(kept.select("lang", "term", "of_lang"), ["lang", "term"]).drop("docs")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = (
         groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
@@ -121,16 +139,15 @@ def divergence(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     groups = materialised(groups.withColumn("p0", F.when(F.col("v") > 0, share("0", "total", "v"))), "totals")
     shares = counts.join(groups, ["lang", "source"]).select("lang", "source", "term", "n", "p0", share("n", "total", "v").alias("p"),
                                                             share("of_lang", "lang_total", "v").alias("q"))
-    shares = materialised(shares, "shares")
 
     terms = shares.filter("n > 0 and p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), differ("p", "q").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = terms.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TOP_TERMS)
-    pairs = _pairs(groups, shares).withColumn("rank", F.row_number().over(order))
+    pairs = _pairs(groups, shares, kept).withColumn("rank", F.row_number().over(order))
     return pairs.unionByName(terms)
 
 
-def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
+def _pairs(groups: DataFrame, shares: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, part, item, value) for each two sources of a language."""
     other = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"))
     pairs = groups.select("lang", "source", "v", "p0").join(other, "lang").filter("source <> item")
@@ -141,10 +158,14 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     one = one.select("lang", "source", "item", (F.col("terms") * (differ("p", "q0") - differ("p0", "q0"))).alias("value"))
     one = one.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     turned = one.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
-    # Terms of both, each pair of sources once.
-    a = shares.select("lang", "term", "source", "p", "p0")
-    b = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = a.join(b, ["lang", "term"]).filter("source < item")
+    # Terms of both, each pair of sources once: every place of a term with those that follow it.
+    places = F.array_sort("places")
+    first = kept.select("lang", places.alias("places")).select("lang", "places", F.posexplode("places").alias("i", "x"))
+    rest = F.explode(F.slice("places", F.col("i") + 2, F.size("places"))).alias("y")
+    a = first.select("lang", "x.source", F.col("x.n").alias("n"), rest)
+    a = a.join(groups, ["lang", "source"]).select("lang", "source", "p0", share("n", "total", "v").alias("p"), F.col("y.source").alias("item"), F.col("y.n").alias("n"))
+    b = groups.select("lang", F.col("source").alias("item"), F.col("p0").alias("q0"), "total", "v")
+    both = a.join(b, ["lang", "item"]).withColumn("q", share("n", "total", "v"))
     both = both.select("lang", "source", "item", (differ("p", "q") - differ("p", "q0") - differ("p0", "q") + differ("p0", "q0")).alias("value"))
     both = both.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     mirrored = both.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
