@@ -3,16 +3,21 @@
 Text nodes with the same path of tags from the root play the same part in a page.  For each
 path the text and the punctuation of its nodes are added up and divided by their number;
 in page order both series are smoothed and multiplied, and nodes above a share of the
-series' deviation are content.  The smallest element that holds nearly all of the content
-is the article; its blocks are the text, so that short lines between long ones stay.
+series' deviation are content.  The article is the ``article`` or ``main`` element that holds
+most of the content, or else the lowest element that holds all of it; no content is left out
+of the latter, and short lines between long ones stay.
 
 What an element says about itself comes first: scripts, forms, navigation, sidebars,
-adverts, notices and comments are left out by tag, role or class before ratios are taken.
+adverts, notices and comments are left out by tag or role before ratios are taken.  A class
+or id leaves an element out only if it holds less than half of the page's text, or the page
+has its article elsewhere, and never if it is or holds the article: many wrappers just
+mention what is beside them.  All of it takes time in proportion to the page, however deep.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,9 +59,15 @@ NAMES = frozenset(
 ARTICLES = frozenset(("article", "main"))
 PLAIN = frozenset("p li pre blockquote td th dd dt figcaption h1 h2 h3 h4 h5 h6".split())
 
-# Share of the deviation above which a node is content, share of content that the article must hold, and the smoothing kernel.
-LAMBDA, MOST = 0.5, 0.8
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements that are parts of an article, never the article.
+PARTS = PLAIN | frozenset("ul ol dl menu dir table tbody thead tfoot tr caption figure details summary fieldset legend".split())
+
+# Share of the deviation above which a node is content, and the smoothing kernel.
+LAMBDA = 0.5
 KERNEL = (1.0, 2.0, 1.0)
+# Share of the content by which an article is known, and of the page's text that a name can leave out.
+MOST, SMALL = 0.5, 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -74,17 +85,18 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass(slots=True)
 class Element:
-    """An open element; the flags hold for all that is inside it."""
+    """An element with its place in the tree; ``out``, ``linked`` and ``article`` hold for all that is inside it."""
 
     tag: str
+    parent: Element | None
+    path: int
     number: int
+    last: int
+    holder: str
     out: bool
-    named_out: bool
+    called: bool
     linked: bool
-    in_article: bool
-
-
-ROOT = Element("", 0, False, False, False, False)
+    article: Element | None
 
 
 @dataclass(slots=True)
@@ -92,8 +104,6 @@ class Node:
     """A piece of text with its place in the page."""
 
     text: str
-    path: tuple[str, ...]
-    above: tuple[int, ...]
     block: int
     inside: Element
 
@@ -117,59 +127,102 @@ def _says(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     return out, called
 
 
-def nodes(html: str) -> list[Node]:
-    """The page's text nodes in order, those in left-out elements not."""
-    found: list[Node] = []
-    stack: list[Element] = []
-    block = count = at = 0
-
-    def text(piece: str) -> None:
-        inside = stack[-1] if stack else ROOT
-        if piece and not inside.out:
-            found.append(Node(unescape(piece), tuple(e.tag for e in stack), tuple(e.number for e in stack), block, inside))
-
-    def close(index: int) -> None:
-        nonlocal block
-        block += any(e.tag in BLOCKS for e in stack[index:])
-        del stack[index:]
-
-    def close_first(ends: set[str], inside: set[str] | frozenset[str]) -> None:
+class Page:
+    """The elements of a page in order, each before what is inside it, and its text nodes, those in left-out elements not."""
+
+    def __init__(self, html: str):
+        self.elements = [Element("", None, 0, 0, 0, "body", False, False, False, None)]
+        self.found: list[Node] = []
+        self._stack = [self.elements[0]]
+        # Where in the stack each tag is open.
+        self._open: dict[str, list[int]] = defaultdict(list)
+        self._paths: dict[tuple[int, str], int] = {}
+        self._block = 0
+        at = 0
+        for m in _TOKEN.finditer(html):
+            self._text(html[at : m.start()])
+            at = m.end()
+            if m["tag"] is None:
+                continue
+            tag = m["tag"].lower()
+            if m["end"]:
+                self._block += tag in BLOCKS
+                if self._open[tag]:
+                    self._close(self._open[tag][-1])
+            else:
+                self._begin(tag, m["attrs"])
+        self._text(html[at:])
+        self._close(0)
+
+    def _text(self, piece: str) -> None:
+        if piece and not self._stack[-1].out:
+            self.found.append(Node(unescape(piece), self._block, self._stack[-1]))
+
+    def _close(self, index: int) -> None:
+        while len(self._stack) > index:
+            element = self._stack.pop()
+            element.last = len(self.elements) - 1
+            if self._stack:
+                self._open[element.tag].pop()
+            self._block += element.tag in BLOCKS
+
+    def _close_first(self, ends: set[str], inside: set[str] | frozenset[str]) -> None:
         """Close the outermost of ``ends`` that is open inside the innermost of ``inside``."""
-        last = max((i for i, e in enumerate(stack) if e.tag in inside), default=-1)
-        index = next((i for i in range(last + 1, len(stack)) if stack[i].tag in ends), None)
-        if index is not None:
-            close(index)
-
-    for m in _TOKEN.finditer(html):
-        text(html[at : m.start()])
-        at = m.end()
-        if m["tag"] is None:
-            continue
-        tag = m["tag"].lower()
-        if m["end"]:
-            index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            block += tag in BLOCKS
-            if index is not None:
-                close(index)
-            continue
+        if not any(self._open[t] for t in ends):
+            return
+        last = max((self._open[t][-1] for t in inside if self._open[t]), default=0)
+        within = [self._open[t][bisect_right(self._open[t], last)] for t in ends if self._open[t] and self._open[t][-1] > last]
+        if within:
+            self._close(min(within))
+
+    def _begin(self, tag: str, attrs: str) -> None:
         if tag in BLOCKS:
-            block += 1
+            self._block += 1
             # A block ends an open paragraph, whatever stands inside it.
-            close_first({"p"}, BLOCKS - {"p"})
+            self._close_first({"p"}, BLOCKS - {"p"})
         if tag in SIBLINGS:
-            close_first(*SIBLINGS[tag])
+            self._close_first(*SIBLINGS[tag])
         if tag in SPACES:
-            text(" ")
-        if tag in VOID or (m["attrs"].endswith("/") and tag not in BLOCKS):
-            continue
-        count += 1
-        above = stack[-1] if stack else ROOT
-        out, called = _says(tag, m["attrs"], above.in_article)
-        stack.append(Element(
-            tag, count, above.out or out, above.named_out or called, above.linked or tag == "a", above.in_article or tag in ARTICLES,
-        ))
-    text(html[at:])
-    return found
+            self._text(" ")
+        if tag in VOID or (attrs.endswith("/") and tag not in BLOCKS):
+            return
+        above = self._stack[-1]
+        out, called = _says(tag, attrs, above.article is not None)
+        path = self._paths.setdefault((above.path, tag), len(self._paths) + 1)
+        element = Element(
+            tag, above, path, len(self.elements), 0, tag if tag in BLOCKS else above.holder, above.out or out, called,
+            above.linked or tag == "a", None,
+        )
+        element.article = element if tag in ARTICLES else above.article
+        self.elements.append(element)
+        self._open[tag].append(len(self._stack))
+        self._stack.append(element)
+
+    def named_out(self) -> list[bool]:
+        """By element: whether its own name, or that of one around it, leaves it out."""
+        size = [0] * len(self.elements)
+        for n in self.found:
+            if not n.inside.linked:
+                size[n.inside.number] += len(n.text.strip())
+        for e in reversed(self.elements[1:]):
+            size[e.parent.number] += size[e.number]
+        inside_named = [False] * len(self.elements)
+        for e in self.elements[1:]:
+            inside_named[e.number] = e.called or inside_named[e.parent.number]
+        # The article that is not named away itself, and else the largest that is.
+        articles = [e for e in self.elements if e.tag in ARTICLES and not e.out]
+        article = max(articles, key=lambda e: (not inside_named[e.number], size[e.number], -e.number), default=None)
+        around, e = set(), article
+        while e:
+            around.add(e.number)
+            e = e.parent
+        left = [False] * len(self.elements)
+        for e in self.elements[1:]:
+            own = e.called and e.number not in around
+            if own and (article is None or article.number <= e.number <= article.last):
+                own = size[e.number] <= SMALL * size[0]
+            left[e.number] = left[e.parent.number] or own
+        return left
 
 
 def _smooth(series: list[float]) -> list[float]:
@@ -185,40 +238,57 @@ def content_nodes(found: list[Node]) -> list[bool]:
     """Which nodes are content by the ratios of their paths."""
     size, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for n in found:
-        size[n.path] += 0 if n.inside.linked else len(n.text.strip())
-        marks[n.path] += 0 if n.inside.linked else len(_MARKS.findall(n.text))
-        count[n.path] += 1
-    lengths = _smooth([size[n.path] / count[n.path] for n in found])
-    points = _smooth([marks[n.path] / count[n.path] for n in found])
+        size[n.inside.path] += 0 if n.inside.linked else len(n.text.strip())
+        marks[n.inside.path] += 0 if n.inside.linked else len(_MARKS.findall(n.text))
+        count[n.inside.path] += 1
+    lengths = _smooth([size[n.inside.path] / count[n.inside.path] for n in found])
+    points = _smooth([marks[n.inside.path] / count[n.inside.path] for n in found])
     fused = [a * (1 + b) for a, b in zip(lengths, points)]
     least = LAMBDA * pstdev(fused) if fused else 0.0
     return [x >= least and not n.inside.linked for x, n in zip(fused, found)]
 
 
+def article_of(chosen: list[Node]) -> Element | None:
+    """The element that is the article, by the content nodes."""
+    held: dict[int, int] = defaultdict(int)
+    for n in chosen:
+        if n.inside.article:
+            held[n.inside.article.number] += len(n.text)
+    if not chosen:
+        return None
+    if sum(held.values()) >= MOST * sum(len(n.text) for n in chosen):
+        chosen = [n for n in chosen if n.inside.article]
+    first, last = min(n.inside.number for n in chosen), max(n.inside.number for n in chosen)
+    element = next(n.inside for n in chosen if n.inside.number == first)
+    # The lowest that holds them all; a part of an article stands for what it is part of.
+    while element.parent and (element.last < last or element.tag in PARTS or element.tag not in BLOCKS):
+        element = element.parent
+    return element.article or element
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, one per line; white space inside a block is one space."""
-    every = nodes(html or "")
+    page = Page(html or "")
+    every = page.found
     found = [n for n in every if n.text.strip()]
+    left = page.named_out()
     # Where names rule out everything, they were chosen for something else.
-    found = [n for n in found if not n.inside.named_out] or found
-    chosen = content_nodes(found)
-    held: dict[int, int] = defaultdict(int)
-    total = 0
-    for n, yes in zip(found, chosen):
-        if yes:
-            total += len(n.text)
-            for e in n.above:
-                held[e] += len(n.text)
-    # Elements are numbered in page order, so the last that holds enough lies deepest.  A
-    # lone paragraph or phrase is not the article; what holds it is.
-    phrase = {e for n in found for e, tag in zip(n.above, n.path) if tag in PLAIN or tag not in BLOCKS}
-    root = max((e for e, size in held.items() if e not in phrase and size >= MOST * total), default=None)
-    own = {n.block for n, yes in zip(found, chosen) if yes}
+    found = [n for n in found if not left[n.inside.number]] or found
+    picked = content_nodes(found)
+    chosen = [n for n, yes in zip(found, picked) if yes]
+    root = article_of(chosen)
+    own = {n.block for n in chosen}
+    # Without an element of its own, the article runs from the heading above its first content to its last.
+    whole = root is not None and root.tag not in ("", "html", "body")
+    ends = [i for i, yes in enumerate(picked) if yes] or [0]
+    start = ends[0]
+    while not whole and start and found[start - 1].inside.holder in HEADINGS:
+        start -= 1
     kept = set()
-    for n in found:
-        if root is None or root in n.above:
-            holder = next((t for t in reversed(n.path) if t in BLOCKS), "body")
-            if n.inside.in_article or n.block in own or (holder in PLAIN and not n.inside.linked):
+    for i, n in enumerate(found):
+        if root is None or root.number <= n.inside.number <= root.last:
+            plain = n.inside.holder in PLAIN and not n.inside.linked and (whole or root is None or start <= i <= ends[-1])
+            if n.inside.article or n.block in own or plain:
                 kept.add(id(n))
     wanted = {n.block for n in found if id(n) in kept}
     lines: dict[int, list[str]] = defaultdict(list)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import brute
 import pytest
@@ -217,3 +218,31 @@ def test_owners_tell_examples_from_live_values(spark):
     found = secret_ownership.candidates(spark.createDataFrame(rows, brute.SCHEMA), "source", F.struct("source", "lang"))
     counts = {(r.owners, r.repositories) for r in secret_ownership.ownership(found).collect()}
     assert counts == {(5, 5), (1, 2)}
+
+
+def test_very_many_spans_in_one_text(spark):
+    """100,000 values in one text, in seconds: places come from sums that grow with their number."""
+    value = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    text = " ".join(value(i) for i in range(100_000))
+    rows = [(1, text, "en", "a", len(text))]
+    began = time.perf_counter()
+    (row,) = secret_ownership.scan(prepared(spark).createDataFrame(rows, brute.SCHEMA)).collect()
+    assert time.perf_counter() - began < 60
+    assert (row.n_hex, row.n_live) == (100_000, 100_000)
+    assert row.base_sha256 == hashlib.sha256(",".join(f"hex:{33 * i}:{33 * i + 32}" for i in range(100_000)).encode()).hexdigest()
+
+
+def test_running_sum(spark):
+    for n in (0, 1, 2, 255, 256, 257, 1000):
+        numbers = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: (i * i).cast("long")) if n else F.array().cast("array<bigint>")
+        expected = [sum(i * i for i in range(1, k + 1)) for k in range(1, n + 1)]
+        assert spark.range(1).select(secret_ownership.running_sum(numbers)).first()[0] == expected
+
+
+def test_many_repositories_of_one_owner_are_copies(spark):
+    secret = "ghp_" + "aB3" * 12
+    rows = [(i, f"see {secret}", f"l{i}", "a", 40) for i in range(5)] + [(9, "own ghp_" + "xY4" * 12, "l1", "a", 40)]
+    got = {r.doc_id: r for r in secret_ownership.scan(prepared(spark).createDataFrame(rows, brute.SCHEMA)).collect()}
+    assert got[0].spans == "" and got[0].n_live == 0 and got[9].spans and got[9].holders == "1/1"
+    few = {r.doc_id: r for r in secret_ownership.scan(prepared(spark).createDataFrame(rows[1:], brute.SCHEMA)).collect()}
+    assert few[1].n_live == 1 and few[1].holders == "1/4"

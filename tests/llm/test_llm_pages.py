@@ -5,7 +5,9 @@ import gzip
 import hashlib
 import html
 import io
+import random
 import re
+import time
 
 import brute
 import pytest
@@ -39,6 +41,71 @@ def test_main_text(page, text):
     assert html_content.main_text(page) == text
 
 
+LONG = "A sentence of the article, with marks, that is long enough to count. "
+
+
+@pytest.mark.parametrize("page, text", [
+    # A wrapper that mentions what is beside it.
+    (f"<div class='content has-sidebar'><article><h1>T</h1><p>{LONG}</p></article></div><p>Just a line.</p>", f"T\n{LONG.strip()}"),
+    (f"<div class='content has-sidebar'><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class='sidebar'>x</div>", f"T\n{LONG.strip()}\n{LONG.strip()}"),
+    (f"<article class='post related-science'><p>{LONG * 3}</p></article><div>short</div>", (LONG * 3).strip()),
+    (f"<main class='post comments-open'><p>{LONG}</p><div class='comments'><p>{LONG}</p></div></main>", LONG.strip()),
+    (f"<article><p>{LONG}</p></article><section id='comments'><article><p>{LONG * 9}</p></article></section>", LONG.strip()),
+    # The bulk in a list, a table or a nested section.
+    (f"<article><h1>T</h1><p>Intro.</p><ul><li>{LONG * 5}<li>{LONG * 5}</ul><p>Closing.</p></article>",
+     f"T\nIntro.\n{(LONG * 5).strip()}\n{(LONG * 5).strip()}\nClosing."),
+    (f"<div><h1>T</h1><p>{LONG}</p><table><tr><td>{LONG * 9}</td><td>2</td></tr></table><p>{LONG}</p></div>",
+     f"T\n{LONG.strip()}\n{(LONG * 9).strip()}\n2\n{LONG.strip()}"),
+    (f"<main><h1>T</h1><section><p>{LONG}</p><section><p>{LONG * 9}</p></section></section><p>End.</p></main>",
+     f"T\n{LONG.strip()}\n{(LONG * 9).strip()}\nEnd."),
+    (f"<body><nav>m</nav><div id=lead><p>{LONG * 2}</p></div><div id=body><p>{LONG * 8}</p><p>Short.</p><p>{LONG}</p></div>",
+     f"{(LONG * 2).strip()}\n{(LONG * 8).strip()}\nShort.\n{LONG.strip()}"),
+])
+def test_no_text_of_the_article_is_lost(page, text):
+    assert html_content.main_text(page) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "p", "li", "ul", "table", "section"])
+def test_time_grows_with_the_page_not_its_depth(tag):
+    began = time.process_time()
+    assert html_content.main_text(f"<{tag}>" * 20_000 + LONG + f"</{tag}>" * 20_000) == LONG.strip()
+    assert time.process_time() - began < 3
+
+
+def test_ratios_against_a_plain_version():
+    """The tag-path ratios by dictionaries of whole paths, read with the standard parser."""
+    from html.parser import HTMLParser
+    from statistics import pstdev
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.rows = [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.open.append(tag)
+
+        def handle_endtag(self, tag):
+            self.open.pop()
+
+        def handle_data(self, data):
+            if data.strip():
+                self.rows.append((tuple(self.open), len(data.strip()), sum(data.count(c) for c in ".,;:!?")))
+
+    draw = random.Random(8)
+    part = lambda: f"<p>{LONG * draw.randrange(1, 9)}</p>" if draw.random() < 0.6 else f"<{(t := draw.choice(['b', 'i', 'h2', 'span']))}>{'word ' * draw.randrange(1, 5)}</{t}>"
+    for _ in range(30):
+        page = "".join(f"<{(t := draw.choice(['div', 'section']))}>{''.join(part() for _ in range(draw.randrange(1, 6)))}</{t}>" for _ in range(8))
+        plain = Plain()
+        plain.feed(page)
+        at = {p: [r for r in plain.rows if r[0] == p] for p, _, _ in plain.rows}
+        means = [[sum(r[k] for r in at[p]) / len(at[p]) for p, _, _ in plain.rows] for k in (1, 2)]
+        smooth = [[(2 * x[i] + sum(x[j] for j in (i - 1, i + 1) if 0 <= j < len(x))) / (2 + (i > 0) + (i < len(x) - 1)) for i in range(len(x))] for x in means]
+        fused = [a * (1 + b) for a, b in zip(*smooth)]
+        found = [n for n in html_content.Page(page).found if n.text.strip()]
+        assert html_content.content_nodes(found) == [x >= 0.5 * pstdev(fused) for x in fused]
+
+
 @pytest.mark.parametrize("page", ["<" * 5000, '<a "' * 5000, "<div>" * 3000 + "x", "</p>" * 5000, "<p>" + "w " * 500_000])
 def test_strange_pages_end(page):
     html_content.main_text(page)
