@@ -6,10 +6,13 @@ nothing else tells where a record ends.  A record becomes a WARC record with an
 made from its place, its date in the newer form, a type from its content, and digests of
 block and payload; a record whose payload was seen before becomes a revisit.
 
-Archives are files of a bounded number of records.  Spark writes them as text with the
-record's end as separator and gzip around the file, so commits and retries are Spark's;
-whole files are read back and parsed as streams, a record at a time.  Which payloads are
-equal is found on (digest, place) rows; payloads move at most once, when the types join in.
+Archives are files of bounded bytes (or one record), each record a gzip member of its own.
+Tasks number their files by the running size and Spark's writer puts them down, so commits
+and retries are Spark's.  It wants a separator between rows: that is the last byte of a
+member, which is 0 for members below 16 MB; larger ones are followed by an empty member.
+Files are read back whole and parsed as streams, member after member, a record at a time.
+Which payloads are equal is found on (digest, place) rows; payloads move at most once, when
+the types join in.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from loanlens.session import materialised, shared_dir
 
-RECORDS_PER_FILE = 5_000
+# Bytes of records, before compression, after which a file is full.
+FILE_BYTES = 64_000_000
 # Rows or bytes of parsed records that are passed on at a time.
 BATCH_ROWS, BATCH_BYTES = 500, 8_000_000
 # The header fields of the two ARC versions, and the revisit profile of WARC.
@@ -128,8 +132,42 @@ def _schema(columns: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in columns.split(", "))])
 
 
+def member(data: bytes) -> bytes:
+    """A record as a gzip member that ends in a zero byte."""
+    packed = gzip.compress(data, 4, mtime=0)
+    return packed if packed[-1] == 0 else packed + gzip.compress(b"", 4, mtime=0)
+
+
+def _write(records: DataFrame, path: str, most: int, begin: Column | None = None) -> None:
+    """Write ``record`` (binary) to files of about ``most`` bytes, ``begin`` in front of each file's first."""
+    row = F.monotonically_increasing_id()
+    rows = records.select(row.alias("row"), "record", (F.lit(None) if begin is None else begin).cast("binary").alias("begin"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, file = 0, None
+
+        def members() -> Iterator[tuple]:
+            nonlocal held, file
+            for batch in batches:
+                for row, record, begin in zip(*(c.to_pylist() for c in batch.columns)):
+                    value = member(record)
+                    if file is None or held + len(record) > most:
+                        # The first row's number, which holds its task's, names a file.
+                        file, held = f"{row:020d}", 0
+                        value = (member(begin) if begin else b"") + value
+                    held += len(record)
+                    yield file, row, value[:-1]
+
+        yield from _batches(members(), _schema("file string, row long, value binary"), lambda r: len(r[2]))
+
+    sorted_rows = rows.mapInArrow(packed, "file string, row long, value binary").sortWithinPartitions("file", "row")
+    # Bytes pass through a text column untouched, whatever they are.
+    sorted_rows.select("file", F.col("value").cast("string").alias("value")).write.partitionBy("file").option("lineSep", "\0").text(path)
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select("path", "content")
 
 
 def arc_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -139,7 +177,7 @@ def arc_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFr
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    name = file.rsplit("/", 1)[-1]
+                    name = "/".join(file.rsplit("/", 2)[-2:])
                     for at, f, block in read_arc(_opened(content.as_py())):
                         head, payload = _http(block)
                         shown = (head, payload) if payloads else (None, None)
@@ -153,12 +191,11 @@ def arc_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFr
     return _files(spark, path).mapInArrow(parse, ARC_COLUMNS)
 
 
-def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", per_file: int = RECORDS_PER_FILE) -> None:
-    """Pages as ARC files, version 1 and 2 by turns: one record per row, the html as the payload of an HTTP response.
+def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", file_bytes: int = FILE_BYTES) -> None:
+    """Pages as ARC files, version 1 and 2 by task: one record per row, the html as the payload of an HTTP response.
 
     The version block stands in front of the first record of each file.
     """
-    row = F.monotonically_increasing_id()
     html = F.coalesce("html", F.lit(""))
     known = F.col("page_id").isNotNull()
     head = F.concat(
@@ -169,9 +206,8 @@ def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", per_fil
     # An address must not hold what separates the fields.
     uri = F.regexp_replace(F.coalesce("url", F.lit("")), "\\s", "%20")
     uri = F.when(uri == "", "urn:none").otherwise(uri)
-    rows = pages.select(row.alias("row"), uri.alias("uri"), F.concat(head, html).alias("block"))
-    first = F.pmod(F.col("row").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(per_file)) == 0
-    two = F.pmod(F.shiftright("row", 33), F.lit(2)) == 1
+    rows = pages.select(uri.alias("uri"), F.concat(head, html).alias("block"), (F.pmod(F.spark_partition_id(), F.lit(2)) == 1).alias("two"))
+    two = F.col("two")
     length = F.octet_length("block").cast("string")
 
     def described(version: int) -> Column:
@@ -181,9 +217,9 @@ def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", per_fil
     def line(version: int) -> Column:
         return F.concat_ws(" ", "uri", F.lit(f"{ORIGIN} {date} text/html" + (" 200 - - 0 pages.arc" if version == 2 else "")), length)
 
-    begin = F.when(first & two, described(2)).when(first, described(1)).otherwise("")
-    record = F.concat(begin, F.when(two, line(2)).otherwise(line(1)), F.lit("\n"), F.col("block"))
-    rows.select(record.alias("value")).write.option("maxRecordsPerFile", per_file).text(path, compression="gzip", lineSep="\n")
+    record = F.concat(F.when(two, line(2)).otherwise(line(1)), F.lit("\n"), F.col("block"), F.lit("\n"))
+    begin = F.when(two, described(2)).otherwise(described(1))
+    _write(rows.select(record.cast("binary").alias("record"), begin.alias("begin")), path, file_bytes, F.col("begin"))
 
 
 def revisits(records: DataFrame, least: int = 0) -> DataFrame:
@@ -210,7 +246,7 @@ def _identifier(place: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", cut(1, 8), cut(9, 4), F.concat(F.lit("5"), cut(14, 3)), F.concat(F.lit("8"), cut(18, 3)), cut(21, 12)), F.lit(">"))
 
 
-def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, per_file: int = RECORDS_PER_FILE) -> None:
+def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """All ARC files of one folder as WARC files in another."""
     seen = materialised(arc_records(spark, arc, payloads=False).select("place", "uri", "date", "page_id", "payload_bytes", "payload_digest"), "arc-digests")
     known = materialised(revisits(seen, least), "arc-revisits")
@@ -244,9 +280,8 @@ def convert(spark: SparkSession, arc: str, warc: str, least: int = 0, per_file:
         field("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
-    # Bytes pass through a text column untouched, whatever their encoding.
-    record = F.concat(header.cast("binary"), block).cast("string").alias("value")
-    rows.select(record).write.option("maxRecordsPerFile", per_file).text(warc, compression="gzip", lineSep="\r\n\r\n")
+    record = F.concat(header.cast("binary"), block, F.lit("\r\n\r\n").cast("binary"))
+    _write(rows.select(record.alias("record")), warc, file_bytes)
 
 
 def read_back(spark: SparkSession, warc: str) -> DataFrame:
@@ -273,7 +308,7 @@ def read_back(spark: SparkSession, warc: str) -> DataFrame:
     return _files(spark, warc).mapInArrow(parse, WARC_COLUMNS)
 
 
-def archived(pages: DataFrame, least: int = 0, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+def archived(pages: DataFrame, least: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """One row per page, read back from its WARC record: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Null html is an empty payload and a null address is ``urn:none``.  Of repeated rows of
@@ -282,8 +317,8 @@ def archived(pages: DataFrame, least: int = 0, per_file: int = RECORDS_PER_FILE)
     """
     spark, kind = pages.sparkSession, pages.schema["page_id"].dataType
     arc, warc = shared_dir(spark, "arc"), shared_dir(spark, "warc")
-    write_arc(pages, arc, per_file=per_file)
-    convert(spark, arc, warc, least, per_file)
+    write_arc(pages, arc, file_bytes=file_bytes)
+    convert(spark, arc, warc, least, file_bytes)
     rows = read_back(spark, warc)
     return rows.select(
         F.col("page_id").cast(kind), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind)

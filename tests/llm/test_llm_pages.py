@@ -8,6 +8,7 @@ import io
 import random
 import re
 import time
+import zlib
 
 import brute
 import pytest
@@ -148,9 +149,9 @@ def page_frame(spark, parts=2):
     return frame.withColumns({name: F.lit("x") for name in brute.CLASHING}).repartition(parts, "html")
 
 
-@pytest.mark.parametrize("per_file, least", [(5_000, 0), (2, 0), (3, 1)])
-def test_records_come_back(spark, per_file, least):
-    rows = arc_warc.archived(page_frame(spark), least, per_file).collect()
+@pytest.mark.parametrize("file_bytes, least", [(64_000_000, 0), (300, 0), (1, 1)])
+def test_records_come_back(spark, file_bytes, least):
+    rows = arc_warc.archived(page_frame(spark), least, file_bytes).collect()
     assert len(rows) == len(ROWS)
     first = {}
     for i, _, text in ROWS:
@@ -175,13 +176,35 @@ def test_records_come_back(spark, per_file, least):
 def test_both_versions_are_written_and_read(spark):
     path = shared_dir(spark, "arc")
     arc_warc.write_arc(page_frame(spark, 5), path)
-    files = spark.read.format("binaryFile").load(path).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
     versions = {arc_warc._opened(f.content).read().split(b"\n")[1][:1] for f in files}
     assert versions == {b"1", b"2"}
     read = arc_warc.arc_records(spark, path).collect()
     assert sorted((r.page_id, r.payload_digest) for r in read if r.page_id) == sorted((str(i), digest(t)) for i, _, t in ROWS if i is not None)
 
 
+def test_files_are_bounded_by_bytes_and_records_are_members(spark):
+    """Pages of 50 MB and a small limit: a record a file; small pages share files up to the limit."""
+    path = shared_dir(spark, "arc")
+    large = prepared(spark).range(2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.concat(F.lit("<p>x"), F.col("id").cast("string")), 10_000_000).alias("html"))
+    assert {(r.payload_bytes, r.record_type) for r in arc_warc.archived(large, file_bytes=1_000_000).collect()} == {(50_000_000, "response")}
+    small = spark.range(200).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(F.lit("y"), 900).alias("html")).coalesce(1)
+    arc_warc.write_arc(small, path, file_bytes=20_000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
+    assert 9 <= len(files) <= 14
+    for f in files:
+        whole = gzip.decompress(f.content)
+        records = list(arc_warc.read_arc(io.BytesIO(whole)))
+        assert len(whole) < 21_000 and whole.startswith(b"filedesc:")
+        rest, sizes = f.content, []
+        while rest:
+            one = zlib.decompressobj(31)
+            sizes.append(len(one.decompress(rest)))
+            rest = one.unused_data
+        assert len(sizes) == len(records) + 1
+    assert arc_warc.arc_records(spark, path).count() == 200
+
+
 def test_damaged_archives():
     good = b"http://a 1.1.1.1 1999 text/plain 3\nabc\n"
     head = b"filedesc://x 0.0.0.0 1999 text/plain 4\n1 0\n\n"
