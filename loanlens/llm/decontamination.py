@@ -16,8 +16,11 @@ What is retrieved is verified on the whole text by windows of five words: the sh
 item's windows that the text has, and the words so covered in its question and its answer
 (its last sentence, extended backwards to a few words).
 
-Items are held in blocks of bounded size, one block in memory at a time, and the documents
-pass once per block; neither is shuffled.
+Items are held in blocks of bounded size.  Document frequencies, the number of segments and
+their mean length are counted once over all items, so a hit does not depend on the blocks.
+A block passes through the driver, with the frequencies of its terms, and is broadcast,
+searched, its hits written and the broadcast released before the next: one is alive at a
+time.  The documents pass once per block and are not shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,6 +38,8 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.session import materialised
+
 WORD = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"[.!?\n]+\s*")
 
@@ -62,23 +68,40 @@ def _answer_start(text: str, count: int) -> int:
     return max(0, min(before, count - ANSWER_WORDS))
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all segments: in how many a term is, their number and mean length."""
+
+    df: Mapping[str, int]
+    n: int
+    mean: float
+
+    @classmethod
+    def of(cls, segments: list[list[str]]) -> Statistics:
+        return cls(Counter(t for w in segments for t in set(w)), len(segments), sum(map(len, segments)) / max(1, len(segments)))
+
+
+def segments(words: list[str]) -> list[list[str]]:
+    return [words[at : at + SEGMENT] for at in range(0, len(words), SEGMENT)]
+
+
 class Index:
-    """Inverted index of a block of items."""
+    """Inverted index of a block of items; without statistics of all items, by those of its own."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], of_all: Statistics | None = None):
         self.items = [(item, w, _answer_start(text, len(w))) for item, text in items if (w := tokens(text))]
-        parts = [(i, w[at : at + SEGMENT]) for i, (_, w, _) in enumerate(self.items) for at in range(0, len(w), SEGMENT)]
+        parts = [(i, part) for i, (_, w, _) in enumerate(self.items) for part in segments(w)]
         self.item_of = [i for i, _ in parts]
-        df = Counter(t for _, w in parts for t in set(w))
-        self.term = {t: k for k, t in enumerate(df)}
-        mean = sum(len(w) for _, w in parts) / max(1, len(parts))
+        stats = of_all or Statistics.of([w for _, w in parts])
+        df, n_all = stats.df, stats.n
+        self.term = {t: k for k, t in enumerate(dict.fromkeys(t for _, w in parts for t in w))}
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         rare: dict[int, list[tuple[int, float]]] = defaultdict(list)
         self.rest = np.zeros(len(parts))
         for s, (_, w) in enumerate(parts):
-            norm = K1 * (1 - B + B * len(w) / mean)
-            weight = {t: math.log1p((len(parts) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm) for t, n in Counter(w).items()}
-            total = sum(weight.values())
+            norm = K1 * (1 - B + B * len(w) / stats.mean)
+            weight = {t: math.log1p((n_all - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm) for t, n in Counter(w).items()}
+            total = math.fsum(weight.values())
             for t in sorted(weight, key=lambda t: (-df[t], t)):
                 share = weight[t] / total
                 postings[self.term[t]].append((s, share))
@@ -164,7 +187,7 @@ class Index:
                     nearest = blocks[b][0] if nearest is None else min(nearest, blocks[b][0])
             if bound >= floor:
                 if self.lists[ahead[0]][0][place[ahead[0]]] == pivot:
-                    score = sum(self.lists[t][1][place[t]] for t in ahead)
+                    score = math.fsum(self.lists[t][1][place[t]] for t in ahead)
                     if score >= floor:
                         found[pivot] = score
                     target = pivot + 1
@@ -209,14 +232,36 @@ class Index:
         return out
 
 
-def item_blocks(items: DataFrame, rows: int = ITEMS_PER_BLOCK, chars: int = CHARS_PER_BLOCK) -> Iterator[list[tuple[int, str]]]:
-    """The items with a text, each once, in blocks of about ``rows`` items and ``chars`` characters."""
+def indexes(items: DataFrame, rows: int = ITEMS_PER_BLOCK, chars: int = CHARS_PER_BLOCK) -> Iterator[tuple[Broadcast, bool]]:
+    """The items with a text, each once, as indexes of about ``rows`` items and ``chars`` characters, and whether it is the last.
+
+    An index is released when the next is asked for, so what is searched with it must be written by then.
+    """
+    spark = items.sparkSession
     clean = items.select("item_id", "text").filter("text IS NOT NULL").distinct()
     n, size = clean.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(math.ceil(n / rows), math.ceil(size / chars))
+    if not blocks:
+        return
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = [(b, list(set(part)), len(part)) for b, text in zip(batch["block"], batch["text"]) for part in segments(tokens(text))]
+            yield pd.DataFrame(parts, columns=["block", "terms", "size"])
+
+    clean = materialised(clean.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")), "items")
+    parts = materialised(clean.select("block", "text").mapInPandas(cut, "block int, terms array<string>, size long"), "segments")
+    n_all, words = parts.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    df = materialised(parts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
     for b in range(blocks):
-        part = clean.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
+        own = parts.filter(F.col("block") == b).select(F.explode("terms").alias("term")).distinct().join(df, "term")
+        held = clean.filter(F.col("block") == b).orderBy("item_id", "text").select("item_id", "text")
+        stats = Statistics({r.term: r.df for r in own.collect()}, n_all, words / max(1, n_all))
+        index = spark.sparkContext.broadcast(Index([(r.item_id, r.text) for r in held.collect()], stats))
+        last = b + 1 == blocks
+        yield index, last
+        if not last:
+            index.destroy()
 
 
 def contamination(docs: DataFrame, items: DataFrame, **blocks: int) -> DataFrame:
@@ -227,8 +272,7 @@ def contamination(docs: DataFrame, items: DataFrame, **blocks: int) -> DataFrame
     Other columns are ignored.  Empty tables give an empty result.
     """
     spark, out = docs.sparkSession, None
-    for block in item_blocks(items, **blocks):
-        index = spark.sparkContext.broadcast(Index(block))
+    for index, _ in indexes(items, **blocks):
 
         def search(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             names = [f.split()[0] for f in HITS.split(", ")]
@@ -239,7 +283,7 @@ def contamination(docs: DataFrame, items: DataFrame, **blocks: int) -> DataFrame
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": "object", "item_id": "Int64"})
 
         # As text, ids survive pandas whole beside nulls.
-        part = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(search, HITS)
+        part = materialised(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(search, HITS), "hits")
         out = part if out is None else out.unionByName(part)
     out = spark.createDataFrame([], HITS) if out is None else out
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
@@ -256,7 +300,13 @@ def _clean(index: Broadcast) -> Callable[[Column], Column]:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, **blocks: int) -> DataFrame:
-    """The documents that hold no item, all columns; they pass once per block of items."""
-    for block in item_blocks(items, **blocks):
-        docs = docs.filter(_clean(docs.sparkSession.sparkContext.broadcast(Index(block)))(F.col("text")))
+    """The documents that hold no item, all columns; they pass once per block of items.
+
+    Null and empty texts hold nothing and stay, as do rows without an id; repeated rows stay
+    or go together.  Between two blocks the documents left are written.
+    """
+    for index, last in indexes(items, **blocks):
+        docs = docs.filter(_clean(index)(F.col("text")))
+        if not last:
+            docs = materialised(docs, "clean")
     return docs

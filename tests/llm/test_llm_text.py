@@ -179,6 +179,14 @@ def test_contamination(spark, exam, rows):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in texts if i not in {a for a, _ in found})
 
 
+def test_results_do_not_depend_on_the_blocks(spark, exam):
+    items, texts = exam
+    docs = prepared(spark).createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = (sorted(map(str, decontamination.contamination(docs, bench, rows=rows).collect())) for rows in (20_000, 10))
+    assert whole == parts and len(whole) > 50
+
+
 def test_contamination_of_nothing(spark, exam):
     docs = prepared(spark).createDataFrame(exam[1], "doc_id long, text string")
     none = spark.createDataFrame([(1, None), (2, " ?! ")], "item_id long, text string")
