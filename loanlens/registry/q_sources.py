@@ -13,6 +13,7 @@ from loanlens.registry.q_cleaning import CLEAN_ROWS, CUSTOMER, REASON, SURVEY_LO
 from loanlens.schemas import CUSTOMER_TABLES
 from loanlens.session import materialised, shared_dir
 from loanlens.sources import headers, snapshots, tables
+from loanlens.streaming import events
 from loanlens.streaming.snapshots import stage_arriving_snapshots
 from loanlens.operators.cleaning import normalise_nulls
 
@@ -45,6 +46,43 @@ def stream_snapshot_csv(spark, sf):
     return spark.read.parquet(staged)
 
 
+# Every fiftieth event comes after all others; weeks that these have closed by then take none of them.
+ARRIVALS = """WITH e AS (
+  SELECT *, event_id % 50 = 0 AS second, CAST(date_trunc('week', ts) AS DATE) AS period,
+    CAST(date_trunc('week', ts) AS DATE) + INTERVAL 7 DAY AS period_end FROM events),
+w AS (SELECT max(ts) FILTER (NOT second) - INTERVAL 2 DAY AS first_mark, max(ts) - INTERVAL 2 DAY AS last_mark FROM e),
+kept AS (SELECT e.* FROM e, w WHERE period_end <= last_mark AND NOT (second AND period_end <= first_mark))
+"""
+
+
+def arrived(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Snapshots and rejects of events that arrive in two parts, the stream ended and started again between."""
+    root = shared_dir(spark, "event-stream")
+    paths = [f"{root}/{name}" for name in ("arriving", "snapshots", "rejects", "log")]
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    second = F.col("event_id") % 50 == 0
+    for part in (~second, second):
+        rows.filter(part).write.mode("append").parquet(paths[0])
+        events.keep_snapshots(spark, *paths, delay="2 days", unit="week").awaitTermination()
+    return paths[1], paths[2]
+
+
+@query("stream_event_snapshots", ARRIVALS + f"""
+SELECT user_id, {sql_day('period')} AS period, count(*) AS n, {sql_round('sum(value)', 4)} AS total,
+  strftime(date_trunc('second', max(ts)), '%Y-%m-%d %H:%M:%S') AS last_event, arg_max(event_type, (ts, event_id)) AS last_type
+FROM kept GROUP BY user_id, period""")
+def stream_event_snapshots(spark, sf):
+    kept, _ = arrived(spark, sf)
+    return spark.read.schema(events.SNAPSHOTS).parquet(kept).withColumn("total", F.round("total", 4))
+
+
+@query("stream_event_rejects", ARRIVALS + f"""
+SELECT event_id, user_id, {sql_day('period')} AS period, event_type, value FROM e, w WHERE second AND period_end <= first_mark""")
+def stream_event_rejects(spark, sf):
+    _, rejects = arrived(spark, sf)
+    return spark.read.schema(events.REJECTS).parquet(rejects).drop("ts", "batch")
+
+
 @query("src_filename_date", using("ls") + f"""
 SELECT {sql_day('snapshot_date')} AS snapshot_date, count(*) AS n FROM ls GROUP BY snapshot_date""")
 def src_filename_date(spark, sf):

@@ -6,6 +6,7 @@ settings here are only the ones the results or the skew handling depend on.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ RUNTIME_CONF = {
     # A task that writes a few partitions keeps their files open instead of sorting its
     # rows by partition first; with more partitions it falls back to the sort.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # Streams with keyed state need a store that can hold collections and timers.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -49,9 +52,16 @@ def build_session(app: str = "loanlens", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """The folder that the session names for data all machines must see.
 
-    That is ``spark.checkpoint.dir``; a session that leaves it unset still has a warehouse.
+    That is ``spark.checkpoint.dir``.  Where it is unset the warehouse stands in, on one machine
+    or if it is in a store that all machines share: a local folder on a cluster would be another
+    one on every machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        store = root.partition(":")[0] if ":" in root else spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file").partition(":")[0]
+        if store == "file" and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {root} is local")
     return f"{root.rstrip('/')}/loanlens"
 
 
