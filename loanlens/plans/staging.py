@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,19 @@ SQL_TYPES = {"text": "string", "date": "date", "double": "double", "long": "bigi
 
 # Credit snapshots ---------------------------------------------------------------------
 
+# Expressions name their column only, so one serves every snapshot; making one takes a
+# hundred calls of the JVM.
+@cache
+def _parsed(header: str, kind: str) -> Column:
+    return PARSERS[kind](col(header).cast("string"))
+
+
+@cache
+def _unread(header: str, kind: str) -> Column:
+    text = col(header).cast("string")
+    return _parsed(header, kind).isNull() & null_if_token(text).isNotNull() & (F.btrim(text) != "")
+
+
 def stage_credit_columns(raw: DataFrame, *more: Column) -> DataFrame:
     """Raw text columns to the canonical typed columns, all in one projection.
 
@@ -45,10 +59,12 @@ def stage_credit_columns(raw: DataFrame, *more: Column) -> DataFrame:
     together.  Absent columns become null, unknown ones follow as trimmed text; ``more``
     are further results of the same projection.
     """
+    held = set(raw.columns)
+
     def value(header: str, kind: str) -> Column:
-        if header not in raw.columns:
+        if header not in held:
             return F.lit(None).cast(SQL_TYPES[kind])
-        return PARSERS[kind](col(header).cast("string"))
+        return _parsed(header, kind)
 
     known = {header for header, _, _ in CREDIT_COLUMNS} | {"snapshot_date"}
     columns = [value(header, kind).alias(name) for header, name, kind in CREDIT_COLUMNS]
@@ -84,17 +100,12 @@ TYPED = [(header, kind) for header, _, kind in CREDIT_COLUMNS if kind != "text"]
 
 
 def _lost(raw: DataFrame) -> Column:
-    """One bit per typed column whose text is no missing value and yet gave no value.
+    """For each typed column, whether its text is no missing value and yet gave no value.
 
     The parsed values are those of the staged columns, so the projection parses them once.
     """
-    bits = F.lit(0).cast("long")
-    for i, (header, kind) in enumerate(TYPED):
-        if header in raw.columns:
-            text = col(header).cast("string")
-            unread = PARSERS[kind](text).isNull() & null_if_token(text).isNotNull() & (F.btrim(text) != "")
-            bits = bits + F.coalesce(unread, F.lit(False)).cast("long") * F.lit(1 << i)
-    return bits
+    held = set(raw.columns)
+    return F.array(*[_unread(header, kind) if header in held else F.lit(False) for header, kind in TYPED])
 
 
 class Account:
@@ -115,7 +126,7 @@ class Account:
         tagged = stage_credit_columns(raw, drop_reason(raw).alias("drop_reason"), _lost(raw).alias("lost"))
         counts = [F.count(F.lit(1)).alias("rows_in")]
         counts += [F.count_if(F.col("drop_reason") == reason).alias(f"dropped_{reason}") for reason in ("test_row", "null_key")]
-        counts += [F.count_if(F.col("lost").bitwiseAND(F.lit(1 << i)) != 0).alias(f"lost::{header}") for i, (header, _) in enumerate(TYPED)]
+        counts += [F.count_if(F.col("lost")[i]).alias(f"lost::{header}") for i, (header, _) in enumerate(TYPED)]
         return tagged.observe(observation, *counts).filter(F.col("drop_reason").isNull()).drop("drop_reason", "lost")
 
     def report(self, staged: DataFrame) -> DataFrame:

@@ -167,6 +167,13 @@ def raw_credit(spark: SparkSession, sf: str) -> DataFrame:
     return _lines_with_orders(spark, sf).select(*columns, F.trunc("l_shipdate", "year").alias("snapshot_date"))
 
 
+def write_snapshot_files(raw: DataFrame, root: str) -> None:
+    """Text rows as one folder of CSV parts per snapshot date, named as the reader expects."""
+    name = F.concat(F.lit("Credit_Data_-_"), F.date_format("snapshot_date", "dd-MM-yyyy"), F.lit(".csv"))
+    dated = raw.withColumn("export", name).drop("snapshot_date").hint("rebalance", "export")
+    dated.write.mode("append").option("header", True).option("escape", '"').partitionBy("export").csv(root)
+
+
 def _loan_text(column: str) -> Column:
     return F.concat(F.lit("loan-"), F.col(column).cast("string"))
 
@@ -342,6 +349,35 @@ fct AS (
         l_extendedprice AS received_total FROM lineitem WHERE l_quantity <> 48) AS one) AS ranked WHERE place = 1)""",
 }
 
+_PRICE, _DISCOUNT, _TAX = "l_extendedprice", "abs(l_discount)", "abs(l_tax)"
+_LOAN = "'loan-' || l_orderkey || '-' || l_linenumber"
+
+# The raw text columns in SQL over the "raw" adapter, numbers as numbers.
+RAW_TEXT = {
+    "LOAN_ID": f"CASE WHEN l_quantity = 50 THEN NULL WHEN l_quantity = 49 THEN '#N/A' WHEN l_quantity = 48 THEN chr(9) || ' ' || {_LOAN} || '  ' ELSE {_LOAN} END",
+    "DATE": "CASE WHEN l_quantity = 47 THEN '13/45/2020' WHEN l_quantity = 46 THEN '00:00.0' ELSE strftime(l_shipdate, '%-m/%-d/%Y') END",
+    "BALANCE_DUE_STATUS": "CASE l_returnflag WHEN 'R' THEN 'Arrears' WHEN 'A' THEN ' up to date' ELSE 'Advance ' END",
+    "ACCOUNT_STATUS_L1": "CASE l_quantity WHEN 45 THEN 'Demo' WHEN 43 THEN ' demo ' ELSE account_status_l1 END",
+    "ACCOUNT_STATUS_L2": "account_status_l2",
+    "RETURN_DATE": "CASE WHEN l_returnflag = 'R' THEN strftime(l_shipdate, '%-m/%-d/%Y') END",
+    "SALE_DATE": "strftime(o_orderdate, '%-m/%-d/%Y')",
+    "CREDIT_CHECK_DONE": "o_orderstatus",
+    "CREDIT_EXPIRY": "strftime(o_orderdate, '%-m/%-d/%Y')",
+    "NEXT_INVOICE_DATE": "strftime(o_orderdate, '%-m/%-d/%Y')",
+    "MAX_PAYMENT_DATE": "strftime(o_orderdate, '%m/%d/%Y')",
+}
+RAW_WHOLE = {
+    "CUSTOMER_AGE": "l_suppkey", "ADVANCE": "0", "EXPECTED_PAYMENT": "l_partkey", "FIRST_PAYMENT": "0", "FIRST_EXPECTED_PAYMENT": "0",
+    "PREPAYMENT_AMOUNT": "0", "INITIAL_PAY": "1", "TOTAL_PAID_WITH_ADJUSTMENTS_15D": "2",
+}
+RAW_NUMBER = {
+    "TOTAL_PAID": f"{_PRICE} * (1 - {_DISCOUNT})", "TOTAL_DUE_TODAY": f"CASE WHEN l_quantity <> 44 THEN {_PRICE} * (1 + {_TAX}) END",
+    "BALANCE": _PRICE, "DAYS_PAST_DUE": "CASE WHEN l_linestatus = 'O' THEN l_quantity * 2 ELSE 0 END", "CLOSING_BALANCE": _PRICE,
+    "BALANCE_DUE_TO_DATE": f"{_PRICE} - o_totalprice", "ARREARS": f"{_PRICE} * {_DISCOUNT}", "PAYMENT": "l_quantity",
+    "PAYMENT_AMOUNT": "CASE WHEN l_returnflag <> 'A' THEN l_quantity END", "ADJUSTMENT_AMOUNT": "NULL", "DEPOSIT": f"{_TAX} * 100",
+    "WEEKLY_RATE": _TAX, "DISCOUNT": _DISCOUNT, "OVERPAYMENT_AMOUNT": "0",
+}
+
 NEEDS = {"dim": ["lc"], "risk": ["ls"], "fct": ["risk", "lc"], "nps": ["sv"], "clean": ["raw"]}
 
 

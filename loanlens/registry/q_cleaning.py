@@ -8,21 +8,27 @@ from loanlens.functions.values import instant
 from loanlens.operators import cleaning, dedupe
 from loanlens.plans import staging
 from loanlens.registry import adapters as a
-from loanlens.registry.adapters import sql_day, sql_round, using
+from loanlens.registry.adapters import sql_day, sql_round, using, write_snapshot_files
 from loanlens.registry.core import query, table
 from loanlens.schemas import CREDIT_COLUMNS
+from loanlens.session import shared_dir
+from loanlens.sources import snapshots
+from loanlens.sources.tables import write_partitions
 
 DATES = [name for _, name, kind in CREDIT_COLUMNS if kind == "date"] + ["snapshot_date"]
 RAW_LOAN = "'loan-' || l_orderkey || '-' || l_linenumber"
 CLEAN_ROWS = "SELECT * REPLACE (" + ", ".join(f"{sql_day(d)} AS {d}" for d in DATES) + ") FROM clean"
 
 
-@query("cln_trim_strings", using("raw") + f"""
-SELECT CASE WHEN l_quantity = 50 THEN NULL WHEN l_quantity = 49 THEN '#N/A' ELSE {RAW_LOAN} END AS "LOAN_ID",
-  CASE l_returnflag WHEN 'R' THEN 'Arrears' WHEN 'A' THEN 'up to date' ELSE 'Advance' END AS "BALANCE_DUE_STATUS",
-  CASE l_quantity WHEN 45 THEN 'Demo' ELSE account_status_l1 END AS "ACCOUNT_STATUS_L1" FROM raw""")
+@query("cln_trim_strings", using("raw") + "SELECT " + ", ".join(
+    [f"trim({sql}, ' ' || chr(9)) AS \"{name}\"" for name, sql in a.RAW_TEXT.items()]
+    + [f"CAST({sql} AS DOUBLE) AS \"{name}\"" for name, sql in {**a.RAW_WHOLE, **a.RAW_NUMBER}.items()]) + f", {sql_day('snapshot_date')} AS snapshot_date FROM raw")
 def cln_trim_strings(spark, sf):
-    return cleaning.trim_strings(a.raw_credit(spark, sf).select("LOAN_ID", "BALANCE_DUE_STATUS", "ACCOUNT_STATUS_L1"))
+    """All raw columns; numbers are compared as numbers, whatever their text."""
+    trimmed = cleaning.trim_strings(a.raw_credit(spark, sf))
+    numbers = [F.col(name).try_cast("double").alias(name) for name in {**a.RAW_WHOLE, **a.RAW_NUMBER}]
+    numbers = [F.nanvl(n, F.lit(None).cast("double")).alias(name) for n, name in zip(numbers, {**a.RAW_WHOLE, **a.RAW_NUMBER})]
+    return trimmed.select(*a.RAW_TEXT, *numbers, "snapshot_date")
 
 
 @query("cln_us_date", using("raw") + f"""
@@ -146,7 +152,27 @@ IS_DEMO = "lower(account_status_l1) = 'demo'"
 SELECT {sql_day('snapshot_date')} AS snapshot_date, metric, value FROM counts
 UNPIVOT (value FOR metric IN (rows_in, dropped_test_row, dropped_null_key, rows_out, unique_keys))""")
 def cln_report(spark, sf):
-    return staging.credit_report(a.raw_credit(spark, sf))
+    """What the job that stages the files counts on the way."""
+    account, staged = _staged_files(spark, sf)
+    return account.report(staged)
+
+
+def _staged_files(spark, sf):
+    root, path = shared_dir(spark, "report-csv"), shared_dir(spark, "report-staged")
+    write_snapshot_files(a.raw_credit(spark, sf), root)
+    exports = snapshots.find_snapshots(spark, f"{root}/*{snapshots.FILE_GLOB}")
+    account = staging.Account(snapshots.read_each(spark, exports))
+    write_partitions(account.staged, path, rebalance=False)
+    return account, spark.read.parquet(path)
+
+
+@query("cln_parse_losses", using("raw") + f"""
+SELECT {sql_day('snapshot_date')} AS snapshot_date, "column", count(CASE WHEN "column" = 'DATE' AND l_quantity IN (46, 47) THEN 1 END) AS n_lost
+FROM raw, (SELECT unnest({[header for header, _ in staging.TYPED]}) AS "column") GROUP BY snapshot_date, "column\"""")
+def cln_parse_losses(spark, sf):
+    """Texts of typed columns that gave no value: impossible dates and times of day, in the reporting date."""
+    account, _ = _staged_files(spark, sf)
+    return account.losses(spark)
 
 
 @query("cln_report_sales", """

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 
-from loanlens.operators import metrics
+from pyspark.sql import functions as F
+
+from loanlens.operators import metrics, state
 from loanlens.registry import adapters as a
 from loanlens.registry.adapters import sql_day, sql_round, using
 from loanlens.registry.core import query, rounded
 from loanlens.functions.risk import RETURNED
+from loanlens.session import materialised, shared_dir
 
 RATES = ("delinquency_rate", "par90_rate", "write_off_rate")
 
@@ -24,19 +27,40 @@ COLLECTED = sql_round(
     " / nullif(sum(CASE WHEN account_status_l2 <> 'Paid Off' THEN total_due_today END), 0)", 6)
 
 
-@query("portfolio_kpis", using("risk") + f"""
+PORTFOLIO_SQL = using("risk") + f"""
 SELECT {sql_day('snapshot_date')} AS snapshot_date, count(*) AS active_loans,
   {sql_round('sum(balance)', 4)} AS total_outstanding, {sql_round('sum(arrears)', 4)} AS total_arrears,
   {sql_round('sum(total_paid)', 4)} AS total_paid_cum, {sql_round('sum(total_due_today)', 4)} AS total_due_cum,
   {DELINQUENT} AS delinquency_rate, {PAR90} AS par90_rate, {WRITTEN_OFF} AS write_off_rate,
   {sql_round(_rate("account_status_l2 = 'Paid Off'"), 6)} AS paid_off_rate, {COLLECTED} AS collection_rate_active
-FROM risk WHERE risk_category <> 'Returned' GROUP BY snapshot_date ORDER BY snapshot_date""")
-def portfolio_kpis(spark, sf):
-    kpis = metrics.portfolio_kpis(a.classified(spark, sf))
+FROM risk WHERE risk_category <> 'Returned' GROUP BY snapshot_date ORDER BY snapshot_date"""
+
+
+def _rounded_kpis(kpis):
     kpis = rounded(kpis, 4, "total_outstanding", "total_arrears", "total_paid_cum", "total_due_cum")
     return rounded(kpis, 6, *RATES, "paid_off_rate", "collection_rate_active")
 
 
+@query("portfolio_kpis", PORTFOLIO_SQL)
+def portfolio_kpis(spark, sf):
+    return _rounded_kpis(metrics.portfolio_kpis(a.classified(spark, sf)))
+
+
+def stored_states(fct, *dims):
+    """States as they grow: older snapshots first, then the newest in part, then all of it again."""
+    path = shared_dir(fct.sparkSession, "states")
+    fct = materialised(fct, "fact")
+    newest = F.col("snapshot_date") == fct.agg(F.max("snapshot_date")).scalar()
+    for part in (~newest, newest & (F.col("days_past_due") > 0), newest):
+        state.keep(state.portfolio_state(fct.filter(part), *dims), path)
+    return fct.sparkSession.read.parquet(path)
+
+
+@query("portfolio_kpis_incremental", PORTFOLIO_SQL)
+def portfolio_kpis_incremental(spark, sf):
+    return _rounded_kpis(state.portfolio_kpis(stored_states(a.classified(spark, sf), "risk_category")))
+
+
 @query("collection_rate", using("risk") + f"""
 SELECT {sql_day('snapshot_date')} AS snapshot_date, {COLLECTED} AS collection_rate_active
 FROM risk WHERE risk_category <> 'Returned' GROUP BY snapshot_date""")
@@ -78,11 +102,20 @@ def segment_kpis_income(spark, sf):
     return rounded(metrics.segment_kpis(rows, "income_band"), 6, *RATES)
 
 
-@query("segment_kpis", BASE + _day_replaced(f"{_segment_sql('age_band')} UNION ALL {_segment_sql('income_band')}"))
+SEGMENT_SQL = BASE + _day_replaced(f"{_segment_sql('age_band')} UNION ALL {_segment_sql('income_band')}")
+
+
+@query("segment_kpis", SEGMENT_SQL)
 def segment_kpis(spark, sf):
     return rounded(metrics.segment_kpis(_segment_rows(spark, sf), "age_band", "income_band"), 6, *RATES)
 
 
+@query("segment_kpis_incremental", SEGMENT_SQL)
+def segment_kpis_incremental(spark, sf):
+    dims = ("age_band", "income_band")
+    return rounded(state.segment_kpis(stored_states(_segment_rows(spark, sf), *dims), dims), 6, *RATES)
+
+
 @query("join_segment_base", BASE + f"""
 SELECT loan_id, line_no, {sql_day('snapshot_date')} AS snapshot_date, days_past_due, account_status_l1, account_status_l2,
   risk_category, age_band, income_band FROM base""")

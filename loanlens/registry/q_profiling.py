@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loanlens.operators import keys, profiling
+from loanlens.plans import pipeline
 from loanlens.registry import adapters as a
 from loanlens.registry.adapters import AS_OF, sql_day, sql_round, using
 from loanlens.registry.core import query, rounded, table
@@ -132,20 +133,28 @@ RAW_NULLS = {"LOAN_ID": "l_quantity IN (49, 50)", "TOTAL_DUE_TODAY": "l_quantity
 
 def _raw_sql(column: str, kind: str) -> str:
     missing = f"count(CASE WHEN {RAW_NULLS.get(column, 'false')} THEN 1 END)"
+    text = a.RAW_TEXT.get(column) or a.RAW_WHOLE.get(column) or f"CAST({a.RAW_NUMBER[column]} AS DOUBLE)"
+    value = f"CASE WHEN NOT ({RAW_NULLS.get(column, 'false')}) THEN CAST({text} AS VARCHAR) END"
+    odd = "count(CASE WHEN l_quantity = 46 THEN 1 END)"
+    filled = f"count(*) - {missing}"
+    n = {"string": "n_text", "whole": "n_whole", "fraction": "n_fraction", "date": "n_date", "empty": None}[kind]
+    kinds = {k: filled if k == n else "CAST(0 AS BIGINT)" for k in ("n_whole", "n_fraction", "n_date", "n_text")}
+    if column == "DATE":
+        kinds |= {"n_date": f"{filled} - {odd}", "n_text": odd}
     return f"""SELECT 'credit::' || {sql_day('snapshot_date')} AS source, '{column}' AS "column", '{kind}' AS dtype, count(*) AS rows,
-  {missing} AS n_null, {sql_round(f'100.0 * {missing} / count(*)', 2)} AS pct_null FROM raw GROUP BY snapshot_date"""
+  {missing} AS n_null, {sql_round(f'100.0 * {missing} / count(*)', 2)} AS pct_null, count(DISTINCT {value}) AS n_unique,
+  min({value}) AS sample, {", ".join(f"{sql} AS {k}" for k, sql in kinds.items())} FROM raw GROUP BY snapshot_date"""
 
 
 @query("profile_raw_credit", using("raw") + " UNION ALL ".join(_raw_sql(c, kind) for kind, names in RAW_KINDS.items() for c in names))
 def profile_raw_credit(spark, sf):
-    return profiling.raw_profile(a.raw_credit(spark, sf), "credit", by="snapshot_date").drop("n_unique", "sample")
+    return profiling.raw_profile(a.raw_credit(spark, sf), "credit", by="snapshot_date")
 
 
-@query("vocabulary", " UNION ALL ".join(
-    f'SELECT \'{c}\' AS "column", {c} AS value, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}'
-    for t, c in (("lineitem", "l_returnflag"), ("lineitem", "l_linestatus"))))
+@query("vocabulary", using("raw") + " UNION ALL ".join(
+    f'SELECT \'{c}\' AS "column", {a.RAW_TEXT[c]} AS value, count(*) AS n FROM raw GROUP BY 2' for c in pipeline.VOCABULARIES))
 def vocabulary(spark, sf):
-    return profiling.vocabulary(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"])
+    return profiling.vocabulary(a.raw_credit(spark, sf), pipeline.VOCABULARIES)
 
 
 @query("value_counts", using("raw") + """

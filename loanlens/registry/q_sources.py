@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanlens.plans import staging
 from loanlens.registry import adapters as a
-from loanlens.registry.adapters import sql_day, sql_round, using
+from loanlens.registry.adapters import sql_day, sql_round, using, write_snapshot_files
 from loanlens.registry.core import query, table
 from loanlens.registry.q_cleaning import CLEAN_ROWS, CUSTOMER, REASON, SURVEY_LOAN, SURVEY_SCORE
 from loanlens.schemas import CUSTOMER_TABLES
@@ -18,13 +18,6 @@ from loanlens.streaming.snapshots import stage_arriving_snapshots
 from loanlens.operators.cleaning import normalise_nulls
 
 
-def write_snapshot_files(raw: DataFrame, root: str) -> None:
-    """Text rows as one folder of CSV parts per snapshot date, named as the reader expects."""
-    name = F.concat(F.lit("Credit_Data_-_"), F.date_format("snapshot_date", "dd-MM-yyyy"), F.lit(".csv"))
-    dated = raw.withColumn("export", name).drop("snapshot_date").hint("rebalance", "export")
-    dated.write.mode("append").option("header", True).option("escape", '"').partitionBy("export").csv(root)
-
-
 def read_back(spark: SparkSession, root: str) -> DataFrame:
     return snapshots.read_snapshot_files(spark, f"{root}/*{snapshots.FILE_GLOB}", drop_blank=True, required=("LOAN_ID",))
 

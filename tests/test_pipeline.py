@@ -17,7 +17,7 @@ AS_OF = dt.date(2001, 12, 30)
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
-    q_sources.write_snapshot_files(adapters.raw_credit(spark, SMALL), f"{root}/credit")
+    adapters.write_snapshot_files(adapters.raw_credit(spark, SMALL), f"{root}/credit")
     for name, df in adapters.raw_customer_tables(spark, SMALL).items():
         df.write.option("header", True).option("escape", '"').csv(f"{root}/customer/{CUSTOMER_TABLES[name]}")
     adapters.raw_survey(spark, SMALL).write.option("header", True).option("escape", '"').csv(f"{root}/survey")

@@ -7,7 +7,7 @@ from loanlens.streaming.snapshots import stage_arriving_snapshots
 
 
 def write(df, root):
-    q_sources.write_snapshot_files(df, root)
+    adapters.write_snapshot_files(df, root)
 
 
 def test_arriving_files_give_the_batch_result(spark, tmp_path):
