@@ -35,12 +35,15 @@ LEAST_DOCS = 10
 TOP_TERMS = 10
 
 # Letters of ASCII and all characters beyond it make terms; only A-Z have a lower case.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# On UTF-8: every byte of a character beyond ASCII is above 0x7F.
+TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = bytes(range(256)).lower()
 
 # Terms of all sources that a task holds before it passes their counts on.
 HELD = 400_000
 
+# Beyond any number of occurrences.
+SHIFT = 1 << 80
 PLACES = pa.struct([("source", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
 
 
@@ -59,41 +62,37 @@ def collapsed(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    docs: dict[tuple[str, str], Counter] = {}
-    n: dict[tuple[str, str], Counter] = {}
+    # By language and source: documents with a term, times SHIFT, plus occurrences.
+    sums: dict[tuple[str, str], dict[bytes, int]] = {}
 
     def counted() -> Iterator[pa.RecordBatch]:
-        rows: dict[tuple[str, str], list[tuple[str, int, int]]] = {}
-        for (lang, source), terms in n.items():
-            in_docs = docs[lang, source]
-            for term, k in terms.items():
-                rows.setdefault((lang, term), []).append((source, in_docs[term], k))
+        rows: dict[tuple[str, bytes], list[tuple[str, int, int]]] = {}
+        for (lang, source), terms in sums.items():
+            for term, sum_ in terms.items():
+                rows.setdefault((lang, term), []).append((source, *divmod(sum_, SHIFT)))
         if rows:
             langs, terms = zip(*rows)
             flat = list(zip(*(place for places in rows.values() for place in places)))
             places = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, PLACES)], fields=list(PLACES))
             ends = np.cumsum([0, *map(len, rows.values())]).astype(np.int32)
-            arrays = [pa.array(langs, pa.string()), pa.array(terms, pa.string()), pa.ListArray.from_arrays(pa.array(ends), places)]
-            table = pa.Table.from_arrays(arrays, ["lang", "term", "places"])
-            yield from table.to_batches(max_chunksize=10_000)
+            arrays = [pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(ends), places)]
+            yield from pa.Table.from_arrays(arrays, ["lang", "term", "places"]).to_batches(max_chunksize=10_000)
 
     held = 0
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            lang, text, places = row
-            terms = Counter(TERM.findall(text.encode().translate(_LOWER).decode()))
+        langs, texts, places_of = batch.columns
+        for lang, text, places in zip(langs.to_pylist(), texts.cast(pa.large_binary()).to_pylist(), places_of.to_pylist()):
+            terms = Counter(TERM.findall(text.translate(_LOWER)))
             for place in places:
-                group, copies = (lang, place["source"]), place["copies"]
-                in_docs, in_all = docs.setdefault(group, Counter()), n.setdefault(group, Counter())
-                held -= len(in_all)
-                for term, k in terms.items():
-                    in_docs[term] += copies
-                    in_all[term] += copies * k
-                held += len(in_all)
+                copies = place["copies"]
+                own = sums.setdefault((lang, place["source"]), {})
+                held -= len(own)
+                for term, n in terms.items():
+                    own[term] = own.get(term, 0) + copies * (SHIFT + n)
+                held += len(own)
                 if held > HELD:
                     yield from counted()
-                    docs.clear()
-                    n.clear()
+                    sums.clear()
                     held = 0
     yield from counted()
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -116,9 +117,26 @@ def divergence(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("held", [400_000, 3])
-def test_divergence_equals_the_plain_version(spark, docs, clashing, held, monkeypatch):
-    monkeypatch.setattr(source_divergence, "HELD", held)
+def test_counts_passed_on_early_add_up(monkeypatch):
+    rows = [("en", text or "", [{"source": s, "copies": i + 1} for s in "ab"[: 1 + i % 2]]) for i, (_, text, *_) in enumerate(MADE)]
+    places = pa.list_(pa.struct([("source", pa.string()), ("copies", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), places))], ["lang", "text", "places"])
+
+    def counted():
+        out = Counter()
+        for part in source_divergence._count([batch]):
+            for r in part.to_pylist():
+                for p in r["places"]:
+                    out[r["lang"], r["term"], p["source"], "docs"] += p["docs"]
+                    out[r["lang"], r["term"], p["source"], "n"] += p["n"]
+        return out
+
+    whole = counted()
+    monkeypatch.setattr(source_divergence, "HELD", 3)
+    assert counted() == whole and len(whole) > 10
+
+
+def test_divergence_equals_the_plain_version(spark, docs, clashing):
     expected = divergence(ROWS)
     assert {r[2] for r in expected} == {"pair", "term"}
     for frame in (docs, clashing):
