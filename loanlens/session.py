@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +27,6 @@ RUNTIME_CONF = {
     # A task that writes a few partitions keeps their files open instead of sorting its
     # rows by partition first; with more partitions it falls back to the sort.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
-    # Streams with keyed state need a store that can hold collections and timers.
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -75,6 +74,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{holder}/data"
 
 
+def remove(spark: SparkSession, path: str, chosen: Callable[[str], bool]) -> None:
+    """Remove those folders directly below ``path`` whose name is chosen; no path, nothing to remove."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        for found in files.listStatus(folder):
+            if found.isDirectory() and chosen(found.getPath().getName()):
+                files.delete(found.getPath(), True)
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

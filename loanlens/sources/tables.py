@@ -43,7 +43,7 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitions(df: DataFrame, path: str, by: str = "snapshot_date", rebalance: bool = True) -> None:
+def write_partitions(df: DataFrame, path: str, by: str = "snapshot_date", *within: str, rebalance: bool = True) -> None:
     """Replace just the partitions present in ``df``; a rerun gives the same table.
 
     Rebalancing gathers each partition's rows into files of the advisory size and
@@ -51,7 +51,7 @@ def write_partitions(df: DataFrame, path: str, by: str = "snapshot_date", rebala
     laid out by partition can skip that shuffle.
     """
     laid_out = df.hint("rebalance", by) if rebalance else df
-    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by, *within).parquet(path)
 
 
 def write_result(df: DataFrame, path: str) -> None:

@@ -1,78 +1,30 @@
 """Snapshots of users by month, week or day, kept up to date from a stream of events.
 
-Each user's open periods are keyed state; the watermark closes a period, whose snapshot rows
-are then written, and a row that comes for a closed period goes to a table of rejects instead
-of being lost.  Nothing is read twice: a new event touches the state of its user and period.
-
-State is kept per user and slot, so that one user with a third of all events is spread over
-``SLOTS`` tasks.  All slots of a period close in the same micro-batch, where their sums are put
-together.  That batch writes the period's whole partition, and its rejects under its number,
-so a batch that is repeated after a failure writes the same again.
+Each user's open periods are rows of a table beside the checkpoint: a micro-batch adds one row
+per user and period that its events touch.  The watermark, the newest time seen less the
+delay, closes a period, whose rows are then put together and written; a row that comes for a
+closed period goes to a table of rejects instead of being lost.  An event is read in its own
+batch and its period's row once more when the period closes.
+
+All of it is grouping, combined before the shuffle, so a user with a third of all events is
+one row per task.  What a batch writes lies under its number, and rows of closed periods go
+only when the next batch has begun, so a batch that is repeated after a failure writes the
+same again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from loanlens.session import remove
 from loanlens.sources.tables import write_partitions
 
-SLOTS = 16
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double"
-STATE = "n long, total double, last long, last_id long, last_type string"
 SNAPSHOTS = "user_id long, n long, total double, last_event timestamp, last_type string, period date"
 REJECTS = "event_id long, user_id long, period date, ts timestamp, event_type string, value double, batch long"
-OUT = f"late boolean, event_id long, user_id long, period long, {STATE}"
-
-
-def _periods() -> StatefulProcessor:
-    """The processor.  It is made here and not at the top so that tasks get it whole, without the package."""
-
-    class Periods(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.open = handle.getMapState("open", "period long", f"end long, {STATE}")
-
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            closed = timerValues.getCurrentWatermarkInMs()
-            for batch in rows:
-                late = batch[batch["end"] <= closed]
-                if len(late):
-                    yield self.shown(late.assign(late=True, n=1, total=late["value"], last=late["at"], last_id=late["event_id"], last_type=late["event_type"]))
-                for (period, end), group in batch[batch["end"] > closed].groupby(["period", "end"]):
-                    last = group.sort_values(["at", "event_id"]).iloc[-1]
-                    new = (int(end), len(group), float(group["value"].sum()), int(last["at"]), int(last["event_id"]), last["event_type"])
-                    place = (int(period),)
-                    if self.open.containsKey(place):
-                        old = self.open.getValue(place)
-                        latest = max(tuple(old)[3:5], new[3:5])
-                        kind = new[5] if latest == new[3:5] else old[5]
-                        new = (int(end), int(old[1]) + new[1], float(old[2]) + new[2], *map(int, latest), kind)
-                    else:
-                        self.handle.registerTimer(int(end))
-                    self.open.updateValue(place, new)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            closed = timerValues.getCurrentWatermarkInMs()
-            done = [(place, value) for place, value in self.open.iterator() if value[0] <= closed]
-            for place, value in done:
-                self.open.removeKey(place)
-                row = dict(zip(("n", "total", "last", "last_id", "last_type"), tuple(value)[1:]))
-                yield self.shown(pd.DataFrame([{"late": False, "event_id": None, "user_id": int(key[0]), "period": int(place[0]), **row}]))
-
-        @staticmethod
-        def shown(rows: pd.DataFrame) -> pd.DataFrame:
-            names = ["late", "event_id", "user_id", "period", "n", "total", "last", "last_id", "last_type"]
-            return rows[names].astype({"event_id": "Int64"})
-
-        def close(self) -> None:
-            pass
-
-    return Periods()
+OPEN = "user_id long, period long, n long, total double, last long, last_id long, last_type string, end long, batch long"
 
 
 def _dated(events: DataFrame, unit: str) -> DataFrame:
@@ -85,14 +37,17 @@ def _dated(events: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def closed_periods(events: DataFrame, delay: str, unit: str) -> DataFrame:
-    """The stream of closed periods, by user and slot, and of late rows.
+def _as_state(dated: DataFrame) -> DataFrame:
+    """Every event as a row that ``totals`` can put together."""
+    return dated.select("user_id", "period", "end", F.lit(1).alias("n"), F.col("value").alias("total"), F.col("at").alias("last"),
+                        F.col("event_id").alias("last_id"), F.col("event_type").alias("last_type"))
 
-    The event time goes on as a plain number: rows with the watermark's own column would be
-    dropped when late, before anything could keep them.
-    """
-    keyed = _dated(events.withWatermark("ts", delay), unit).withColumn("slot", F.pmod("event_id", F.lit(SLOTS)))
-    return keyed.groupBy("user_id", "slot").transformWithStateInPandas(_periods(), OUT, "Append", "EventTime")
+
+def partial_sums(dated: DataFrame) -> DataFrame:
+    """One row per user and period, in the form of ``OPEN`` but for the batch."""
+    latest = F.max(F.struct("last", "last_id", "last_type"))
+    sums = _as_state(dated).groupBy("user_id", "period", "end").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), latest.alias("latest"))
+    return sums.select("user_id", "period", "n", "total", "latest.*", "end")
 
 
 def totals(rows: DataFrame) -> DataFrame:
@@ -111,24 +66,40 @@ def keep_snapshots(
     """Start keeping snapshots of the event files in a folder; by default it ends once everything present is in.
 
     A period is written when the newest event is ``delay`` past its end; until then it is state.
-    Rows without user or time belong to no period and are left out.  The session needs a state
-    store with keyed collections, which ``configure`` chooses.
+    Rows without user or time belong to no period and are left out.  The open periods and the
+    watermark are kept in the checkpoint's folder.
     """
     events = spark.readStream.schema(EVENTS).parquet(folder).dropna(subset=["user_id", "ts"])
+    held = f"{checkpoint}/open-periods"
 
     def store(batch: DataFrame, number: int) -> None:
-        write_partitions(totals(batch.filter(~F.col("late"))), table, by="period")
-        late = batch.filter("late").select("event_id", "user_id", F.timestamp_millis("period").cast("date").alias("period"),
-                                           F.timestamp_millis("last").alias("ts"), F.col("last_type").alias("event_type"),
-                                           F.col("total").alias("value"), F.lit(number).cast("long").alias("batch"))
-        write_partitions(late, rejects, by="batch")
-
-    writer = closed_periods(events, delay, unit).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        session = batch.sparkSession
+        # The mark of the batch before; the one before that is no longer needed.
+        mark = session.read.schema("mark long").parquet(f"{checkpoint}/marks/{(number - 1) % 2}").first().mark if number else None
+        if mark is not None:
+            remove(session, held, lambda name: int(name.removeprefix("end=")) <= mark)
+        dated = _dated(batch, unit)
+        is_late = F.col("end") <= mark if mark is not None else F.lit(False)
+        late = dated.filter(is_late).select("event_id", "user_id", F.timestamp_millis("period").cast("date").alias("period"),
+                                            F.timestamp_millis("at").alias("ts"), "event_type", "value",
+                                            F.lit(number).cast("long").alias("batch"))
+        write_partitions(late, rejects, "batch")
+        on_time = partial_sums(dated.filter(~is_late)).withColumn("batch", F.lit(number).cast("long"))
+        write_partitions(on_time, held, "end", "batch")
+
+        rows = session.read.schema(OPEN).parquet(held)
+        # A late row cannot move the mark, so the rows just written tell the newest time.
+        newest = F.unix_millis(F.timestamp_millis(F.max("last")) - F.expr(f"INTERVAL '{delay}'"))
+        moved = rows.filter(F.col("batch") == number).agg(F.greatest(newest, F.lit(mark).cast("long")).alias("mark"))
+        now = moved.first().mark
+        if now is not None:
+            write_partitions(totals(rows.filter(F.col("end") <= now)), table, "period")
+        session.createDataFrame([(now,)], "mark long").coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}/marks/{number % 2}")
+
+    writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def by_period(events: DataFrame, unit: str = "month") -> DataFrame:
     """The same rows of a whole table in one batch, every period closed."""
-    rows = _dated(events.dropna(subset=["user_id", "ts"]), unit)
-    return totals(rows.select("user_id", "period", F.lit(1).alias("n"), F.col("value").alias("total"), F.col("at").alias("last"),
-                              F.col("event_id").alias("last_id"), F.col("event_type").alias("last_type")))
+    return totals(_as_state(_dated(events.dropna(subset=["user_id", "ts"]), unit)))

@@ -46,3 +46,31 @@ def test_a_stream_gives_what_a_batch_gives(spark, tmp_path):
     got = spark.read.schema(events.SNAPSHOTS).parquet(paths[1]).select(*shown)
     assert rows(got) == rows(events.by_period(table, "week").select(*shown))
     assert spark.read.schema(events.REJECTS).parquet(paths[2]).count() == 0
+
+
+def test_a_repeated_batch_writes_the_same_and_no_task_keeps_users(spark, tmp_path):
+    paths = [f"{tmp_path}/{name}" for name in ("in", "snapshots", "rejects", "log")]
+    first = [event(1, 1, 7), event(2, 2, 7, None, "buy"), event(3, 9, 7), event(4, 1, 8, None)]
+    second = [event(5, 3, 7), event(6, 10, 7), event(7, 20, 8)]
+
+    def kept():
+        return rows(spark.read.schema(events.SNAPSHOTS).parquet(paths[1])), rows(spark.read.schema(events.REJECTS).parquet(paths[2]))
+
+    for batch in (first, second):
+        spark.createDataFrame(batch, events.EVENTS).coalesce(1).write.mode("append").parquet(paths[0])
+        seen = []
+        for again in (False, True):
+            query = events.keep_snapshots(spark, *paths, delay="1 day", unit="week")
+            query.awaitTermination()
+            assert all(not p.stateOperators for p in query.recentProgress)
+            seen.append(kept())
+            # The batch failed after all its tables were written: it comes again.
+            newest = max((tmp_path / "log" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+            if not again:
+                newest.unlink()
+                (newest.parent / f".{newest.name}.crc").unlink()
+        assert seen[0] == seen[1]
+    done = seen[1]
+    # A user whose events carry no value has no total.
+    assert [r[:3] for r in done[0]] == [(7, 2, 1.0), (7, 2, 2.0), (8, 1, None)]
+    assert [r[0] for r in done[1]] == [5]
