@@ -117,13 +117,18 @@ def classified(spark: SparkSession, sf: str) -> DataFrame:
     return marts.with_features(loan_snapshot(spark, sf).withColumn("dob", F.lit(None).cast("timestamp")))
 
 
-def raw_credit(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshot rows as a file would hold them: text, with every defect the rules treat."""
+def raw_credit(spark: SparkSession, sf: str, by_snapshot: bool = False) -> DataFrame:
+    """Snapshot rows as a file would hold them: text, with every defect the rules treat.
+
+    ``by_snapshot`` deals the rows by snapshot before they become text, which is several times
+    as long.
+    """
     price, discount, tax = F.col("l_extendedprice"), F.abs("l_discount"), F.abs("l_tax")
     quantity = F.col("l_quantity")
 
-    def us(day: str, pattern: str = "M/d/yyyy") -> Column:
-        return F.date_format(day, pattern)
+    def us(day: str, digits: int = 1) -> Column:
+        month, place = (F.lpad(part(day).cast("string"), digits, "0") if digits > 1 else part(day).cast("string") for part in (F.month, F.day))
+        return F.concat_ws("/", month, place, F.lpad(F.year(day).cast("string"), 4, "0"))
 
     loan = F.concat(F.lit("loan-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     flag = F.col("l_returnflag")
@@ -159,19 +164,33 @@ def raw_credit(spark: SparkSession, sf: str) -> DataFrame:
         "NEXT_INVOICE_DATE": us("o_orderdate"),
         "DISCOUNT": discount,
         "OVERPAYMENT_AMOUNT": F.lit("0.0"),
-        "MAX_PAYMENT_DATE": us("o_orderdate", "MM/dd/yyyy"),
+        "MAX_PAYMENT_DATE": us("o_orderdate", 2),
         "INITIAL_PAY": F.lit("1"),
         "TOTAL_PAID_WITH_ADJUSTMENTS_15D": F.lit("2"),
     }
     columns = [value.cast("string").alias(name) for name, value in text.items()]
-    return _lines_with_orders(spark, sf).select(*columns, F.trunc("l_shipdate", "year").alias("snapshot_date"))
+    lines = _lines_with_orders(spark, sf)
+    if by_snapshot:
+        needed = [c for c in lines.columns if c.startswith("l_")] + ["o_totalprice", "o_orderpriority", "o_orderdate", "o_orderstatus"]
+        lines = lines.select(*needed).withColumn("year", F.year("l_shipdate")).hint("rebalance", "year")
+    return lines.select(*columns, F.trunc("l_shipdate", "year").alias("snapshot_date"))
+
 
+def write_snapshot_files(raw: DataFrame, root: str, dealt: bool = False) -> None:
+    """Text rows as one folder of compressed CSV parts per snapshot date, named as the reader expects.
 
-def write_snapshot_files(raw: DataFrame, root: str) -> None:
-    """Text rows as one folder of CSV parts per snapshot date, named as the reader expects."""
+    ``dealt``: the rows lie by snapshot already.
+    """
     name = F.concat(F.lit("Credit_Data_-_"), F.date_format("snapshot_date", "dd-MM-yyyy"), F.lit(".csv"))
-    dated = raw.withColumn("export", name).drop("snapshot_date").hint("rebalance", "export")
-    dated.write.mode("append").option("header", True).option("escape", '"').partitionBy("export").csv(root)
+    dated = raw.withColumn("export", name).drop("snapshot_date")
+    laid_out = dated if dealt else dated.hint("rebalance", "export")
+    writer = laid_out.write.mode("append").option("header", True).option("escape", '"').option("compression", "gzip")
+    writer.option("zlib.compress.level", "BEST_SPEED").partitionBy("export").csv(root)
+
+
+def write_credit_files(spark: SparkSession, sf: str, root: str) -> None:
+    """The raw snapshots as files."""
+    write_snapshot_files(raw_credit(spark, sf, by_snapshot=True), root, dealt=True)
 
 
 def _loan_text(column: str) -> Column:

@@ -25,7 +25,7 @@ def read_back(spark: SparkSession, root: str) -> DataFrame:
 @query("src_snapshot_csv", using("clean") + CLEAN_ROWS)
 def src_snapshot_csv(spark, sf):
     root = shared_dir(spark, "snapshot-csv")
-    write_snapshot_files(a.raw_credit(spark, sf), root)
+    a.write_credit_files(spark, sf, root)
     return staging.clean_credit_snapshot(read_back(spark, root))
 
 
@@ -33,10 +33,10 @@ def src_snapshot_csv(spark, sf):
 def stream_snapshot_csv(spark, sf):
     """The staged table that the arriving files give, a few files per micro-batch."""
     root, staged = shared_dir(spark, "arriving-csv"), shared_dir(spark, "arriving-staged")
-    write_snapshot_files(a.raw_credit(spark, sf), root)
+    a.write_credit_files(spark, sf, root)
     done = stage_arriving_snapshots(spark, root, staged, shared_dir(spark, "arriving-log"), files_per_batch=4)
     done.awaitTermination()
-    return spark.read.parquet(staged)
+    return spark.read.parquet(staged).drop("batch")
 
 
 # Every fiftieth event comes after all others; weeks that these have closed by then take none of them.

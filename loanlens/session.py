@@ -67,21 +67,28 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the session's shared folder; what is written there goes when the application ends."""
     holder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(holder)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, folder = _store_of(spark, holder)
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return f"{holder}/data"
 
 
+def _store_of(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _store_of(spark, path)
+    return files.exists(folder)
+
+
 def remove(spark: SparkSession, path: str, chosen: Callable[[str], bool]) -> None:
     """Remove those folders directly below ``path`` whose name is chosen; no path, nothing to remove."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(folder):
-        for found in files.listStatus(folder):
-            if found.isDirectory() and chosen(found.getPath().getName()):
-                files.delete(found.getPath(), True)
+    files, folder = _store_of(spark, path)
+    for found in files.listStatus(folder) if files.exists(folder) else ():
+        if found.isDirectory() and chosen(found.getPath().getName()):
+            files.delete(found.getPath(), True)
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:

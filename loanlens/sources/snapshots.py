@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,20 +23,24 @@ KNOWN = {header.upper(): header for header, _, _ in CREDIT_COLUMNS}
 
 
 def snapshot_date_of(path: Column) -> Column:
-    """Snapshot date in a file path; a path without one stops the job."""
+    """Snapshot date in a file path; a path without one stops the job.
+
+    Every row asks, so what is plain is read by place; the pattern decides the rest.
+    """
+    name = F.substring_index(path, "Credit_Data_-_", -1)
+    text = F.concat(F.substring(name, 7, 4), F.substring(name, 3, 4), F.left(name, F.lit(2)))
+    file = F.substring_index(path, "/", -1)
+    in_place = F.concat(F.left(name, F.lit(10)), F.lit(".csv/"), file) == name
+    plain = text.try_cast("date")
     day, month, year = (F.regexp_extract(path, FILE_PATTERN, i) for i in (1, 2, 3))
-    return F.when(
+    return F.when(in_place & (plain.cast("string") == text), plain).when(
         day != "", F.make_date(year.try_cast("int"), month.try_cast("int"), day.try_cast("int"))
     ).otherwise(F.raise_error(F.concat(F.lit("no snapshot date in file name: "), path)).cast("date"))
 
 
-def group_by_export(paths: Iterable[str]) -> dict[str, list[str]]:
-    """CSV paths by the file or folder that carries the snapshot name."""
-    exports: dict[str, list[str]] = {}
-    for path in paths:
-        named = EXPORT_NAME.match(path)
-        exports.setdefault(named.group(1) if named else path, []).append(path)
-    return exports
+def snapshot_and_export(path: str) -> tuple[str, str]:
+    """The snapshot date in a CSV file's path, and the file or folder that carries the name."""
+    return date_of(Part(path, path, ())), EXPORT_NAME.match(path).group(1)
 
 
 def _canonical(header: tuple[str, ...], path: str) -> tuple[str, ...]:
@@ -58,6 +61,11 @@ def find_snapshots(spark: SparkSession, *patterns: str) -> list[Part]:
     return [Part(p.group, p.path, _canonical(p.header, p.path)) for p in parts(spark, *patterns, group=export)]
 
 
+def find_files(spark: SparkSession, *paths: str) -> list[Part]:
+    """Single files with their canonical headers, each by itself."""
+    return [Part(p.group, p.path, _canonical(p.header, p.path)) for p in parts(spark, *paths, group=lambda path: path)]
+
+
 def manifest(exports: list[Part]) -> dict[str, list[str]]:
     """Raw columns that each snapshot's files all have, by snapshot date."""
     held: dict[str, set[str]] = {}

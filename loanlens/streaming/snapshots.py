@@ -1,20 +1,27 @@
-"""Stage snapshot files as they arrive, with the rules and the sink of the batch job.
+"""Stage snapshot files as they arrive, with the rules of the batch job.
 
-The stream carries file names only.  Each micro-batch stages the exports its new files
-belong to, from all of their files, and replaces just those partitions.  A repeated
-micro-batch therefore gives the same table, and a part that arrives late brings its whole
-snapshot up to date.
+The stream carries file names only.  Each micro-batch stages its new files and nothing else,
+into a partition of its own below their snapshots' (``batch``), and notes their names.  A
+repeated micro-batch therefore writes the same again, and a part that arrives late adds its
+rows to its snapshot.  Where files that were staged before are gone, the snapshot has been
+exported anew: it is staged from all files that are there, and replaces what it held.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens.plans.staging import clean_credit_snapshot
-from loanlens.sources.snapshots import group_by_export, read_snapshot_files
+from loanlens.schemas import CREDIT_KEY, CREDIT_STATUS
+from loanlens.session import exists, remove
+from loanlens.sources.snapshots import find_files, read_snapshots, require_columns, snapshot_and_export
 from loanlens.sources.tables import write_partitions
 
+FILES = "{*.csv,*.csv.gz}"
+STAGED_FILES = "snapshot string, export string, path string, again boolean, batch long"
+
 
 def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Paths of the CSV files below a folder, each one once."""
@@ -23,19 +30,56 @@ def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = 1000
         spark.readStream.format("binaryFile")
         .schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILES)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
         .select("path")
     )
 
 
-def stage_exports(names: DataFrame, table: str) -> None:
-    """Stage all exports that the given file names belong to."""
-    exports = group_by_export(row.path for row in names.toLocalIterator())
-    if exports:
-        raw = read_snapshot_files(names.sparkSession, *sorted(exports))
-        write_partitions(clean_credit_snapshot(raw), table, rebalance=False)
+def stage_files(names: DataFrame, table: str, log: str, batch: int) -> None:
+    """Stage the given files, as micro-batch ``batch``; ``log`` keeps the names of all staged files."""
+    spark = names.sparkSession
+    new = {row.path: snapshot_and_export(row.path) for row in names.toLocalIterator()}
+    if not new:
+        return
+    dates = sorted({date for date, _ in new.values()})
+    noted = [path for path in (f"{log}/snapshot={date}" for date in dates) if exists(spark, path)]
+    before = []
+    if noted:
+        files = spark.read.schema(STAGED_FILES).option("basePath", log).parquet(*noted)
+        before = files.filter(F.col("batch") < batch).collect()
+    again: dict[str, set[str]] = {}
+    for date in dates:
+        of_date = [row for row in before if row.snapshot == date]
+        last = max((row.batch for row in of_date if row.again), default=-1)
+        held = {row.path: row.export for row in of_date if row.batch >= last}
+        exports = {*held.values(), *(export for day, export in new.values() if day == date)}
+        there = _present(spark, exports) if held else set()
+        if held.keys() - there:
+            again[date] = there
+        else:
+            # Staged already if the snapshot was staged from all files.
+            new = {path: of for path, of in new.items() if of[0] != date or path not in held}
+    paths = sorted({path for path, (date, _) in new.items() if date not in again}.union(*again.values()))
+    if paths:
+        parts = find_files(spark, *paths)
+        require_columns(parts, CREDIT_KEY, CREDIT_STATUS)
+        staged = clean_credit_snapshot(read_snapshots(spark, parts)).withColumn("batch", F.lit(batch).cast("long"))
+        write_partitions(staged, table, "snapshot_date", "batch", rebalance=False)
+        for date in again:
+            remove(spark, f"{table}/snapshot_date={date}", lambda name: int(name.removeprefix("batch=")) < batch)
+        rows = [(*snapshot_and_export(path), path, snapshot_and_export(path)[0] in again, batch) for path in paths]
+        write_partitions(spark.createDataFrame(rows, STAGED_FILES).coalesce(1), log, "snapshot", "batch", rebalance=False)
+
+
+def _present(spark: SparkSession, exports: set[str]) -> set[str]:
+    """The files of the exports that are there now."""
+    there = [path for path in sorted(exports) if exists(spark, path)]
+    if not there:
+        return set()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", FILES).load(there)
+    return {row.path for row in files.select("path").toLocalIterator()}
 
 
 def stage_arriving_snapshots(
@@ -44,7 +88,7 @@ def stage_arriving_snapshots(
     """Start staging; by default it ends once everything present has been staged."""
     return (
         arriving_files(spark, folder, files_per_batch)
-        .writeStream.foreachBatch(lambda names, _: stage_exports(names, table))
+        .writeStream.foreachBatch(lambda names, number: stage_files(names, table, f"{checkpoint}/staged-files", number))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -32,3 +32,27 @@ def test_arriving_files_give_the_batch_result(spark, tmp_path):
     write(raw.filter(newest & ~half), root)
     run()
     assert staged() == rows(clean_credit_snapshot(raw))
+
+
+def test_each_file_is_staged_once_and_a_new_export_replaces_the_old(spark, tmp_path):
+    root, table, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    raw = adapters.raw_credit(spark, SMALL).filter(F.year("snapshot_date") >= 2000)
+    newest, half = F.year("snapshot_date") == 2001, F.col("CREDIT_CHECK_DONE") == "F"
+
+    def run():
+        stage_arriving_snapshots(spark, root, table, log, files_per_batch=2).awaitTermination()
+        return spark.read.parquet(table)
+
+    write(raw.filter(half), root)
+    first = rows(run())
+    # More parts of the same snapshots: what is staged stays as it is.
+    write(raw.filter(~newest & ~half), root)
+    assert set(first) < set(rows(run()))
+    # The newest export is written anew, under other names and with fewer rows.
+    for file in next((tmp_path / "in").glob("*2001*")).glob("*"):
+        file.unlink()
+    other = raw.filter(newest & F.col("BALANCE_DUE_STATUS").contains("A"))
+    write(other.repartition(3), root)
+    whole = clean_credit_snapshot(raw.filter(~newest).unionByName(other))
+    assert rows(run().select(whole.columns)) == rows(whole)
+    assert rows(run().select(whole.columns)) == rows(whole)
