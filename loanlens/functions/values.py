@@ -17,20 +17,33 @@ WHITE_SPACE = [chr(code) for code in (
 def stripped(text: Column) -> Column:
     """Without leading or trailing white space of any kind, no-break spaces included.
 
-    Most values are not padded, which a look at the two ends tells for less than a trim.
+    Most values are not padded, which a look at the two ends tells for less than a trim: white
+    space lies below the printable ASCII characters or above them.
     """
-    padded = F.left(text, F.lit(1)).isin(WHITE_SPACE) | F.right(text, F.lit(1)).isin(WHITE_SPACE)
+    padded = F.lit(False)
+    for end in (F.left(text, F.lit(1)), F.right(text, F.lit(1))):
+        padded = padded | (end <= " ") | (end > "~")
     return F.when(padded, F.btrim(text, F.lit("".join(WHITE_SPACE)))).otherwise(text)
 
 
 def same_word(text: Column, word: str) -> Column:
-    """Equal but for case and outer white space; an unknown is not equal."""
-    return F.coalesce(F.lower(F.btrim(text, F.lit("".join(WHITE_SPACE)))) == word, F.lit(False))
+    """Equal but for case and outer white space; an unknown is not equal.
+
+    Only a text as long as the word, in which no character changes its length with its case, is
+    worth lowering.
+    """
+    bare = stripped(text)
+    return F.coalesce((F.length(bare) == len(word)) & (F.lower(bare) == word), F.lit(False))
 
 
-def null_if_token(text: Column, tokens: list[str] | None = None) -> Column:
-    """Null for the texts that stand for a missing value (compared untrimmed)."""
-    return F.when(~text.isin(tokens if tokens is not None else NULL_TOKENS), text)
+def null_if_token(text: Column, tokens: list[str] | None = None, then: Column | None = None) -> Column:
+    """Null for the texts that stand for a missing value (compared untrimmed), else ``then``, by default the text.
+
+    Most values are longer than any token, which costs less to see than a look-up.
+    """
+    missing = tokens if tokens is not None else NULL_TOKENS
+    short = F.octet_length(text) <= max((len(token.encode()) for token in missing), default=0)
+    return F.when(~(short & text.isin(missing)), text if then is None else then)
 
 
 def us_date(text: Column) -> Column:

@@ -29,7 +29,7 @@ from loanlens.sources.snapshots import union_by_name
 # A null token would not parse as a number either, but a failed parse costs far more
 # than the look-up.
 PARSERS = {
-    "text": lambda c: stripped(null_if_token(c)),
+    "text": lambda c: null_if_token(c, then=stripped(c)),
     "date": lambda c: us_date(stripped(c)),
     "double": lambda c: number(null_if_token(c)),
     "long": lambda c: whole_number(null_if_token(c)),
@@ -68,7 +68,7 @@ def stage_credit_columns(raw: DataFrame, *more: Column) -> DataFrame:
 
     known = {header for header, _, _ in CREDIT_COLUMNS} | {"snapshot_date"}
     columns = [value(header, kind).alias(name) for header, name, kind in CREDIT_COLUMNS]
-    extra = [stripped(null_if_token(col(c).cast("string"))).alias(c.lower()) for c in raw.columns if c not in known]
+    extra = [PARSERS["text"](col(c).cast("string")).alias(c.lower()) for c in raw.columns if c not in known]
     staged = raw.select(*columns, *extra, "snapshot_date", *more)
     return staged.withColumn("balance_due_status", F.lower("balance_due_status"))
 

@@ -25,12 +25,12 @@ FROM (SELECT max(snapshot_date) AS snapshot_date FROM ls) AS s,
 def dq_schema_contract(spark, sf):
     """Raw files of all snapshots; some have their headers in lower case, the newest lacks columns."""
     root = shared_dir(spark, "contract")
-    raw = a.raw_credit(spark, sf)
+    raw = a.raw_credit(spark, sf, by_snapshot=True)
     year, newest = F.year("snapshot_date"), F.year(raw.agg(F.max("snapshot_date")).scalar())
-    write_snapshot_files(raw.filter(year % 2 == 0).filter(year < newest), root)
+    write_snapshot_files(raw.filter(year % 2 == 0).filter(year < newest), root, dealt=True)
     lower = raw.filter(year % 2 == 1).filter(year < newest)
-    write_snapshot_files(lower.toDF(*[c.lower() for c in lower.columns]), root)
-    write_snapshot_files(raw.filter(year == newest).drop(*LOST), root)
+    write_snapshot_files(lower.toDF(*[c.lower() for c in lower.columns]), root, dealt=True)
+    write_snapshot_files(raw.filter(year == newest).drop(*LOST), root, dealt=True)
     exports = snapshots.find_snapshots(spark, f"{root}/*{snapshots.FILE_GLOB}")
     return quality.schema_contract(quality.raw_manifest(spark, snapshots.manifest(exports)))
 
