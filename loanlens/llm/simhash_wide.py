@@ -12,7 +12,11 @@ that a block brings a document about one unrelated one, and so many blocks that
 Documents with equal fingerprints are one node from the start.  In a block's bucket each node
 meets all others, unless the bucket has more than ``BUCKET`` and one of them.  That is far more
 than chance brings together and takes a group of near copies; there each node meets the next
-``CHAIN``, which joins the group as a chain, in every block anew, without naming its pairs.
+``CHAIN`` first, which joins the group as a chain, in every block anew, without naming its
+pairs.  What such a bucket holds of groups that are still apart then meets in full, but for
+groups whose distance proves that no two of their members are within ``FAR``: a group lies
+within a radius about its first node, and Hamming distances obey the triangle inequality.  So
+no pair that shares a block goes unseen, and pairs of one group need not be named.
 """
 
 from __future__ import annotations
@@ -119,24 +123,79 @@ def _similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def _close(nodes: DataFrame, rows: int, bucket: int) -> DataFrame:
-    """(a, b, bits) of nodes that share a block and are at most ``FAR`` bits apart."""
+def _apart(x: str, y: str) -> Column:
+    """Bits in which two fingerprints differ."""
+    lanes = [F.bit_count(F.col(f"{x}.w{i}").bitwiseXOR(F.col(f"{y}.w{i}"))) for i in range(LANES)]
+    return sum(lanes[1:], lanes[0])
+
+
+def _keyed(nodes: DataFrame, rows: int) -> DataFrame:
+    """(id, block, key) of all nodes."""
     bits, blocks = blocks_for(rows)
-    spread = nodes.select("id", F.posexplode(_keys(bits, blocks)("fp")).alias("block", "key"))
+    return nodes.select("id", F.posexplode(_keys(bits, blocks)("fp")).alias("block", "key"))
+
+
+def _measured(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, bits) of the pairs that are at most ``FAR`` bits apart."""
+    x, y = nodes.select(F.col("id").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("id").alias("b"), F.col("fp").alias("y"))
+    return met.join(x, "a").join(y, "b").select("a", "b", _apart("x", "y").alias("bits")).filter(F.col("bits") <= FAR)
+
+
+def _close(nodes: DataFrame, rows: int, bucket: int) -> DataFrame:
+    """(a, b, bits) of nodes that share a block; of a large bucket, its chain."""
     same = Window.partitionBy("block", "key")
     following = same.orderBy("id").rowsBetween(1, bucket)
-    met = spread.withColumns({"n": F.count(F.lit(1)).over(same), "next": F.collect_list("id").over(following)})
+    met = _keyed(nodes, rows).withColumns({"n": F.count(F.lit(1)).over(same), "next": F.collect_list("id").over(following)})
     met = met.withColumn("next", F.when(F.col("n") > bucket + 1, F.slice("next", 1, CHAIN)).otherwise(F.col("next")))
-    met = met.select(F.col("id").alias("a"), F.explode("next").alias("b")).distinct()
-    x, y = nodes.select(F.col("id").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("id").alias("b"), F.col("fp").alias("y"))
-    apart = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(1, LANES)), F.bit_count(F.col("x.w0").bitwiseXOR(F.col("y.w0"))))
-    return met.join(x, "a").join(y, "b").select("a", "b", apart.alias("bits")).filter(F.col("bits") <= FAR)
+    return _measured(met.select(F.col("id").alias("a"), F.explode("next").alias("b")).distinct(), nodes)
+
+
+def _across(nodes: DataFrame, rows: int, bucket: int, rooted: DataFrame) -> DataFrame:
+    """(a, b, bits) of the nodes that share a large bucket and belong to different groups of ``rooted`` (id, root)."""
+    keyed = _keyed(nodes, rows)
+    large = keyed.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket + 1).select("block", "key")
+    members = keyed.join(large, ["block", "key"]).join(rooted, "id")
+    # Buckets of a single group are done; of the others the groups, each about its first node.
+    groups = members.groupBy("block", "key", "root").agg(F.min("id").alias("first"))
+    mixed = groups.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("block", "key")
+    members = members.join(groups.join(mixed, ["block", "key"]), ["block", "key", "root"]).join(nodes.select("id", "fp"), "id")
+    first = nodes.select(F.col("id").alias("first"), F.col("fp").alias("middle"))
+    members = materialised(members.join(first, "first").withColumn("off", _apart("fp", "middle")), "wide-mixed")
+    groups = members.groupBy("block", "key", "root", "first").agg(F.max("off").alias("radius"), F.max_by("middle", "off").alias("middle"))
+    left = groups.select("block", "key", F.col("root").alias("root_a"), F.col("radius").alias("radius_a"), F.col("middle").alias("x"))
+    right = groups.select("block", "key", F.col("root").alias("root_b"), F.col("radius").alias("radius_b"), F.col("middle").alias("y"))
+    pairs = left.join(right, ["block", "key"]).filter("root_a < root_b")
+    pairs = pairs.filter(_apart("x", "y") <= F.col("radius_a") + F.col("radius_b") + FAR).drop("radius_a")
+    # Of one group, the members that the other's radius does not rule out.
+    one = members.select("block", "key", F.col("root").alias("root_a"), F.col("id").alias("a"), F.col("fp").alias("of_a"))
+    some = pairs.join(one, ["block", "key", "root_a"]).filter(_apart("of_a", "y") <= F.col("radius_b") + FAR)
+    other = members.select("block", "key", F.col("root").alias("root_b"), F.col("id").alias("b"), F.col("fp").alias("of_b"))
+    met = some.select("block", "key", "root_b", "a", "of_a").join(other, ["block", "key", "root_b"])
+    near = met.select("a", "b", _apart("of_a", "of_b").alias("bits")).filter(F.col("bits") <= FAR)
+    return near.distinct()
+
+
+def _joined(rooted: DataFrame, close: DataFrame, said: DataFrame) -> DataFrame:
+    """(id, root) after the pairs ``close`` (a, b, bits) have joined the groups of ``rooted``: by distance, then by text."""
+    of = rooted.select(F.col("id").alias("a"), F.col("root").alias("of_a"))
+    to = rooted.select(F.col("id").alias("b"), F.col("root").alias("of_b"))
+    between = close.join(of, "a").join(to, "b").filter("of_a <> of_b")
+    sure = between.filter(F.col("bits") <= NEAR).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    near = _regrouped(rooted, sure, "wide-near")
 
+    # Pairs that the distance leaves open, where they would join two groups.
+    of = near.select(F.col("id").alias("a"), F.col("root").alias("of_a"))
+    to = near.select(F.col("id").alias("b"), F.col("root").alias("of_b"))
+    left = close.filter(F.col("bits") > NEAR).join(of, "a").join(to, "b").filter("of_a <> of_b")
+    read = left.join(said.withColumnsRenamed({"id": "a", "said": "said_a"}), "a").join(said.withColumnsRenamed({"id": "b", "said": "said_b"}), "b")
+    same = read.filter(_similarity("said_a", "said_b") >= SIMILARITY).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    return _regrouped(near, same, "wide-joined")
 
-def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root) of all nodes."""
-    found = components(links, "a", "b").select(F.col("node").alias("id"), "root")
-    return nodes.select("id").join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+
+def _regrouped(rooted: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(id, root) after links between roots."""
+    found = components(links.distinct(), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("group"))
+    return materialised(rooted.join(found, "root", "left").select("id", F.coalesce("group", "root").alias("root")), name)
 
 
 def keep_first(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -158,19 +217,13 @@ def keep_first(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     )
     nodes = staged.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("own")).withColumn("id", F.col("own.row"))
     nodes = materialised(nodes, "wide-nodes")
-    close = materialised(_close(nodes, nodes.count(), bucket), "wide-pairs")
-    sure = close.filter(F.col("bits") <= NEAR).select("a", "b")
-    near = materialised(_rooted(nodes, sure), "wide-near")
-
-    # Pairs that the distance leaves open, where they would join two groups.
-    of = near.select(F.col("id").alias("a"), F.col("root").alias("of_a"))
-    to = near.select(F.col("id").alias("b"), F.col("root").alias("of_b"))
-    left = close.filter(F.col("bits") > NEAR).join(of, "a").join(to, "b").filter("of_a <> of_b")
+    rows = nodes.count()
     said = staged.select(F.col(row).alias("id"), F.coalesce("text", F.lit("")).cast("binary").alias("said"))
-    read = left.join(said.withColumnsRenamed({"id": "a", "said": "said_a"}), "a").join(said.withColumnsRenamed({"id": "b", "said": "said_b"}), "b")
-    same = read.filter(_similarity("said_a", "said_b") >= SIMILARITY).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    joined = components(same, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("group"))
-
-    grouped = nodes.join(near, "id").join(joined, "root", "left").select("own", F.coalesce("group", "root").alias("group"))
+    alone = nodes.select("id", F.col("id").alias("root"))
+    rooted = _joined(alone, materialised(_close(nodes, rows, bucket), "wide-pairs"), said)
+    rest = materialised(_across(nodes, rows, bucket, rooted), "wide-rest")
+    if not rest.isEmpty():
+        rooted = _joined(rooted, rest, said)
+    grouped = nodes.join(rooted, "id").select("own", F.col("root").alias("group"))
     chosen = grouped.groupBy("group").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row))
     return staged.join(chosen.hint("shuffle_hash"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

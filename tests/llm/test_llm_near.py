@@ -143,3 +143,25 @@ def test_tree_visits_every_leaf_once():
         order = list(tree.visits(unit))
         assert sorted(order) == list(range(tree.leaves)) and tree.leaves > 10
     assert ann_tree.fit(ann_tree.units([np.ones(3)] * 200, 3), 32).leaves == 1
+
+
+def test_large_buckets_lose_no_pair(spark):
+    """Families of texts around a similarity of 0.8, their ids mixed: a bucket's size changes nothing."""
+    draw = np.random.default_rng(5)
+    rows = []
+    for family in range(3):
+        base = [f"w{family}x{i}" for i in range(150)]
+        for _ in range(40):
+            words = list(base)
+            for at in draw.choice(150, draw.integers(1, 6), replace=False):
+                words[at] = f"v{draw.integers(1 << 30)}"
+            rows.append(" ".join(words))
+    order = draw.permutation(len(rows))
+    frame = prepared(spark).createDataFrame([(int(i), rows[at]) for i, at in enumerate(order)], "doc_id long, text string")
+
+    def ids(bucket):
+        return sorted(r.doc_id for r in simhash_wide.keep_first(frame, bucket=bucket).collect())
+
+    whole = ids(10**6)
+    assert len(whole) < len(rows)
+    assert ids(2) == whole
