@@ -13,10 +13,10 @@ Documents with equal fingerprints are one node from the start.  In a block's buc
 meets all others, unless the bucket has more than ``BUCKET`` and one of them.  That is far more
 than chance brings together and takes a group of near copies; there each node meets the next
 ``CHAIN`` first, which joins the group as a chain, in every block anew, without naming its
-pairs.  What such a bucket holds of groups that are still apart then meets in full, but for
-groups whose distance proves that no two of their members are within ``FAR``: a group lies
-within a radius about its first node, and Hamming distances obey the triangle inequality.  So
-no pair that shares a block goes unseen, and pairs of one group need not be named.
+pairs.  What such a bucket holds of groups that are still apart meets by rare shingles: similar
+texts must share one of their rarest, by an exact bound on places and sizes (``_alike``).  So no
+similar pair that shares a block goes unseen, and neither pairs of one group nor pairs that only
+share what the whole bucket says are named.
 """
 
 from __future__ import annotations
@@ -150,29 +150,49 @@ def _close(nodes: DataFrame, rows: int, bucket: int) -> DataFrame:
     return _measured(met.select(F.col("id").alias("a"), F.explode("next").alias("b")).distinct(), nodes)
 
 
-def _across(nodes: DataFrame, rows: int, bucket: int, rooted: DataFrame) -> DataFrame:
-    """(a, b, bits) of the nodes that share a large bucket and belong to different groups of ``rooted`` (id, root)."""
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _shingles(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([np.unique(shingle_hashes(t, SHINGLE)).view(np.int64) for t in batch])
+
+
+def _alike(texts: DataFrame) -> DataFrame:
+    """(a, b) of ``texts`` (id, root, said): all pairs of different groups that can have the least similarity.
+
+    Two sets of m and n that are so similar share k = (m + n) S / (1 + S) or more.  In one order
+    of all shingles, the rarest first, the first that they share has k - 1 behind it in both; so
+    it is early in both, and what most texts hold brings nobody together.
+    """
+    sets = texts.select("id", "root", _shingles("said").alias("all")).withColumn("size", F.size("all"))
+    held = materialised(sets.select("id", "root", "size", F.explode("all").alias("shingle")), "wide-shingles")
+    # A shingle of a single group keeps its place, but meets nobody.
+    known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
+    behind = F.col("size") - place
+    early = held.join(known, "shingle").withColumn("behind", behind).filter(F.col("behind") + 1 >= SIMILARITY * F.col("size") - 0.5)
+    early = early.filter("least < most").select("id", "root", "size", "shingle", "behind")
+    early = materialised(early, "wide-early")
+    x = early.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "size", "behind")])
+    y = early.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "size", "behind")])
+    shared = F.least("behind_a", "behind_b") + 1 >= (F.col("size_a") + F.col("size_b")) * (SIMILARITY / (1 + SIMILARITY)) - 0.5
+    met = x.join(y, (x.shingle == y.shingle) & (F.col("root_a") < F.col("root_b")) & shared)
+    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _across(nodes: DataFrame, rows: int, bucket: int, rooted: DataFrame, said: DataFrame) -> DataFrame:
+    """(a, b, bits) of the nodes that share a large bucket, belong to different groups of ``rooted`` (id, root) and can be similar."""
     keyed = _keyed(nodes, rows)
     large = keyed.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket + 1).select("block", "key")
-    members = keyed.join(large, ["block", "key"]).join(rooted, "id")
-    # Buckets of a single group are done; of the others the groups, each about its first node.
-    groups = members.groupBy("block", "key", "root").agg(F.min("id").alias("first"))
-    mixed = groups.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("block", "key")
-    members = members.join(groups.join(mixed, ["block", "key"]), ["block", "key", "root"]).join(nodes.select("id", "fp"), "id")
-    first = nodes.select(F.col("id").alias("first"), F.col("fp").alias("middle"))
-    members = materialised(members.join(first, "first").withColumn("off", _apart("fp", "middle")), "wide-mixed")
-    groups = members.groupBy("block", "key", "root", "first").agg(F.max("off").alias("radius"), F.max_by("middle", "off").alias("middle"))
-    left = groups.select("block", "key", F.col("root").alias("root_a"), F.col("radius").alias("radius_a"), F.col("middle").alias("x"))
-    right = groups.select("block", "key", F.col("root").alias("root_b"), F.col("radius").alias("radius_b"), F.col("middle").alias("y"))
-    pairs = left.join(right, ["block", "key"]).filter("root_a < root_b")
-    pairs = pairs.filter(_apart("x", "y") <= F.col("radius_a") + F.col("radius_b") + FAR).drop("radius_a")
-    # Of one group, the members that the other's radius does not rule out.
-    one = members.select("block", "key", F.col("root").alias("root_a"), F.col("id").alias("a"), F.col("fp").alias("of_a"))
-    some = pairs.join(one, ["block", "key", "root_a"]).filter(_apart("of_a", "y") <= F.col("radius_b") + FAR)
-    other = members.select("block", "key", F.col("root").alias("root_b"), F.col("id").alias("b"), F.col("fp").alias("of_b"))
-    met = some.select("block", "key", "root_b", "a", "of_a").join(other, ["block", "key", "root_b"])
-    near = met.select("a", "b", _apart("of_a", "of_b").alias("bits")).filter(F.col("bits") <= FAR)
-    return near.distinct()
+    members = materialised(keyed.join(large, ["block", "key"]).join(rooted, "id"), "wide-large")
+    # Buckets of a single group are done.
+    mixed = members.groupBy("block", "key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+    chosen = members.join(mixed.select("block", "key"), ["block", "key"], "left_semi").select("id", "root").distinct()
+    met = _measured(_alike(chosen.join(said, "id")), nodes)
+    # Of those, the pairs that share a block.
+    bits, blocks = blocks_for(rows)
+    keys = nodes.select("id", F.transform(_keys(bits, blocks)("fp"), lambda key, i: F.shiftleft(i.cast("long"), bits) + key).alias("keys"))
+    near = met.join(keys.withColumnsRenamed({"id": "a", "keys": "of_a"}), "a").join(keys.withColumnsRenamed({"id": "b", "keys": "of_b"}), "b")
+    return near.filter(F.arrays_overlap("of_a", "of_b")).select("a", "b", "bits")
 
 
 def _joined(rooted: DataFrame, close: DataFrame, said: DataFrame) -> DataFrame:
@@ -221,7 +241,7 @@ def keep_first(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     said = staged.select(F.col(row).alias("id"), F.coalesce("text", F.lit("")).cast("binary").alias("said"))
     alone = nodes.select("id", F.col("id").alias("root"))
     rooted = _joined(alone, materialised(_close(nodes, rows, bucket), "wide-pairs"), said)
-    rest = materialised(_across(nodes, rows, bucket, rooted), "wide-rest")
+    rest = materialised(_across(nodes, rows, bucket, rooted, said), "wide-rest")
     if not rest.isEmpty():
         rooted = _joined(rooted, rest, said)
     grouped = nodes.join(rooted, "id").select("own", F.col("root").alias("group"))

@@ -165,3 +165,24 @@ def test_large_buckets_lose_no_pair(spark):
     whole = ids(10**6)
     assert len(whole) < len(rows)
     assert ids(2) == whole
+
+
+def test_texts_about_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
+    """Texts that share much with every text of a group, but too little: none is named, and none is lost."""
+    draw = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(170)]
+
+    def changed(n):
+        words = list(base)
+        for at in draw.choice(170, n, replace=False):
+            words[at] = f"v{draw.integers(1 << 30)}"
+        return " ".join(words)
+
+    rows = [changed(2) for _ in range(60)] + [changed(7) for _ in range(20)]
+    frame = prepared(spark).createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    whole = sorted(r.doc_id for r in simhash_wide.keep_first(frame, bucket=10**6).collect())
+    written, write = {}, simhash_wide.materialised
+    monkeypatch.setattr(simhash_wide, "materialised", lambda df, name: written.setdefault(name, write(df, name)))
+    assert sorted(r.doc_id for r in simhash_wide.keep_first(frame, bucket=2).collect()) == whole
+    assert len(whole) > 15
+    assert written["wide-rest"].count() < 60
