@@ -20,9 +20,9 @@ for each pair and no terms.  Other columns play no part; an empty table gives no
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +35,12 @@ LEAST_DOCS = 10
 TOP_TERMS = 10
 
 # Letters of ASCII and all characters beyond it make terms; only A-Z have a lower case.
-# On UTF-8: every byte of a character beyond ASCII is above 0x7F.
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = bytes(range(256)).lower()
+# On UTF-8: every byte of a character beyond ASCII is above 0x7F.  All other bytes become blanks.
+_LOWER = bytes(c if c >= 0x80 else ord(chr(c).lower() if chr(c).isalpha() else " ") for c in range(256))
 
 # Terms of all sources that a task holds before it passes their counts on.
 HELD = 400_000
 
-# Beyond any number of occurrences.
-SHIFT = 1 << 80
 PLACES = pa.struct([("source", pa.string()), ("docs", pa.int64()), ("n", pa.int64())])
 
 
@@ -61,35 +58,48 @@ def collapsed(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     return rows.groupBy("lang", "digest").agg(F.any_value("text").alias("text")).join(places, ["lang", "digest"]).select("lang", "text", "places")
 
 
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a text in UTF-8, in order, lower-cased."""
+    return text.translate(_LOWER).split()
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    # By language and source: documents with a term, times SHIFT, plus occurrences.
-    sums: dict[tuple[str, str], dict[bytes, int]] = {}
+    # By language and source: documents with a term, and occurrences.
+    sums: dict[str, dict[str, tuple[Counter[bytes], Counter[bytes]]]] = {}
 
     def counted() -> Iterator[pa.RecordBatch]:
-        rows: dict[tuple[str, bytes], list[tuple[str, int, int]]] = {}
-        for (lang, source), terms in sums.items():
-            for term, sum_ in terms.items():
-                rows.setdefault((lang, term), []).append((source, *divmod(sum_, SHIFT)))
-        if rows:
-            langs, terms = zip(*rows)
-            flat = list(zip(*(place for places in rows.values() for place in places)))
-            places = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, PLACES)], fields=list(PLACES))
-            ends = np.cumsum([0, *map(len, rows.values())]).astype(np.int32)
-            arrays = [pa.array(langs, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(ends), places)]
+        for lang, places_of in sums.items():
+            each = pa.array(chain.from_iterable(occurring for _, occurring in places_of.values()), pa.binary()).dictionary_encode()
+            at = each.indices.to_numpy()
+            order = np.argsort(at, kind="stable")
+            source = np.repeat(np.arange(len(places_of), dtype=np.int32), [len(occurring) for _, occurring in places_of.values()])
+            docs = np.fromiter(chain.from_iterable(map(having.__getitem__, occurring) for having, occurring in places_of.values()), np.int64, len(at))
+            n = np.fromiter(chain.from_iterable(occurring.values() for _, occurring in places_of.values()), np.int64, len(at))
+            sources = pa.array(list(places_of), pa.string()).take(pa.array(source[order]))
+            places = pa.StructArray.from_arrays([sources, pa.array(docs[order]), pa.array(n[order])], fields=list(PLACES))
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(each.dictionary)))]).astype(np.int32))
+            langs = pa.repeat(pa.scalar(lang, pa.string()), len(each.dictionary))
+            arrays = [langs, each.dictionary.cast(pa.string()), pa.ListArray.from_arrays(ends, places)]
             yield from pa.Table.from_arrays(arrays, ["lang", "term", "places"]).to_batches(max_chunksize=10_000)
 
     held = 0
     for batch in batches:
         langs, texts, places_of = batch.columns
         for lang, text, places in zip(langs.to_pylist(), texts.cast(pa.large_binary()).to_pylist(), places_of.to_pylist()):
-            terms = Counter(TERM.findall(text.translate(_LOWER)))
+            terms = terms_of(text)
+            different = set(terms)
             for place in places:
                 copies = place["copies"]
-                own = sums.setdefault((lang, place["source"]), {})
-                held -= len(own)
-                for term, n in terms.items():
-                    own[term] = own.get(term, 0) + copies * (SHIFT + n)
-                held += len(own)
+                having, occurring = sums.setdefault(lang, {}).setdefault(place["source"], (Counter(), Counter()))
+                held -= len(occurring)
+                if copies == 1:
+                    having.update(different)
+                    occurring.update(terms)
+                else:
+                    for term, n in Counter(terms).items():
+                        having[term] += copies
+                        occurring[term] += copies * n
+                held += len(occurring)
                 if held > HELD:
                     yield from counted()
                     sums.clear()

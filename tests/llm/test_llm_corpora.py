@@ -158,3 +158,10 @@ def test_shares_of_huge_counts_are_exact(spark):
     n, total, kept = 10**13 + 7, 3 * 10**14 + 11, 1000
     got = spark.createDataFrame([(n, total, kept)], "n long, total long, v long").select(source_divergence.share("n", "total", "v")).first()[0]
     assert got == 1 + 10**9 * (n + 2) // (total + 2 * kept)
+
+
+def test_terms_of_every_byte():
+    """Terms are cut by one table of bytes; every single byte and odd characters agree with the pattern."""
+    texts = ["".join(f"aB{chr(c)}Cd" for c in range(128)), "\x1cA\x1f\x85b\xa0 Ä İ ß@[`{", "", " .", "é"]
+    for text in texts:
+        assert source_divergence.terms_of(text.encode()) == [t.encode() for t in TERM.findall(text.translate(LOWER))]
