@@ -117,12 +117,8 @@ def classified(spark: SparkSession, sf: str) -> DataFrame:
     return marts.with_features(loan_snapshot(spark, sf).withColumn("dob", F.lit(None).cast("timestamp")))
 
 
-def raw_credit(spark: SparkSession, sf: str, by_snapshot: bool = False) -> DataFrame:
-    """Snapshot rows as a file would hold them: text, with every defect the rules treat.
-
-    ``by_snapshot`` deals the rows by snapshot before they become text, which is several times
-    as long.
-    """
+def raw_credit(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshot rows as a file would hold them: text, with every defect the rules treat."""
     price, discount, tax = F.col("l_extendedprice"), F.abs("l_discount"), F.abs("l_tax")
     quantity = F.col("l_quantity")
 
@@ -169,28 +165,23 @@ def raw_credit(spark: SparkSession, sf: str, by_snapshot: bool = False) -> DataF
         "TOTAL_PAID_WITH_ADJUSTMENTS_15D": F.lit("2"),
     }
     columns = [value.cast("string").alias(name) for name, value in text.items()]
-    lines = _lines_with_orders(spark, sf)
-    if by_snapshot:
-        needed = [c for c in lines.columns if c.startswith("l_")] + ["o_totalprice", "o_orderpriority", "o_orderdate", "o_orderstatus"]
-        lines = lines.select(*needed).withColumn("year", F.year("l_shipdate")).hint("rebalance", "year")
-    return lines.select(*columns, F.trunc("l_shipdate", "year").alias("snapshot_date"))
+    return _lines_with_orders(spark, sf).select(*columns, F.trunc("l_shipdate", "year").alias("snapshot_date"))
 
 
-def write_snapshot_files(raw: DataFrame, root: str, dealt: bool = False) -> None:
+def write_snapshot_files(raw: DataFrame, root: str) -> None:
     """Text rows as one folder of compressed CSV parts per snapshot date, named as the reader expects.
 
-    ``dealt``: the rows lie by snapshot already.
+    Snapshots are few, so every task writes a part of each, without a shuffle or a sort.
     """
     name = F.concat(F.lit("Credit_Data_-_"), F.date_format("snapshot_date", "dd-MM-yyyy"), F.lit(".csv"))
     dated = raw.withColumn("export", name).drop("snapshot_date")
-    laid_out = dated if dealt else dated.hint("rebalance", "export")
-    writer = laid_out.write.mode("append").option("header", True).option("escape", '"').option("compression", "gzip")
+    writer = dated.write.mode("append").option("header", True).option("escape", '"').option("compression", "gzip")
     writer.option("zlib.compress.level", "BEST_SPEED").partitionBy("export").csv(root)
 
 
 def write_credit_files(spark: SparkSession, sf: str, root: str) -> None:
     """The raw snapshots as files."""
-    write_snapshot_files(raw_credit(spark, sf, by_snapshot=True), root, dealt=True)
+    write_snapshot_files(raw_credit(spark, sf), root)
 
 
 def _loan_text(column: str) -> Column:

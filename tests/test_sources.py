@@ -204,3 +204,15 @@ def test_headers_where_only_spark_reads(spark, folder, monkeypatch):
     ranged = snapshots.find_snapshots(spark, f"{folder}/{snapshots.FILE_GLOB}")
     monkeypatch.setattr(first_lines, "RANGED", ())
     assert snapshots.find_snapshots(spark, f"{folder}/{snapshots.FILE_GLOB}") == ranged
+
+
+def test_snapshot_files_take_no_shuffle(spark, tmp_path):
+    """Every task writes its part of every snapshot."""
+    from loanlens.registry.adapters import write_snapshot_files
+
+    day = F.when(F.col("id") % 2 == 0, F.lit("2020-01-01")).otherwise(F.lit("2021-01-01")).cast("date")
+    raw = spark.range(0, 90, 1, 3).select(F.col("id").cast("string").alias("LOAN_ID"), day.alias("snapshot_date"))
+    write_snapshot_files(raw, str(tmp_path / "raw"))
+    exports = sorted((tmp_path / "raw").glob("export=*"))
+    assert [len(list(e.glob("part-*"))) for e in exports] == [3, 3]
+    assert spark.read.option("header", True).csv(str(tmp_path / "raw")).count() == 90
