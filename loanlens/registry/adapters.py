@@ -27,8 +27,10 @@ def as_of() -> Column:
 
 
 def _lines_with_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Both tables grow, and the size of a file tells little of the hash table that each task would
+    hold: millions of keys fit the few MB below which Spark broadcasts.  Sorted sides can spill."""
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
 
 
 def _status_l1() -> Column:

@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Narrow rows compress well in a shuffle: the usual 64 MB of keys are millions of rows a
+    # task, which take a GB and more once they are sorted and grouped.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # A join that few keys survive sends a filter of the keys to the other side's scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # A projection over all raw columns can outgrow what HotSpot compiles; beyond this

@@ -32,3 +32,15 @@ spark.stop()
     root = Path(__file__).resolve().parents[1]
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root, capture_output=True, timeout=120)
     assert list((tmp_path / "loanlens").iterdir()) == []
+
+
+def test_growing_tables_are_not_held_by_every_task(spark):
+    """Lines and orders are sorted, as millions of narrow keys pass for a small table."""
+    from conftest import SMALL
+
+    from loanlens.registry import adapters
+
+    counted = adapters.loan_snapshot(spark, SMALL).select("loan_id")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
