@@ -302,6 +302,7 @@ def unused_name(df: DataFrame, name: str) -> str:
 def resample(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", target_text: str = "text") -> DataFrame:
     """(key, n_features, weight, score, rank, n_words) of every row; drawn are the rows with a rank."""
     gain = gains(_counts(docs, text), _counts(target, target_text))
-    scored = weights(docs, gain, key, text).withColumn("score", F.col("weight") + noise(F.col(key)))
+    # Dealing rows by ranges reads them twice, once for the bounds: a few numbers a row, not the texts.
+    scored = materialised(weights(docs, gain, key, text).withColumn("score", F.col("weight") + noise(F.col(key))), "scores")
     drawn = ranked(scored, [F.desc("score"), F.asc_nulls_last(key)], F.col("n_words") >= LEAST_WORDS, PERCENT)
     return drawn.select(key, "n_features", "weight", "score", "rank", "n_words")

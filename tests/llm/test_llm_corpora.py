@@ -68,6 +68,20 @@ def test_resampling_equals_the_plain_version(spark, docs, clashing, monkeypatch)
     assert ngram_resampling.resample(docs.limit(0), bench).count() == 0
 
 
+def test_resampling_reads_the_texts_twice(spark, docs):
+    """Once to count their features, once to weigh them: dealing the scores by ranges weighs no text again."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    watched = docs.repartition(3).select("doc_id", seen.asNondeterministic()("text").alias("text"))
+    ngram_resampling.resample(watched, spark.createDataFrame([(1, "ab cd")], "item_id long, text string")).collect()
+    assert read.value == 2 * len(ROWS)
+
+
 def test_hashes_equal_the_libraries():
     words = ngram_resampling.Words([" ".join("ab" * k + "é" * (k % 7) for k in range(140)).encode(), b"", b"One two--THREE"])
     for start, size, _ in words.features():
