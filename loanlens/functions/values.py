@@ -17,12 +17,11 @@ WHITE_SPACE = [chr(code) for code in (
 def stripped(text: Column) -> Column:
     """Without leading or trailing white space of any kind, no-break spaces included.
 
-    Most values are not padded, which a look at the two ends tells for less than a trim: white
-    space lies below the printable ASCII characters or above them.
+    Most values are not padded, which a look at the two ends tells for less than a trim.  White
+    space lies below the printable ASCII characters or above them, so comparing whole texts tells
+    about the first; the last is taken once.
     """
-    padded = F.lit(False)
-    for end in (F.left(text, F.lit(1)), F.right(text, F.lit(1))):
-        padded = padded | (end <= " ") | (end > "~")
+    padded = (text < "!") | (text >= "\x7f") | F.substring(text, -1, 1).isin(WHITE_SPACE)
     return F.when(padded, F.btrim(text, F.lit("".join(WHITE_SPACE)))).otherwise(text)
 
 

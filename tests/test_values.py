@@ -4,7 +4,7 @@ import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
-from loanlens.functions.values import full_days, instant, null_if_token, number, stripped, us_date, whole_number
+from loanlens.functions.values import WHITE_SPACE, full_days, instant, null_if_token, number, stripped, us_date, whole_number
 from loanlens.schemas import NULL_TOKENS
 
 
@@ -53,3 +53,16 @@ def test_days_are_floored_on_instants(one):
         lambda d: full_days(instant(d.a), d.b),
     )
     assert got == [12403, 12403, -1]
+
+
+def test_white_space_goes_from_both_ends_only(one):
+    texts = ["", " ", "a", "~", "é", "a é", "\x7f", "x\x7f", "\x00a", "a\x00", "\u200ba", "a\u200b", None, "loan-1"]
+    texts += [t for w in WHITE_SPACE for t in (w, f"{w}a", f"a{w}", f"a{w}b", f"{w}{w} a{w}b {w}", f"é{w}", f"{w}~")]
+    expected = [None if t is None else t.strip("".join(WHITE_SPACE)) for t in texts]
+    assert one("t string", [(t,) for t in texts], lambda df: stripped(df.t)) == expected
+
+
+def test_the_ends_of_a_text_are_taken_once(spark):
+    """Cutting pieces off every value of every raw column took most of a trim's time."""
+    rule = stripped(F.col("t"))._jc.toString()
+    assert sum(rule.count(f"{cut}(") for cut in ("left", "right", "substring")) == 1
