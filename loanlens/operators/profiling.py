@@ -26,24 +26,31 @@ def _as_text(field: T.StructField) -> Column:
 
 
 def text_kind(value: Column) -> Column:
-    """What a text value looks like, as a bit: 0 nothing, 1 a whole number, 2 a number, 4 a date, 8 text."""
+    """What a text value looks like, as a bit: 0 nothing, 1 a whole number, 2 a number, 4 a date, 8 text.
+
+    Numbers and dates begin with white space, a sign, a point or a digit, all of which sort below
+    the colon, so most texts need no pattern.  A whole number is one without point or exponent.
+    """
     number = value.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
-    whole = value.rlike(r"^\s*[+-]?\d+\s*$")
+    part = value.contains(".") | value.contains("e") | value.contains("E")
     date = value.rlike(r"^\s*(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}([T ].*)?)\s*$")
-    return F.when(value.isNull(), 0).when(whole, 1).when(number, 2).when(date, 4).otherwise(8)
+    known = F.when(value.isNull(), 0).when(value >= ":", 8).when(number, F.when(part, 2).otherwise(1))
+    return known.when(date, 4).otherwise(8)
 
 
 def column_values(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value, n): how often each value occurs in each column.
 
     All columns in one pass; counts are combined before the shuffle, so a value that
-    fills most of a column costs one row per task.
+    fills most of a column costs one row per task.  Columns are counted by their number, as a
+    name would be hashed and shuffled with every value.
     """
     names = [c for c in (columns or df.columns) if c not in by]
     fields = [f for f in df.schema.fields if f.name in names]
-    pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), _as_text(f).alias("value")) for f in fields])
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), _as_text(f).alias("value")) for i, f in enumerate(fields)])
     long = df.select(*[col(b) for b in by], F.inline(pairs))
-    return long.groupBy(*[col(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = long.groupBy(*[col(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("column", F.get(F.array(*[F.lit(f.name) for f in fields]), F.col("column")))
 
 
 def raw_profile(df: DataFrame, source: str | None = None, by: str | None = None, held: DataFrame | None = None) -> DataFrame:

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -102,3 +104,28 @@ def test_raw_profile_derives_types_and_sees_drift(spark):
         ("1", "t"): ("string", 2, 1, 1), ("2", "t"): ("whole", 2, 1, 1), ("1", "only"): ("string", 2, 0, 1),
     }
     assert profiling.raw_profile(df.select(F.lit("NaN").alias("x"))).first().dtype == "empty"
+
+
+def test_kinds_equal_the_plain_patterns(one):
+    def plain(v):
+        if v is None:
+            return 0
+        if re.search(r"^\s*[+-]?\d+\s*$", v, re.ASCII):
+            return 1
+        if re.search(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$", v, re.ASCII):
+            return 2
+        return 4 if re.search(r"^\s*(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2}([T ].*)?)\s*$", v, re.ASCII) else 8
+
+    texts = [None, "", " ", "0", "+5", "-5 ", "\t7", "5.", ".5", ".", "1e5", "1E-5", "1.5e+3", "e5", "1e", "+", "loan-1", ":", "9", "é", "~1"]
+    texts += ["1/7/2025", "13/45/2020", " 2025-1-7T00:00", "2025-01-07 x", "2025-1", "00:00.0", "1 2", "NaN", "Infinity", "1d", "\u00a01", "\u0663"]
+    assert one("t string", [(t,) for t in texts], lambda df: profiling.text_kind(df.t)) == [plain(t) for t in texts]
+
+
+def test_columns_are_counted_by_number(spark):
+    """A name in every row was hashed, kept and shuffled with each value."""
+    counts = profiling.column_values(spark.createDataFrame([("x", "1"), (None, "1")], "a string, `b c` string"), by=["b c"])
+    assert rows(counts) == [("1", "a", "x", 1), ("1", "a", None, 1)]
+    counts = profiling.column_values(spark.createDataFrame([("x", "1"), (None, "1")], "a string, `b c` string"))
+    assert rows(counts) == [("a", "x", 1), ("a", None, 1), ("b c", "1", 2)]
+    grouped = counts._jdf.queryExecution().analyzed().children().head()
+    assert grouped.schema().apply("column").dataType().simpleString() == "int"
