@@ -178,11 +178,13 @@ def counts_of_values(values: DataFrame, columns: Sequence[str]) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column; the quartiles are exact.
 
-    The columns are counted by value once; everything is taken from the written counts.
+    The columns are counted by value once, by their number as in ``column_values``; everything is
+    taken from the written counts.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(i).alias("name"), col(c).cast("double").alias("value")) for i, c in enumerate(columns)])
     counts = materialised(counted(df.select(F.inline(pairs))), "value-counts")
-    return summary(counts).withColumnRenamed("name", "column")
+    named = F.get(F.array(*[F.lit(c) for c in columns]), F.col("name"))
+    return summary(counts).withColumn("name", named).withColumnRenamed("name", "column")
 
 
 def year_histogram(df: DataFrame, column: str) -> DataFrame:

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from loanlens.operators import profiling
+from loanlens.operators import quantiles as ranked
 from loanlens.operators.quantiles import counted, exact_quantiles, quantiles, summary
 
 RNG = np.random.default_rng(7)
@@ -87,6 +88,28 @@ def test_numeric_summary_with_nulls(spark, table):
     assert profiling.numeric_summary(empty, ["n"]).count() == 0
 
 
+def test_quantile_windows_see_blocks_of_a_range(spark, monkeypatch):
+    """A window took a whole range of values, which grows with the values a task gets."""
+    monkeypatch.setattr(ranked, "BLOCK_BITS", 3)
+    values = {"a": RNG.normal(0, 1, 500), "b": RNG.uniform(-9, 9, 333)}
+    counts = counted(spark.createDataFrame([(n, float(v)) for n, held in values.items() for v in held], "name string, value double"))
+    blocks = ranked.sorted_blocks(counts).groupBy("name", "block").agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+    found = blocks.orderBy("name", "block").collect()
+    assert max(r.rows for r in found) <= 8 and sum(r.rows for r in found) == 833
+    assert all(x.name != y.name or x.high < y.low for x, y in zip(found, found[1:]))
+    got = {(r.name, r.prob): r.value for r in quantiles(counts, PROBS).collect()}
+    assert got == pytest.approx({(n, p): np.quantile(held, p) for n, held in values.items() for p in PROBS})
+
+
+def test_numeric_summary_counts_by_number(spark, table, monkeypatch):
+    """A name in every row was hashed, kept by every task and shuffled with each value."""
+    written, kept = [], profiling.materialised
+    monkeypatch.setattr(profiling, "materialised", lambda df, name: written.append(df) or kept(df, name))
+    found = profiling.numeric_summary(table, ["n", "d"]).collect()
+    assert [df.schema["name"].dataType.simpleString() for df in written] == ["int"]
+    assert sorted((r["column"], r["count"], r.max) for r in found) == [("d", 3, 1.5), ("n", 3, 2.0)]
+
+
 def test_year_histogram_has_every_year(spark):
     df = spark.createDataFrame([(f"{1950 + i}-03-01",) for i in range(25)] + [(None,)], "d string").withColumn("d", F.col("d").cast("date"))
     got = {r.year: tuple(r)[1:] for r in profiling.year_histogram(df, "d").collect()}
