@@ -123,6 +123,16 @@ def _similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
+def _join(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join of sorted sides, which can spill.
+
+    Every table of this module grows with the documents, and its size in Spark's eyes tells little: an
+    exploded array counts as one entry and a list of keys as one key, so millions of rows pass for the few
+    MB below which Spark broadcasts, through the driver.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def _apart(x: str, y: str) -> Column:
     """Bits in which two fingerprints differ."""
     lanes = [F.bit_count(F.col(f"{x}.w{i}").bitwiseXOR(F.col(f"{y}.w{i}"))) for i in range(LANES)]
@@ -138,7 +148,7 @@ def _keyed(nodes: DataFrame, rows: int) -> DataFrame:
 def _measured(met: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, bits) of the pairs that are at most ``FAR`` bits apart."""
     x, y = nodes.select(F.col("id").alias("a"), F.col("fp").alias("x")), nodes.select(F.col("id").alias("b"), F.col("fp").alias("y"))
-    return met.join(x, "a").join(y, "b").select("a", "b", _apart("x", "y").alias("bits")).filter(F.col("bits") <= FAR)
+    return _join(_join(met, x, "a"), y, "b").select("a", "b", _apart("x", "y").alias("bits")).filter(F.col("bits") <= FAR)
 
 
 def _close(nodes: DataFrame, rows: int, bucket: int) -> DataFrame:
@@ -169,13 +179,13 @@ def _alike(texts: DataFrame) -> DataFrame:
     known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
     behind = F.col("size") - place
-    early = held.join(known, "shingle").withColumn("behind", behind).filter(F.col("behind") + 1 >= SIMILARITY * F.col("size") - 0.5)
+    early = _join(held, known, "shingle").withColumn("behind", behind).filter(F.col("behind") + 1 >= SIMILARITY * F.col("size") - 0.5)
     early = early.filter("least < most").select("id", "root", "size", "shingle", "behind")
     early = materialised(early, "wide-early")
     x = early.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "size", "behind")])
     y = early.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "size", "behind")])
     shared = F.least("behind_a", "behind_b") + 1 >= (F.col("size_a") + F.col("size_b")) * (SIMILARITY / (1 + SIMILARITY)) - 0.5
-    met = x.join(y, (x.shingle == y.shingle) & (F.col("root_a") < F.col("root_b")) & shared)
+    met = _join(x, y, (x.shingle == y.shingle) & (F.col("root_a") < F.col("root_b")) & shared)
     return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
@@ -183,15 +193,16 @@ def _across(nodes: DataFrame, rows: int, bucket: int, rooted: DataFrame, said: D
     """(a, b, bits) of the nodes that share a large bucket, belong to different groups of ``rooted`` (id, root) and can be similar."""
     keyed = _keyed(nodes, rows)
     large = keyed.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket + 1).select("block", "key")
-    members = materialised(keyed.join(large, ["block", "key"]).join(rooted, "id"), "wide-large")
+    members = materialised(_join(_join(keyed, large, ["block", "key"]), rooted, "id"), "wide-large")
     # Buckets of a single group are done.
     mixed = members.groupBy("block", "key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
-    chosen = members.join(mixed.select("block", "key"), ["block", "key"], "left_semi").select("id", "root").distinct()
-    met = _measured(_alike(chosen.join(said, "id")), nodes)
+    chosen = _join(members, mixed.select("block", "key"), ["block", "key"], "left_semi").select("id", "root").distinct()
+    met = _measured(_alike(_join(chosen, said, "id")), nodes)
     # Of those, the pairs that share a block.
     bits, blocks = blocks_for(rows)
     keys = nodes.select("id", F.transform(_keys(bits, blocks)("fp"), lambda key, i: F.shiftleft(i.cast("long"), bits) + key).alias("keys"))
-    near = met.join(keys.withColumnsRenamed({"id": "a", "keys": "of_a"}), "a").join(keys.withColumnsRenamed({"id": "b", "keys": "of_b"}), "b")
+    of, to = keys.withColumnsRenamed({"id": "a", "keys": "of_a"}), keys.withColumnsRenamed({"id": "b", "keys": "of_b"})
+    near = _join(_join(met, of, "a"), to, "b")
     return near.filter(F.arrays_overlap("of_a", "of_b")).select("a", "b", "bits")
 
 
@@ -199,15 +210,16 @@ def _joined(rooted: DataFrame, close: DataFrame, said: DataFrame) -> DataFrame:
     """(id, root) after the pairs ``close`` (a, b, bits) have joined the groups of ``rooted``: by distance, then by text."""
     of = rooted.select(F.col("id").alias("a"), F.col("root").alias("of_a"))
     to = rooted.select(F.col("id").alias("b"), F.col("root").alias("of_b"))
-    between = close.join(of, "a").join(to, "b").filter("of_a <> of_b")
+    between = _join(_join(close, of, "a"), to, "b").filter("of_a <> of_b")
     sure = between.filter(F.col("bits") <= NEAR).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     near = _regrouped(rooted, sure, "wide-near")
 
     # Pairs that the distance leaves open, where they would join two groups.
     of = near.select(F.col("id").alias("a"), F.col("root").alias("of_a"))
     to = near.select(F.col("id").alias("b"), F.col("root").alias("of_b"))
-    left = close.filter(F.col("bits") > NEAR).join(of, "a").join(to, "b").filter("of_a <> of_b")
-    read = left.join(said.withColumnsRenamed({"id": "a", "said": "said_a"}), "a").join(said.withColumnsRenamed({"id": "b", "said": "said_b"}), "b")
+    left = _join(_join(close.filter(F.col("bits") > NEAR), of, "a"), to, "b").filter("of_a <> of_b")
+    read = _join(left, said.withColumnsRenamed({"id": "a", "said": "said_a"}), "a")
+    read = _join(read, said.withColumnsRenamed({"id": "b", "said": "said_b"}), "b")
     same = read.filter(_similarity("said_a", "said_b") >= SIMILARITY).select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     return _regrouped(near, same, "wide-joined")
 
@@ -215,7 +227,7 @@ def _joined(rooted: DataFrame, close: DataFrame, said: DataFrame) -> DataFrame:
 def _regrouped(rooted: DataFrame, links: DataFrame, name: str) -> DataFrame:
     """(id, root) after links between roots."""
     found = components(links.distinct(), "a", "b").select(F.col("node").alias("root"), F.col("root").alias("group"))
-    return materialised(rooted.join(found, "root", "left").select("id", F.coalesce("group", "root").alias("root")), name)
+    return materialised(_join(rooted, found, "root", "left").select("id", F.coalesce("group", "root").alias("root")), name)
 
 
 def keep_first(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -244,6 +256,6 @@ def keep_first(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rest = materialised(_across(nodes, rows, bucket, rooted, said), "wide-rest")
     if not rest.isEmpty():
         rooted = _joined(rooted, rest, said)
-    grouped = nodes.join(rooted, "id").select("own", F.col("root").alias("group"))
+    grouped = _join(nodes, rooted, "id").select("own", F.col("root").alias("group"))
     chosen = grouped.groupBy("group").agg(F.min("own").alias("first")).select(F.col("first.row").alias(row))
     return staged.join(chosen.hint("shuffle_hash"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from loanlens.llm import ann_tree, simhash_wide
+from loanlens.llm import ann_tree, components, simhash_wide
 from loanlens.llm.text import prepared
 
 
@@ -186,3 +186,35 @@ def test_texts_about_a_large_group_do_not_meet_all_of_it(spark, monkeypatch):
     assert sorted(r.doc_id for r in simhash_wide.keep_first(frame, bucket=2).collect()) == whole
     assert len(whole) > 15
     assert written["wide-rest"].count() < 60
+
+
+def test_tables_that_grow_are_not_broadcast(spark, monkeypatch):
+    """Exploded keys and arrays of keys look small to Spark; under its own threshold they meet sorted all the same."""
+    draw = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(170)]
+
+    def changed(n):
+        words = list(base)
+        for at in draw.choice(170, n, replace=False):
+            words[at] = f"v{draw.integers(1 << 30)}"
+        return " ".join(words)
+
+    rows = [changed(2) for _ in range(40)] + [changed(7) for _ in range(10)]
+    frame = prepared(spark).createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    plans = {}
+
+    def noted(write):
+        def kept(df, name):
+            plans[f"{name} {len(plans)}"] = df._jdf.queryExecution().executedPlan().toString()
+            return write(df, name)
+
+        return kept
+
+    monkeypatch.setattr(simhash_wide, "materialised", noted(simhash_wide.materialised))
+    # The rounds over links are left to Spark, which has their sizes from written tables.
+    links, write = noted(components.materialised), components.materialised
+    monkeypatch.setattr(components, "materialised", lambda df, name: (links if name == "links" else write)(df, name))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) == 10 << 20
+    plans["kept"] = simhash_wide.keep_first(frame, bucket=2)._jdf.queryExecution().executedPlan().toString()
+    assert {"links", "wide-pairs", "wide-large", "wide-early", "wide-rest", "wide-joined", "kept"} <= {name.split()[0] for name in plans}
+    assert [name for name, plan in plans.items() if "BroadcastExchange" in plan] == []
