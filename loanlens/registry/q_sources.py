@@ -29,11 +29,17 @@ def src_snapshot_csv(spark, sf):
     return staging.clean_credit_snapshot(read_back(spark, root))
 
 
+# The join below the raw rows ends in small tasks, each of which would leave a file for every snapshot;
+# a micro-batch has its price whatever its files hold.
+LINES_PER_TASK = 1_000_000
+
+
 @query("stream_snapshot_csv", using("clean") + CLEAN_ROWS)
 def stream_snapshot_csv(spark, sf):
     """The staged table that the arriving files give, a few files per micro-batch."""
     root, staged = shared_dir(spark, "arriving-csv"), shared_dir(spark, "arriving-staged")
-    a.write_credit_files(spark, sf, root)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-table(spark, sf, "lineitem").count() // LINES_PER_TASK))
+    a.write_snapshot_files(a.raw_credit(spark, sf).coalesce(tasks), root)
     done = stage_arriving_snapshots(spark, root, staged, shared_dir(spark, "arriving-log"), files_per_batch=4)
     done.awaitTermination()
     return spark.read.parquet(staged).drop("batch")

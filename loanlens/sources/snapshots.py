@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.schemas import CREDIT_COLUMNS, CREDIT_KEY, CREDIT_STATUS
-from loanlens.sources.first_lines import Part, parts, scan
+from loanlens.sources.first_lines import Part, first_lines, parse_header, parts, scan
 from loanlens.sources.headers import drop_blank_headers
 
 # Fixed value: file names carry the snapshot date as day-month-year.
@@ -63,7 +64,8 @@ def find_snapshots(spark: SparkSession, *patterns: str) -> list[Part]:
 
 def find_files(spark: SparkSession, *paths: str) -> list[Part]:
     """Single files with their canonical headers, each by itself."""
-    return [Part(p.group, p.path, _canonical(p.header, p.path)) for p in parts(spark, *paths, group=lambda path: path)]
+    heads = sorted((unquote(r.path), r.line) for r in first_lines(spark, *paths).collect())
+    return [Part(path, path, _canonical(parse_header(line), path)) for path, line in heads]
 
 
 def manifest(exports: list[Part]) -> dict[str, list[str]]:

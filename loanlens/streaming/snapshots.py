@@ -9,6 +9,8 @@ exported anew: it is staged from all files that are there, and replaces what it
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,7 +42,7 @@ def arriving_files(spark: SparkSession, folder: str, files_per_batch: int = 1000
 def stage_files(names: DataFrame, table: str, log: str, batch: int) -> None:
     """Stage the given files, as micro-batch ``batch``; ``log`` keeps the names of all staged files."""
     spark = names.sparkSession
-    new = {row.path: snapshot_and_export(row.path) for row in names.toLocalIterator()}
+    new = {row.path: snapshot_and_export(row.path) for row in names.collect()}
     if not new:
         return
     dates = sorted({date for date, _ in new.values()})
@@ -49,37 +51,42 @@ def stage_files(names: DataFrame, table: str, log: str, batch: int) -> None:
     if noted:
         files = spark.read.schema(STAGED_FILES).option("basePath", log).parquet(*noted)
         before = files.filter(F.col("batch") < batch).collect()
-    again: dict[str, set[str]] = {}
+    held: dict[str, dict[str, str]] = {}
     for date in dates:
         of_date = [row for row in before if row.snapshot == date]
         last = max((row.batch for row in of_date if row.again), default=-1)
-        held = {row.path: row.export for row in of_date if row.batch >= last}
-        exports = {*held.values(), *(export for day, export in new.values() if day == date)}
-        there = _present(spark, exports) if held else set()
-        if held.keys() - there:
-            again[date] = there
-        else:
-            # Staged already if the snapshot was staged from all files.
-            new = {path: of for path, of in new.items() if of[0] != date or path not in held}
+        held[date] = {row.path: row.export for row in of_date if row.batch >= last}
+    seen = {date for date in dates if held[date]}
+    there = _present(spark, {export for date in seen for export in held[date].values()}.union(export for date, export in new.values() if date in seen))
+    again = {date: there.get(date, set()) for date in seen if held[date].keys() - there.get(date, set())}
+    # Staged already if the snapshot was staged from all files.
+    new = {path: of for path, of in new.items() if of[0] in again or path not in held[of[0]]}
     paths = sorted({path for path, (date, _) in new.items() if date not in again}.union(*again.values()))
     if paths:
         parts = find_files(spark, *paths)
         require_columns(parts, CREDIT_KEY, CREDIT_STATUS)
-        staged = clean_credit_snapshot(read_snapshots(spark, parts)).withColumn("batch", F.lit(batch).cast("long"))
+        # As text: a number would be part of the generated code, which each micro-batch would compile and warm up anew.
+        staged = clean_credit_snapshot(read_snapshots(spark, parts)).withColumn("batch", F.lit(str(batch)))
         write_partitions(staged, table, "snapshot_date", "batch", rebalance=False)
         for date in again:
             remove(spark, f"{table}/snapshot_date={date}", lambda name: int(name.removeprefix("batch=")) < batch)
+        columns = [field.split()[0] for field in STAGED_FILES.split(", ")]
         rows = [(*snapshot_and_export(path), path, snapshot_and_export(path)[0] in again, batch) for path in paths]
-        write_partitions(spark.createDataFrame(rows, STAGED_FILES).coalesce(1), log, "snapshot", "batch", rebalance=False)
+        # As one text, which needs no Python worker.
+        text = F.lit(json.dumps([dict(zip(columns, row)) for row in rows]))
+        noted_now = spark.range(0, 1, 1, 1).select(F.inline(F.from_json(text, f"array<struct<{STAGED_FILES}>>")))
+        write_partitions(noted_now, log, "snapshot", "batch", rebalance=False)
 
 
-def _present(spark: SparkSession, exports: set[str]) -> set[str]:
-    """The files of the exports that are there now."""
-    there = [path for path in sorted(exports) if exists(spark, path)]
-    if not there:
-        return set()
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", FILES).load(there)
-    return {row.path for row in files.select("path").toLocalIterator()}
+def _present(spark: SparkSession, exports: set[str]) -> dict[str, set[str]]:
+    """The files of the exports that are there now, by snapshot."""
+    found = [path for path in sorted(exports) if exists(spark, path)]
+    there: dict[str, set[str]] = {}
+    if found:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", FILES).load(found)
+        for row in files.select("path").collect():
+            there.setdefault(snapshot_and_export(row.path)[0], set()).add(row.path)
+    return there
 
 
 def stage_arriving_snapshots(
