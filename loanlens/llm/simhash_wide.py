@@ -174,12 +174,13 @@ def _alike(texts: DataFrame) -> DataFrame:
     it is early in both, and what most texts hold brings nobody together.
     """
     sets = texts.select("id", "root", _shingles("said").alias("all")).withColumn("size", F.size("all"))
-    held = materialised(sets.select("id", "root", "size", F.explode("all").alias("shingle")), "wide-shingles")
+    same = Window.partitionBy("shingle")
+    held = sets.select("id", "root", "size", F.explode("all").alias("shingle"))
     # A shingle of a single group keeps its place, but meets nobody.
-    known = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    known = held.withColumns({"n": F.count(F.lit(1)).over(same), "least": F.min("root").over(same), "most": F.max("root").over(same)})
     place = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
     behind = F.col("size") - place
-    early = _join(held, known, "shingle").withColumn("behind", behind).filter(F.col("behind") + 1 >= SIMILARITY * F.col("size") - 0.5)
+    early = known.withColumn("behind", behind).filter(F.col("behind") + 1 >= SIMILARITY * F.col("size") - 0.5)
     early = early.filter("least < most").select("id", "root", "size", "shingle", "behind")
     early = materialised(early, "wide-early")
     x = early.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "size", "behind")])
