@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
+            # Driver and tasks share one heap here, and pages of 50 MB do not fit the usual 1 GB four times.
+            "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
